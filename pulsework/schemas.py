@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
+def schema(columns: str, *more: T.StructField) -> T.StructType:
+    """Flat columns as ``name TYPE, ...`` plus ready-made fields; needs no running session."""
+    flat = [column.split() for column in columns.split(",") if column.strip()]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in flat] + list(more))
 
 
 def cast_to(df, target: T.StructType):
@@ -19,23 +31,33 @@ def cast_to(df, target: T.StructType):
 # ---- landing records: one JSON object per line -------------------------------------
 # Nested values that stay JSON are declared STRING; the reader keeps their text.
 
-METADATA = "metadata STRUCT<timestamp: DOUBLE, params: MAP<STRING, STRING>, run_id: STRING>"
+METADATA = T.StructField(
+    "metadata",
+    schema("timestamp DOUBLE", T.StructField("params", T.MapType(T.StringType(), T.StringType())))
+    .add("run_id", T.StringType()),
+)
+
+
+def _list_of(name: str, item: T.DataType) -> T.StructField:
+    return T.StructField(name, T.ArrayType(item))
+
 
 CAMPAIGN_LIST_LINE = schema(
-    f"id STRING, name STRING, tags STRING, last_edited STRING, is_api_campaign BOOLEAN, {METADATA}"
-)
-CANVAS_LIST_LINE = schema(f"id STRING, name STRING, tags STRING, last_edited STRING, {METADATA}")
-CAMPAIGN_SERIES_LINE = schema(f"data ARRAY<STRING>, {METADATA}")
-CANVAS_SERIES_LINE = schema(f"name STRING, stats ARRAY<STRING>, {METADATA}")
-CAMPAIGN_DETAILS_LINE = schema(f"data STRING, {METADATA}")
-CANVAS_DETAILS_LINE = schema(METADATA)
-EVENT_LINE = schema(f"event STRING, properties STRING, {METADATA}")
-USER_EXPORT_LINE = schema(
-    "data ARRAY<STRUCT<external_id: STRING, custom_attributes: STRING, purchases: STRING, dob: STRING,"
-    " country: STRING, home_city: STRING, language: STRING, gender: STRING, push_subscribe: STRING,"
-    " push_opted_in_at: STRING, email_subscribe: STRING, email_opted_in_at: STRING, devices: STRING,"
-    f" apps: STRING, campaigns_received: STRING, canvases_received: STRING>>, {METADATA}"
-)
+    "id STRING, name STRING, tags STRING, last_edited STRING, is_api_campaign BOOLEAN", METADATA
+)
+CANVAS_LIST_LINE = schema("id STRING, name STRING, tags STRING, last_edited STRING", METADATA)
+CAMPAIGN_SERIES_LINE = schema("", _list_of("data", T.StringType()), METADATA)
+CANVAS_SERIES_LINE = schema("name STRING", _list_of("stats", T.StringType()), METADATA)
+CAMPAIGN_DETAILS_LINE = schema("data STRING", METADATA)
+CANVAS_DETAILS_LINE = schema("", METADATA)
+EVENT_LINE = schema("event STRING, properties STRING", METADATA)
+EXPORTED_USER = schema(
+    "external_id STRING, custom_attributes STRING, purchases STRING, dob STRING, country STRING,"
+    " home_city STRING, language STRING, gender STRING, push_subscribe STRING, push_opted_in_at STRING,"
+    " email_subscribe STRING, email_opted_in_at STRING, devices STRING, apps STRING,"
+    " campaigns_received STRING, canvases_received STRING"
+)
+USER_EXPORT_LINE = schema("", _list_of("data", EXPORTED_USER), METADATA)
 
 # ---- landing Parquet files -----------------------------------------------------------
 

@@ -18,7 +18,8 @@ def parse_lines(lines: DataFrame, record: T.StructType, keep_line: bool = False,
     """
     wide = T.StructType(record.fields + [T.StructField(BAD_LINE, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
-    parsed = lines.select(F.col(text).alias(LINE), F.from_json(text, wide, options).alias("r"))
+    # The one-element explode keeps later filters from repeating the parse below themselves.
+    parsed = lines.select(F.col(text).alias(LINE), F.explode(F.array(F.from_json(text, wide, options))).alias("r"))
     kept = [F.col(LINE)] if keep_line else []
     bad = F.when(F.col("r").isNull(), F.col(LINE)).otherwise(F.col(f"r.{BAD_LINE}"))
     return parsed.select(*[F.col(f"r.{f.name}") for f in record.fields], *kept, bad.alias(BAD_LINE))
