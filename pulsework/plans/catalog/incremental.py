@@ -1 +1,402 @@
+"""Upserts, window replacement, retention, registries, plans and checks."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from pulsework import sinks
+from pulsework.operators import merge, numbering, planning, quality, touches
+from pulsework.operators.latest import latest_by_key
+from pulsework.plans import derive
+from pulsework.plans.catalog.registry import EVENTS, query, with_text_times
+from pulsework.plans.catalog.relational import _JOURNEYS
+from pulsework.session import new_work_dir
+
+
+def mod(column: str, n: int):
+    return F.pmod(F.col(column), F.lit(n))
+
+
+def _unique_name(label: str) -> str:
+    return f"pulsework_{label}_{uuid.uuid4().hex}"
+
+
+# ---- upserts: even events are in the target, odd events arrive ---------------------------------------
+
+
+def _two_loads(spark, sf_dir):
+    """The latest event per user and type of either load; every seventh event has no time."""
+    rows = derive.events(spark, sf_dir).select(
+        "user_id", "event_type", "event_id", "cents", F.when(mod("event_id", 7) > 0, F.col("ts")).alias("seen_at")
+    )
+    keys = ["user_id", "event_type"]
+    stored, arriving = mod("event_id", 2) == 0, (mod("event_id", 2) == 1) & (mod("user_id", 5) > 0)
+    target = latest_by_key(rows.filter(stored), keys, ["event_id"])
+    source = latest_by_key(rows.filter(arriving), keys, ["event_id"])
+    return target, source, keys
+
+
+_TWO_LOADS = f"""{EVENTS}, seen AS (
+      SELECT user_id, event_type, event_id, cents, CASE WHEN event_id % 7 > 0 THEN ts END AS seen_at FROM ev
+    ), t AS (
+      SELECT * FROM seen WHERE event_id % 2 = 0
+      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1
+    ), s AS (
+      SELECT * FROM seen WHERE event_id % 2 = 1 AND user_id % 5 > 0
+      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1
+    )"""
+
+_UPSERT = f"""WITH {_TWO_LOADS}
+    SELECT coalesce(t.user_id, s.user_id) AS user_id, coalesce(t.event_type, s.event_type) AS event_type,
+      CASE WHEN t.user_id IS NULL THEN s.event_id ELSE t.event_id END AS event_id,
+      CASE WHEN s.user_id IS NULL THEN t.cents ELSE s.cents END AS cents,
+      strftime(CASE WHEN t.user_id IS NULL THEN s.seen_at ELSE t.seen_at END, '%Y-%m-%d %H:%M:%S.%f') AS seen_at
+    FROM t FULL JOIN s ON t.user_id = s.user_id AND t.event_type = s.event_type"""
+
+_UPSERT_IF_NEWER = f"""WITH {_TWO_LOADS}
+    SELECT coalesce(t.user_id, s.user_id) AS user_id, coalesce(t.event_type, s.event_type) AS event_type,
+      CASE WHEN t.user_id IS NULL THEN s.event_id ELSE t.event_id END AS event_id,
+      CASE WHEN t.user_id IS NULL OR s.seen_at > t.seen_at THEN s.cents ELSE t.cents END AS cents,
+      strftime(CASE WHEN t.user_id IS NULL OR s.seen_at > t.seen_at THEN s.seen_at ELSE t.seen_at END,
+        '%Y-%m-%d %H:%M:%S.%f') AS seen_at
+    FROM t FULL JOIN s ON t.user_id = s.user_id AND t.event_type = s.event_type"""
+
+
+@query("k3_upsert", _UPSERT)
+def upsert(spark, sf_dir):
+    target, source, keys = _two_loads(spark, sf_dir)
+    return with_text_times(merge.upsert(target, source, keys, ["cents"]), fraction=True)
+
+
+@query("k3_upsert_probing_small_source", _UPSERT)
+def upsert_small_source(spark, sf_dir):
+    target, source, keys = _two_loads(spark, sf_dir)
+    return with_text_times(merge.upsert(target, source, keys, ["cents"], small_source=True), fraction=True)
+
+
+@query("k4_upsert_if_newer", _UPSERT_IF_NEWER)
+def upsert_if_newer(spark, sf_dir):
+    target, source, keys = _two_loads(spark, sf_dir)
+    return with_text_times(merge.upsert(target, source, keys, ["cents"], "seen_at"), fraction=True)
+
+
+@query("k4_upsert_published_twice", _UPSERT_IF_NEWER)
+def upsert_published(spark, sf_dir):
+    """Through the published table, the source applied twice."""
+    target, source, keys = _two_loads(spark, sf_dir)
+    name, root = _unique_name("playbooks"), new_work_dir(spark, "published")
+    sinks.upsert_published(target, name, root, keys)
+    sinks.upsert_published(source, name, root, keys, ["cents"], "seen_at")
+    path = sinks.upsert_published(source, name, root, keys, ["cents"], "seen_at")
+    spark.sql(f"DROP VIEW {name}")
+    return with_text_times(spark.read.parquet(path), fraction=True)
+
+
+_DAY_UPSERT = f"""WITH {EVENTS}
+    SELECT event_id, user_id, CASE WHEN event_id % 10 = 0 AND day(ts) > 20 THEN cents + 1 ELSE cents END AS cents,
+      CASE WHEN event_id % 10 = 0 AND day(ts) > 20 THEN 2 ELSE 1 END AS load, day AS event_day
+    FROM ev WHERE NOT (day(ts) > 20 AND event_id % 10 > 4) OR event_id % 10 = 0"""
+
+
+@query("k4_upsert_day_table", _DAY_UPSERT)
+def upsert_day_table(spark, sf_dir):
+    """Only the partitions of the days that arrive are rewritten."""
+    rows = derive.events(spark, sf_dir)
+    kept = F.dayofmonth("ts") <= 20
+
+    def shaped(events, load, extra):
+        return events.select(
+            "event_id",
+            "user_id",
+            (F.col("cents") + extra).alias("cents"),
+            F.lit(load).alias("load"),
+            F.to_date("day").alias("event_day"),
+        )
+
+    first = shaped(rows.filter(kept | (mod("event_id", 10).between(1, 4))), 1, 0)
+    again = shaped(rows.filter(~kept & (mod("event_id", 10) == 0)), 2, 1)
+    stale = shaped(rows.filter(~kept & (mod("event_id", 10) == 1)), 0, 100)
+    table, path = _unique_name("events"), new_work_dir(spark, "day-table")
+    sinks.upsert_days_table(first, table, "event_day", ["event_id"], location=path)
+    sinks.upsert_days_table(again.unionByName(stale), table, "event_day", ["event_id"], ["cents", "load"], "load")
+    spark.sql(f"DROP TABLE {table}")
+    return with_text_times(spark.read.parquet(path))
+
+
+# ---- window replacement and retention ------------------------------------------------------------------
+
+
+@query("k5_replace_days", _JOURNEYS)
+def replace_days(spark, sf_dir):
+    """The window written twice over a target that holds part of it."""
+    outputs = derive.journey_outputs(derive.table(spark, sf_dir, "lineitem"))
+    subjects = derive.journey_subjects(derive.table(spark, sf_dir, "orders"))
+    window = ("1997-01-01", "1999-12-31")
+    rows = touches.journey_metrics(outputs, subjects, *window)
+    once = merge.replace_days(rows.filter("channel < 4"), rows, "created_at", *window)
+    return with_text_times(merge.replace_days(once, rows, "created_at", *window))
+
+
+@query(
+    "k5_replace_day_table",
+    """SELECT event_id, user_id, strftime(ts, '%Y-%m-%d') AS event_day FROM events
+    WHERE NOT (day(ts) BETWEEN 10 AND 14) OR (day(ts) <> 12 AND event_id % 2 = 0)""",
+)
+def replace_day_table(spark, sf_dir):
+    """Days 10 to 14 are replaced by fewer rows, and by none on the 12th."""
+    rows = derive.events(spark, sf_dir).select("event_id", "user_id", F.to_date("day").alias("event_day"))
+    table, path = _unique_name("journeys"), new_work_dir(spark, "day-table")
+    day = F.dayofmonth("event_day")
+    sinks.replace_days_table(rows, table, "event_day", "2024-01-01", "2024-01-31", location=path)
+    newer = rows.filter(day.between(10, 14) & (day != 12) & (mod("event_id", 2) == 0))
+    for _ in range(2):
+        sinks.replace_days_table(newer, table, "event_day", "2024-01-10", "2024-01-14")
+    left = with_text_times(spark.table(table))
+    return left
+
+
+@query(
+    "k6_expire",
+    """SELECT o_orderkey, o_custkey FROM orders
+    WHERE o_orderkey % 50 = 0 OR cast(o_orderdate AS date) >= DATE '1999-06-01' - 90""",
+)
+def expire(spark, sf_dir):
+    """Orders without a date are kept."""
+    orders = derive.table(spark, sf_dir, "orders").withColumn(
+        "at", F.when(mod("o_orderkey", 50) > 0, F.col("o_orderdate"))
+    )
+    return merge.expire(orders, "at", "1999-06-01").select("o_orderkey", "o_custkey")
+
+
+@query(
+    "k6_expire_day_table",
+    "SELECT event_id, strftime(ts, '%Y-%m-%d') AS event_day FROM events WHERE cast(ts AS date) >= DATE '2024-04-10' - 90",
+)
+def expire_day_table(spark, sf_dir):
+    rows = derive.events(spark, sf_dir).select("event_id", F.to_date("day").alias("event_day"))
+    table, path = _unique_name("events"), new_work_dir(spark, "day-table")
+    sinks.replace_days_table(rows, table, "event_day", "2024-01-01", "2024-01-31", location=path)
+    sinks.expire_days_table(spark, table, "event_day", "2024-04-10")
+    return with_text_times(spark.table(table))
+
+
+# ---- tables and views ------------------------------------------------------------------------------------
+
+
+@query(
+    "k1_k8_append_and_latest_view",
+    """SELECT user_id, event_type, event_id AS created_at FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
+)
+def append_and_latest_view(spark, sf_dir):
+    """Two loads appended to a raw table; the view shows the latest row per user."""
+    rows = derive.events(spark, sf_dir).select("user_id", "event_type", F.col("event_id").alias("created_at"))
+    table = _unique_name("raw")
+    path = new_work_dir(spark, "raw")
+    sinks.append(rows.filter(mod("created_at", 2) == 0), table, location=path)
+    sinks.append(rows.filter(mod("created_at", 2) == 1), table)
+    return spark.table(sinks.latest_view(spark, table, "user_export"))
+
+
+@query("k2_k9_overwrite", "SELECT DISTINCT event_type || '/' || user_id AS event_type FROM events WHERE user_id % 2 = 0")
+def overwrite(spark, sf_dir):
+    """A dimension reloaded as a whole: the rows of the first load are gone."""
+    types = derive.events(spark, sf_dir).select(F.concat_ws("/", "event_type", "user_id").alias("event_type"), "user_id")
+    table, path = _unique_name("types"), new_work_dir(spark, "types")
+    sinks.overwrite(types.select("event_type").distinct(), table, location=path)
+    sinks.overwrite(types.filter(mod("user_id", 2) == 0).select("event_type").distinct(), table, location=path)
+    return spark.table(table)
+
+
+@query("k7_publish_swap", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
+def publish_swap(spark, sf_dir):
+    orders = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    name, root = _unique_name("orders"), new_work_dir(spark, "published")
+    sinks.publish(orders.drop("o_orderstatus"), name, root)
+    sinks.publish(orders.filter("o_orderstatus = 'F'").drop("o_orderstatus"), name, root)
+    return spark.table(name)
+
+
+@query(
+    "k11_copy_tenant",
+    f"""WITH {EVENTS}
+    SELECT event_type AS event, user_id AS distinct_id, max(event_id) AS last_id, cast(max(epoch(ts)) AS double) AS created_at
+    FROM ev GROUP BY 1, 2""",
+)
+def copy_tenant(spark, sf_dir):
+    """One tenant's events into another's: epoch times, newest per key, guarded upsert."""
+    rows = derive.events(spark, sf_dir).select(
+        F.col("event_type").alias("event"),
+        F.col("user_id").alias("distinct_id"),
+        F.col("event_id").alias("last_id"),
+        (F.unix_micros("ts") / 1e6).alias("created_at"),
+    )
+    keys = ["event", "distinct_id"]
+    theirs = latest_by_key(rows.filter(mod("last_id", 3) > 0), keys, ["created_at"])
+    ours = latest_by_key(rows.filter(mod("last_id", 3) == 0), keys, ["created_at"])
+    return merge.upsert(theirs, ours, keys, newer_by="created_at")
+
+
+# ---- registries and plans -----------------------------------------------------------------------------------
+
+
+@query(
+    "r1_sync_registry",
+    f"""WITH {EVENTS}, types AS (SELECT DISTINCT event_type || '/' || user_id AS event_type, user_id,
+        10 + user_id * 5 + CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3
+          WHEN 'purchase' THEN 4 ELSE 0 END AS id FROM ev
+    ), known AS (SELECT * FROM types WHERE user_id % 3 > 0
+    ), listed AS (SELECT * FROM types WHERE user_id % 4 > 0)
+    SELECT event_type, id AS event_type_id, user_id % 4 > 0 AS is_active FROM known
+    UNION ALL
+    SELECT event_type, (SELECT max(id) FROM known) + row_number() OVER (ORDER BY md5(event_type)) AS event_type_id, true
+    FROM listed WHERE user_id % 3 = 0""",
+)
+def sync_registry(spark, sf_dir):
+    """A type per event type and user: some known, some listed now, some both."""
+    place = F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "click", 2).when(
+        F.col("event_type") == "view", 3
+    ).when(F.col("event_type") == "purchase", 4).otherwise(0)
+    types = derive.events(spark, sf_dir).select(
+        F.concat_ws("/", "event_type", "user_id").alias("event_type"),
+        (F.lit(10) + F.col("user_id") * 5 + place).alias("event_type_id"),
+        F.lit(True).alias("is_active"),
+        "user_id",
+    )
+    known = types.filter(mod("user_id", 3) > 0).drop("user_id").distinct()
+    listed = types.filter(mod("user_id", 4) > 0).select("event_type")
+    return numbering.sync_registry(known, listed)
+
+
+@query(
+    "r3_run_window",
+    "SELECT event_id FROM events WHERE cast(ts AS date) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'",
+)
+def run_window(spark, sf_dir):
+    """Runs of the 11th to the 13th work on the days before."""
+    from pulsework.functions import in_days
+
+    window = planning.run_window("2024-01-11", "2024-01-13")
+    return derive.table(spark, sf_dir, "events").filter(in_days(F.col("ts"), *window)).select("event_id")
+
+
+def _backfill_sql(days: int) -> str:
+    return f"""WITH spans AS (
+      SELECT c_custkey AS id, date_diff('day', DATE '2024-01-01' + cast(c_custkey % 400 AS int), DATE '2024-12-31') AS days
+      FROM customer), steps AS (
+      SELECT id, days, unnest(generate_series(0, cast(ceil(days / {days}.0) AS int) - 1)) AS step FROM spans WHERE days > 0)
+    SELECT id, strftime(DATE '2024-12-31' - cast(step * {days} AS int), '%Y-%m-%d') AS ending_at,
+      cast(least({days}, days - step * {days}) AS int) AS length FROM steps"""
+
+
+def _entities(spark, sf_dir):
+    return derive.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), mod("c_custkey", 400).cast("int")).alias("created_at"),
+    )
+
+
+@query("r4_plan_campaign_backfill", _backfill_sql(100))
+def plan_campaign_backfill(spark, sf_dir):
+    plan = planning.plan_backfill(_entities(spark, sf_dir), "id", "2024-12-31", planning.CAMPAIGN_WINDOW_DAYS)
+    return with_text_times(plan)
+
+
+@query("r4_plan_canvas_backfill", _backfill_sql(14))
+def plan_canvas_backfill(spark, sf_dir):
+    plan = planning.plan_backfill(_entities(spark, sf_dir), "id", "2024-12-31", planning.CANVAS_WINDOW_DAYS)
+    return with_text_times(plan)
+
+
+def _user_runs(spark, sf_dir):
+    rows = derive.events(spark, sf_dir)
+    return rows.groupBy("user_id").agg(F.min("day").alias("start_day"), F.max("day").alias("end_day"))
+
+
+@query(
+    "r5_plan_daily",
+    """WITH runs AS (SELECT user_id, min(cast(ts AS date)) AS a, max(cast(ts AS date)) AS b FROM events GROUP BY 1)
+    SELECT user_id, strftime(a + cast(unnest(generate_series(-1, cast(b - a AS int) - 1)) AS int), '%Y-%m-%d') AS day FROM runs""",
+)
+def plan_daily(spark, sf_dir):
+    plan = planning.plan_daily(_user_runs(spark, sf_dir), "start_day", "end_day")
+    return with_text_times(plan.select("user_id", "day"))
+
+
+@query(
+    "r5_plan_daily_late_data",
+    """WITH runs AS (SELECT user_id, min(cast(ts AS date)) AS a, max(cast(ts AS date)) AS b FROM events GROUP BY 1),
+    moved AS (SELECT user_id, a - 30 AS a, least(b - 30, a) AS b FROM runs)
+    SELECT user_id, strftime(a + cast(unnest(generate_series(-1, cast(b - a AS int) - 1)) AS int), '%Y-%m-%d') AS day FROM moved""",
+)
+def plan_daily_late_data(spark, sf_dir):
+    plan = planning.plan_daily(_user_runs(spark, sf_dir), "start_day", "end_day", offset=30)
+    return with_text_times(plan.select("user_id", "day"))
+
+
+@query(
+    "r6_batch_ids",
+    """WITH ids AS (SELECT DISTINCT o_custkey AS id FROM orders),
+    placed AS (SELECT id, row_number() OVER (ORDER BY md5(cast(id AS varchar)), id) - 1 AS place FROM ids)
+    SELECT place // 50 AS batch, string_agg(id, ',' ORDER BY place) AS ids FROM placed GROUP BY 1""",
+)
+def batch_ids(spark, sf_dir):
+    ids = derive.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))
+    batches = numbering.batch_ids(ids, "id", 50)
+    return batches.select("batch", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"))
+
+
+@query(
+    "r7_incomplete_windows",
+    """WITH runs AS (SELECT user_id, min(cast(ts AS date)) AS a, max(cast(ts AS date)) AS b FROM events GROUP BY 1),
+    planned AS (SELECT user_id, strftime(a + cast(unnest(generate_series(0, cast(b - a AS int))) AS int), '%Y-%m-%d') AS day FROM runs)
+    SELECT user_id, day FROM planned
+    WHERE (user_id, day) NOT IN (SELECT (user_id, strftime(ts, '%Y-%m-%d')) FROM events)""",
+)
+def incomplete_windows(spark, sf_dir):
+    planned = planning.plan_daily(_user_runs(spark, sf_dir), "start_day", "end_day", lag=0)
+    planned = planned.select("user_id", F.date_format("day", "yyyy-MM-dd").alias("day"))
+    landed = derive.events(spark, sf_dir).select("user_id", "day")
+    return planning.incomplete_windows(planned, landed, ["user_id", "day"])
+
+
+@query(
+    "r9_skip_if_absent",
+    "SELECT false AS ran, count(*) AS orders FROM orders",
+)
+def skip_if_absent(spark, sf_dir):
+    """The journey job has no source tables here, so it ends without touching anything."""
+    from pulsework.plans.jobs import run_journey_metrics
+
+    ran = run_journey_metrics(spark, "2024-01-01", "2024-01-02")
+    orders = derive.table(spark, sf_dir, "orders")
+    return orders.agg(F.lit(ran).alias("ran"), F.count(F.lit(1)).alias("orders"))
+
+
+@query(
+    "d3_check_unique",
+    """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
+)
+def check_unique(spark, sf_dir):
+    return quality.check_unique(derive.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "d3_check_domain",
+    "SELECT event_type, count(*) AS rows FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY 1",
+)
+def check_domain(spark, sf_dir):
+    return quality.check_domain(derive.table(spark, sf_dir, "events"), "event_type", ["click", "view"])
+
+
+@query(
+    "d3_check_not_null",
+    "SELECT 'at' AS \"column\", count(*) AS rows FROM orders WHERE o_orderkey % 50 = 0",
+)
+def check_not_null(spark, sf_dir):
+    orders = derive.table(spark, sf_dir, "orders").withColumn(
+        "at", F.when(mod("o_orderkey", 50) > 0, F.col("o_orderdate"))
+    )
+    return quality.check_not_null(orders, ["o_orderkey", "at"])

@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsework.operators.latest import PRESETS
@@ -21,14 +21,18 @@ from pulsework.operators.merge import expire, upsert
 from pulsework.session import new_work_dir
 
 
-def append(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+def _writer(df: DataFrame, location: str | None) -> DataFrameWriter:
+    """``location`` puts a new table's files outside the warehouse."""
+    return df.write.option("path", location) if location else df.write
 
 
-def overwrite(df: DataFrame, table: str) -> None:
+def append(df: DataFrame, table: str, location: str | None = None) -> None:
+    _writer(df, location).mode("append").saveAsTable(table)
+
+
+def overwrite(df: DataFrame, table: str, location: str | None = None) -> None:
     """Replace the whole table, also when it is partitioned."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").saveAsTable(table)
+    _writer(df, location).mode("overwrite").option("partitionOverwriteMode", "static").saveAsTable(table)
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
@@ -77,11 +81,11 @@ def _day_last(df: DataFrame, day: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != day], F.col(day).cast("date").alias(day))
 
 
-def _into_days(df: DataFrame, table: str, day: str) -> None:
+def _into_days(df: DataFrame, table: str, day: str, location: str | None = None) -> None:
     """Overwrite exactly the days that ``df`` holds."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        df.write.partitionBy(day).saveAsTable(table)
+        _writer(df, location).partitionBy(day).saveAsTable(table)
         return
     rows = df.select(*spark.table(table).columns)
     rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
@@ -93,7 +97,9 @@ def _drop_days(spark: SparkSession, table: str, day: str, days: list[str]) -> No
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
 
 
-def replace_days_table(df: DataFrame, table: str, day: str, first_day: str, last_day: str) -> None:
+def replace_days_table(
+    df: DataFrame, table: str, day: str, first_day: str, last_day: str, location: str | None = None
+) -> None:
     """Make the table's days equal to ``df``: days with rows are overwritten, the others emptied.
 
     Writing comes first, so a run that fails has deleted nothing. Which days got rows is
@@ -103,7 +109,7 @@ def replace_days_table(df: DataFrame, table: str, day: str, first_day: str, last
     seen = Observation("days")
     within = _day_last(df, day).filter(F.col(day).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
     observed = within.observe(seen, F.collect_set(F.col(day).cast("string")).alias("days"))
-    _into_days(observed, table, day)
+    _into_days(observed, table, day, location)
     written = set(seen.get["days"])
     first, count = date.fromisoformat(first_day), (date.fromisoformat(last_day) - date.fromisoformat(first_day)).days
     window = [(first + timedelta(days=i)).isoformat() for i in range(count + 1)]
@@ -117,6 +123,7 @@ def upsert_days_table(
     keys: list[str],
     update_cols: list[str] | None = None,
     newer_by: str | None = None,
+    location: str | None = None,
 ) -> None:
     """Upsert into a day table whose keys determine the day.
 
@@ -130,7 +137,7 @@ def upsert_days_table(
     _day_last(source, day).write.parquet(batch_path)
     batch = spark.read.parquet(batch_path)
     if not spark.catalog.tableExists(table):
-        _into_days(batch, table, day)
+        _into_days(batch, table, day, location)
         return
     days = [row[0] for row in batch.select(day).distinct().collect()]
     touched = spark.table(table).filter(F.col(day).isin(days))
