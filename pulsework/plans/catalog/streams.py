@@ -1 +1,89 @@
+"""Streaming jobs over the given files, run until nothing is left and compared with batch SQL."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pulsework.plans import derive
+from pulsework.plans.catalog.registry import EVENTS, query, with_text_times
+from pulsework.session import new_work_dir, use_utc
+from pulsework.streaming import (
+    append_new_files,
+    daily_sums,
+    dedupe_events,
+    stream_files,
+    sums_to_versions,
+    upsert_latest,
+)
+
+
+def _event_stream(spark, sf_dir):
+    use_utc(spark)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    rows = stream_files(spark, sf_dir, schema, glob="events.parquet")
+    # A watermark needs a time with zone.
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _last_version(spark, root: str):
+    """The newest version a job left below its root."""
+    versions = spark.read.parquet(root)
+    return versions.filter(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
+
+
+@query(
+    "s8_st1_stream_new_files",
+    "SELECT event_id, user_id, event_type, 'events.parquet' AS file FROM events",
+)
+def stream_new_files(spark, sf_dir):
+    """Started twice; the second start finds nothing new."""
+    root = new_work_dir(spark, "stream")
+    for _ in range(2):
+        append_new_files(_event_stream(spark, sf_dir), f"{root}/rows", f"{root}/checkpoint")
+    rows = spark.read.parquet(f"{root}/rows")
+    file = F.element_at(F.split("file_name", "/"), -1).alias("file")
+    return rows.select("event_id", "user_id", "event_type", file)
+
+
+@query(
+    "st2_stream_latest_upsert",
+    """SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def stream_latest_upsert(spark, sf_dir):
+    """The events arrive as several files, one micro-batch each; every batch upserts the newest rows."""
+    root = new_work_dir(spark, "stream")
+    rows = derive.events(spark, sf_dir).select("user_id", "event_type", "event_id", "ts")
+    parts = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    rows.withColumn("part", parts).write.partitionBy("part").parquet(f"{root}/arriving")
+    stream = stream_files(spark, f"{root}/arriving/*", rows.schema, files_per_batch=1).drop("file_name", "inserted_at")
+    upsert_latest(stream, f"{root}/state", f"{root}/checkpoint", ["user_id", "event_type"], ["ts"], "ts")
+    return with_text_times(_last_version(spark, f"{root}/state"), fraction=True)
+
+
+@query("st3_stream_dedupe_events", "SELECT event_id, user_id FROM events")
+def stream_dedupe_events(spark, sf_dir):
+    """Every fifth event arrives twice in the stream and leaves it once."""
+    root = new_work_dir(spark, "stream")
+    stream = _event_stream(spark, sf_dir).select("event_id", "user_id", "ts")
+    copies = F.when(F.pmod("event_id", F.lit(5)) == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    doubled = stream.withColumn("copy", F.explode(copies)).drop("copy")
+    unique = dedupe_events(doubled, "ts", ["event_id"], "40 days")
+    append_new_files(unique, f"{root}/rows", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/rows").select("event_id", "user_id")
+
+
+@query(
+    "st4_stream_daily_channel_sums",
+    f"""WITH {EVENTS}
+    SELECT day, channel, count(*) AS rows, cast(sum(cents) AS bigint) AS cents FROM ev GROUP BY day, channel""",
+)
+def stream_daily_channel_sums(spark, sf_dir):
+    """Sums per day and channel, with late data awaited for thirty days."""
+    root = new_work_dir(spark, "stream")
+    stream = _event_stream(spark, sf_dir).select(
+        "ts", derive.channel().alias("channel"), F.round(F.col("value") * 100).cast("bigint").alias("cents")
+    )
+    totals = daily_sums(stream, "ts", ["channel"], ["cents"], "30 days")
+    sums_to_versions(totals, f"{root}/state", f"{root}/checkpoint", ["day", "channel"])
+    return with_text_times(_last_version(spark, f"{root}/state"))
