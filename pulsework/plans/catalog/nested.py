@@ -515,12 +515,12 @@ def _day_arrays(spark, sf_dir, names: list[str]):
     per_day = rows.groupBy("user_id", F.dayofmonth("ts").alias("d")).agg(
         *[F.count_if(kinds == i).alias(name) for i, name in enumerate(names)]
     )
-    users = per_day.groupBy("user_id").agg(F.collect_list(F.struct("d", *names)).alias("days"))
+    entries = F.collect_list(F.struct("d", F.struct(*names)))
+    users = per_day.groupBy("user_id").agg(F.map_from_entries(entries).alias("by_day"))
 
     def series_of(name):
-        by_day = F.map_from_entries(F.transform("days", lambda x: F.struct(x["d"], x[name])))
-        counts = F.transform(F.sequence(F.lit(1), F.lit(31)), lambda d: F.coalesce(by_day[d], F.lit(0)))
-        return F.to_json(counts).alias(name)
+        days = [F.coalesce(F.try_element_at("by_day", F.lit(d))[name], F.lit(0)) for d in range(1, 32)]
+        return F.to_json(F.array(*days)).alias(name)
 
     return users.select(
         F.col("user_id").alias("playbook_id"),

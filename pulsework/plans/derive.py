@@ -226,48 +226,52 @@ def user_lines(rows: DataFrame) -> DataFrame:
     parts = rows.groupBy("user_id", F.pmod("event_id", F.lit(30)).alias("r")).agg(
         F.count(F.lit(1)).alias("n"), F.max("ts").alias("last"), F.sum("cents").alias("c")
     )
-    users = parts.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("r", "n", "last", "c"))).alias("items"))
-    items = F.col("items")
+    users = parts.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("r", F.struct("n", "last", "c")))).alias("by_r")
+    )
+
+    def items(of: range) -> Column:
+        return F.array_compact(F.array(*[F.try_element_at("by_r", F.lit(r).cast("bigint")) for r in of]))
 
     def latest(of: Column) -> Column:
         return F.date_format(F.array_max(F.transform(of, lambda x: x["last"])), iso)
 
-    def count(of: Column) -> Column:
-        return F.aggregate(of, F.lit(0).cast("bigint"), lambda t, x: t + x["n"])
+    def total(of: Column, name: str) -> Column:
+        return F.aggregate(of, F.lit(0).cast("bigint"), lambda t, x: t + x[name])
 
     def campaign(k: int) -> Column:
-        mine = F.filter(items, lambda x: x["r"] % 10 == k)
+        mine = items(range(k, 30, 10))
         fields = F.struct(
             F.lit(f"Campaign {k}").alias("name"),
             F.lit(f"c-{k}").alias("api_campaign_id"),
             latest(mine).alias("last_received"),
             F.lit(k % 2 == 0).alias("in_control"),
-            (count(mine) > 3).alias("converted"),
+            (total(mine, "n") > 3).alias("converted"),
             F.when(F.lit(k % 3 == 0), F.create_map().cast("map<string,bigint>"))
-            .otherwise(F.create_map(F.lit("purchase"), count(mine)))
+            .otherwise(F.create_map(F.lit("purchase"), total(mine, "n")))
             .alias("multiple_converted"),
             F.when(F.lit(k % 4 != 0), F.create_map(F.lit("opened"), F.lit(True))).alias("engaged"),
         )
         return F.when(F.size(mine) > 0, fields)
 
     def canvas(k: int) -> Column:
-        mine = F.filter(items, lambda x: x["r"] % 6 == k)
+        mine = items(range(k, 30, 6))
 
         def step(s: int) -> Column:
-            own = F.filter(mine, lambda x: x["r"] % 5 == s)
+            own = F.try_element_at("by_r", F.lit(next(r for r in range(k, 30, 6) if r % 5 == s)).cast("bigint"))
             fields = F.struct(
                 F.lit(f"s-{s}").alias("api_canvas_step_id"),
                 F.lit(f"Step {s}").alias("name"),
-                latest(own).alias("last_received"),
+                F.date_format(own["last"], iso).alias("last_received"),
             )
-            return F.when(F.size(own) > 0, fields)
+            return F.when(own.isNotNull(), fields)
 
         fields = F.struct(
             F.lit(f"Canvas {k}").alias("name"),
             F.lit(f"k-{k}").alias("api_canvas_id"),
             latest(mine).alias("last_received_message"),
             F.lit(k % 2 == 1).alias("is_in_control"),
-            (count(mine) > 5).alias("converted"),
+            (total(mine, "n") > 5).alias("converted"),
             F.when(F.lit(k % 3 != 1), F.array(F.lit("buy"), F.lit(f"goal {k}"))).alias("conversion_events_performed"),
             F.array_compact(F.array(*[step(s) for s in range(5)])).alias("steps_received"),
         )
@@ -275,9 +279,7 @@ def user_lines(rows: DataFrame) -> DataFrame:
 
     user = F.struct(
         F.concat(F.lit("u-"), F.col("user_id")).alias("external_id"),
-        F.create_map(F.lit("spent"), F.aggregate(items, F.lit(0).cast("bigint"), lambda t, x: t + x["c"])).alias(
-            "custom_attributes"
-        ),
+        F.create_map(F.lit("spent"), total(F.map_values("by_r"), "c")).alias("custom_attributes"),
         F.when(F.pmod("user_id", F.lit(3)) == 0, "DE").when(F.pmod("user_id", F.lit(3)) == 1, "FR").alias("country"),
         F.concat(F.lit("city "), F.pmod("user_id", F.lit(7))).alias("home_city"),
         F.array_compact(F.array(*[campaign(k) for k in range(10)])).alias("campaigns_received"),
