@@ -21,11 +21,11 @@ def parse_iso(text: Column) -> Column:
     """ISO text to timestamp; empty, malformed or impossible dates give NULL.
 
     The shape test comes first since a plain cast also takes ``2025`` or ``2025-1-1``.
-    Times without seconds are filled up because the cast rejects them next to an offset.
+    The cast rejects times without seconds next to an offset; only those are filled up.
     """
     filled = F.regexp_replace(text, _HOUR_ONLY, "$1 $2:00:00$3")
     filled = F.regexp_replace(filled, _MINUTE_ONLY, "$1 $2:00$3")
-    return F.when(text.rlike(ISO_SHAPE), filled.try_cast("timestamp"))
+    return F.when(text.rlike(ISO_SHAPE), F.coalesce(text.try_cast("timestamp"), filled.try_cast("timestamp")))
 
 
 def from_epoch_seconds(seconds: Column) -> Column:

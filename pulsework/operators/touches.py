@@ -63,16 +63,22 @@ def channel_touches(
 
 
 def journey_metrics(
-    outputs: DataFrame, subjects: DataFrame, first_day: str, last_day: str, hot_rows: int = HOT_ROWS
+    outputs: DataFrame, subjects: DataFrame, first_day: str, last_day: str, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Journey outputs of the days with the journey they belong to."""
+    """Journey outputs of the days with the journey they belong to.
+
+    ``hot_rows=None`` joins plainly, for outputs that already hold each subject once.
+    """
     on_days = outputs.filter(in_days(F.col("created_at"), first_day, last_day)).select(
         "subject_name", "action_id", "explanation", "output_type", "delay_ends_at", "created_at"
     )
     journeys = subjects.select(
         "subject_name", "internal_customer_id", "campaign_id", "campaign_type", "started_campaign_at"
     )
-    rows = skew_join(on_days, journeys, ["subject_name"], hot_rows=hot_rows)
+    if hot_rows is None:
+        rows = on_days.join(journeys, "subject_name")
+    else:
+        rows = skew_join(on_days, journeys, ["subject_name"], hot_rows=hot_rows)
 
     def second_time(name: str):
         is_text = dict(rows.dtypes)[name] == "string"

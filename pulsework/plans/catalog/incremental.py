@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from pulsework import sinks
 from pulsework.operators import merge, numbering, planning, quality, touches
 from pulsework.operators.latest import latest_by_key
 from pulsework.plans import derive
-from pulsework.plans.catalog.registry import EVENTS, query, with_text_times
+from pulsework.plans.catalog.registry import EVENTS, query, unique_name, with_text_times
 from pulsework.plans.catalog.relational import _JOURNEYS
 from pulsework.session import new_work_dir
 
@@ -19,20 +17,20 @@ def mod(column: str, n: int):
     return F.pmod(F.col(column), F.lit(n))
 
 
-def _unique_name(label: str) -> str:
-    return f"pulsework_{label}_{uuid.uuid4().hex}"
-
-
 # ---- upserts: even events are in the target, odd events arrive ---------------------------------------
 
 
 def _two_loads(spark, sf_dir):
-    """The latest event per user and type of either load; every seventh event has no time."""
+    """The latest event per user and type of either load; every seventh event has no time.
+
+    Signups come with the second load only, errors with the first only.
+    """
     rows = derive.events(spark, sf_dir).select(
         "user_id", "event_type", "event_id", "cents", F.when(mod("event_id", 7) > 0, F.col("ts")).alias("seen_at")
     )
     keys = ["user_id", "event_type"]
-    stored, arriving = mod("event_id", 2) == 0, (mod("event_id", 2) == 1) & (mod("user_id", 5) > 0)
+    stored = (mod("event_id", 2) == 0) & (F.col("event_type") != "signup")
+    arriving = (mod("event_id", 2) == 1) & (F.col("event_type") != "error") | (F.col("event_type") == "signup")
     target = latest_by_key(rows.filter(stored), keys, ["event_id"])
     source = latest_by_key(rows.filter(arriving), keys, ["event_id"])
     return target, source, keys
@@ -41,10 +39,10 @@ def _two_loads(spark, sf_dir):
 _TWO_LOADS = f"""{EVENTS}, seen AS (
       SELECT user_id, event_type, event_id, cents, CASE WHEN event_id % 7 > 0 THEN ts END AS seen_at FROM ev
     ), t AS (
-      SELECT * FROM seen WHERE event_id % 2 = 0
+      SELECT * FROM seen WHERE event_id % 2 = 0 AND event_type <> 'signup'
       QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1
     ), s AS (
-      SELECT * FROM seen WHERE event_id % 2 = 1 AND user_id % 5 > 0
+      SELECT * FROM seen WHERE event_id % 2 = 1 AND event_type <> 'error' OR event_type = 'signup'
       QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1
     )"""
 
@@ -86,25 +84,24 @@ def upsert_if_newer(spark, sf_dir):
 def upsert_published(spark, sf_dir):
     """Through the published table, the source applied twice."""
     target, source, keys = _two_loads(spark, sf_dir)
-    name, root = _unique_name("playbooks"), new_work_dir(spark, "published")
-    sinks.upsert_published(target, name, root, keys)
-    sinks.upsert_published(source, name, root, keys, ["cents"], "seen_at")
-    path = sinks.upsert_published(source, name, root, keys, ["cents"], "seen_at")
-    spark.sql(f"DROP VIEW {name}")
-    return with_text_times(spark.read.parquet(path), fraction=True)
+    name, root = unique_name("playbooks"), new_work_dir(spark, "published")
+    sinks.upsert_published(target, name, keys, root=root)
+    for _ in range(2):
+        sinks.upsert_published(source, name, keys, ["cents"], "seen_at", root=root)
+    return with_text_times(spark.table(name), fraction=True)
 
 
 _DAY_UPSERT = f"""WITH {EVENTS}
-    SELECT event_id, user_id, CASE WHEN event_id % 10 = 0 AND day(ts) > 20 THEN cents + 1 ELSE cents END AS cents,
-      CASE WHEN event_id % 10 = 0 AND day(ts) > 20 THEN 2 ELSE 1 END AS load, day AS event_day
-    FROM ev WHERE NOT (day(ts) > 20 AND event_id % 10 > 4) OR event_id % 10 = 0"""
+    SELECT event_id, user_id, CASE WHEN day(ts) > 20 AND event_type = 'purchase' THEN cents + 1 ELSE cents END AS cents,
+      CASE WHEN day(ts) > 20 AND event_type IN ('purchase', 'signup') THEN 2 ELSE 1 END AS load, day AS event_day
+    FROM ev"""
 
 
 @query("k4_upsert_day_table", _DAY_UPSERT)
 def upsert_day_table(spark, sf_dir):
-    """Only the partitions of the days that arrive are rewritten."""
+    """From the 21st on signups are missing at first, purchases come again changed, clicks come again stale."""
     rows = derive.events(spark, sf_dir)
-    kept = F.dayofmonth("ts") <= 20
+    late = F.dayofmonth("ts") > 20
 
     def shaped(events, load, extra):
         return events.select(
@@ -115,14 +112,15 @@ def upsert_day_table(spark, sf_dir):
             F.to_date("day").alias("event_day"),
         )
 
-    first = shaped(rows.filter(kept | (mod("event_id", 10).between(1, 4))), 1, 0)
-    again = shaped(rows.filter(~kept & (mod("event_id", 10) == 0)), 2, 1)
-    stale = shaped(rows.filter(~kept & (mod("event_id", 10) == 1)), 0, 100)
-    table, path = _unique_name("events"), new_work_dir(spark, "day-table")
+    first = shaped(rows.filter(~(late & (F.col("event_type") == "signup"))), 1, 0)
+    missing = shaped(rows.filter(late & (F.col("event_type") == "signup")), 2, 0)
+    changed = shaped(rows.filter(late & (F.col("event_type") == "purchase")), 2, 1)
+    stale = shaped(rows.filter(late & (F.col("event_type") == "click")), 0, 100)
+    second = missing.unionByName(changed).unionByName(stale)
+    table, path = unique_name("events"), new_work_dir(spark, "day-table")
     sinks.upsert_days_table(first, table, "event_day", ["event_id"], location=path)
-    sinks.upsert_days_table(again.unionByName(stale), table, "event_day", ["event_id"], ["cents", "load"], "load")
-    spark.sql(f"DROP TABLE {table}")
-    return with_text_times(spark.read.parquet(path))
+    sinks.upsert_days_table(second, table, "event_day", ["event_id"], ["cents", "load"], "load")
+    return with_text_times(spark.table(table))
 
 
 # ---- window replacement and retention ------------------------------------------------------------------
@@ -142,19 +140,19 @@ def replace_days(spark, sf_dir):
 @query(
     "k5_replace_day_table",
     """SELECT event_id, user_id, strftime(ts, '%Y-%m-%d') AS event_day FROM events
-    WHERE NOT (day(ts) BETWEEN 10 AND 14) OR (day(ts) <> 12 AND event_id % 2 = 0)""",
+    WHERE NOT (day(ts) BETWEEN 10 AND 14) OR (day(ts) <> 12 AND event_type <> 'error')""",
 )
 def replace_day_table(spark, sf_dir):
     """Days 10 to 14 are replaced by fewer rows, and by none on the 12th."""
-    rows = derive.events(spark, sf_dir).select("event_id", "user_id", F.to_date("day").alias("event_day"))
-    table, path = _unique_name("journeys"), new_work_dir(spark, "day-table")
+    events = derive.events(spark, sf_dir).select("event_id", "user_id", F.to_date("day").alias("event_day"), "event_type")
+    rows = events.drop("event_type")
+    table, path = unique_name("journeys"), new_work_dir(spark, "day-table")
     day = F.dayofmonth("event_day")
     sinks.replace_days_table(rows, table, "event_day", "2024-01-01", "2024-01-31", location=path)
-    newer = rows.filter(day.between(10, 14) & (day != 12) & (mod("event_id", 2) == 0))
+    newer = events.filter(day.between(10, 14) & (day != 12) & (F.col("event_type") != "error")).drop("event_type")
     for _ in range(2):
         sinks.replace_days_table(newer, table, "event_day", "2024-01-10", "2024-01-14")
-    left = with_text_times(spark.table(table))
-    return left
+    return with_text_times(spark.table(table))
 
 
 @query(
@@ -176,7 +174,7 @@ def expire(spark, sf_dir):
 )
 def expire_day_table(spark, sf_dir):
     rows = derive.events(spark, sf_dir).select("event_id", F.to_date("day").alias("event_day"))
-    table, path = _unique_name("events"), new_work_dir(spark, "day-table")
+    table, path = unique_name("events"), new_work_dir(spark, "day-table")
     sinks.replace_days_table(rows, table, "event_day", "2024-01-01", "2024-01-31", location=path)
     sinks.expire_days_table(spark, table, "event_day", "2024-04-10")
     return with_text_times(spark.table(table))
@@ -193,28 +191,31 @@ def expire_day_table(spark, sf_dir):
 def append_and_latest_view(spark, sf_dir):
     """Two loads appended to a raw table; the view shows the latest row per user."""
     rows = derive.events(spark, sf_dir).select("user_id", "event_type", F.col("event_id").alias("created_at"))
-    table = _unique_name("raw")
+    table = unique_name("raw")
     path = new_work_dir(spark, "raw")
     sinks.append(rows.filter(mod("created_at", 2) == 0), table, location=path)
     sinks.append(rows.filter(mod("created_at", 2) == 1), table)
     return spark.table(sinks.latest_view(spark, table, "user_export"))
 
 
-@query("k2_k9_overwrite", "SELECT DISTINCT event_type || '/' || user_id AS event_type FROM events WHERE user_id % 2 = 0")
+@query("k2_k9_overwrite", "SELECT DISTINCT event_type || '/' || user_id AS event_type FROM events WHERE event_type <> 'error'")
 def overwrite(spark, sf_dir):
     """A dimension reloaded as a whole: the rows of the first load are gone."""
-    types = derive.events(spark, sf_dir).select(F.concat_ws("/", "event_type", "user_id").alias("event_type"), "user_id")
-    table, path = _unique_name("types"), new_work_dir(spark, "types")
+    types = derive.events(spark, sf_dir).select(
+        F.concat_ws("/", "event_type", "user_id").alias("event_type"), F.col("event_type").alias("kind")
+    )
+    table, path = unique_name("types"), new_work_dir(spark, "types")
     sinks.overwrite(types.select("event_type").distinct(), table, location=path)
-    sinks.overwrite(types.filter(mod("user_id", 2) == 0).select("event_type").distinct(), table, location=path)
+    sinks.overwrite(types.filter("kind <> 'error'").select("event_type").distinct(), table, location=path)
     return spark.table(table)
 
 
 @query("k7_publish_swap", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def publish_swap(spark, sf_dir):
     orders = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    name, root = _unique_name("orders"), new_work_dir(spark, "published")
+    name, root = unique_name("orders"), new_work_dir(spark, "published")
     sinks.publish(orders.drop("o_orderstatus"), name, root)
+    # The second copy replaces the first.
     sinks.publish(orders.filter("o_orderstatus = 'F'").drop("o_orderstatus"), name, root)
     return spark.table(name)
 
@@ -247,15 +248,15 @@ def copy_tenant(spark, sf_dir):
     f"""WITH {EVENTS}, types AS (SELECT DISTINCT event_type || '/' || user_id AS event_type, user_id,
         10 + user_id * 5 + CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3
           WHEN 'purchase' THEN 4 ELSE 0 END AS id FROM ev
-    ), known AS (SELECT * FROM types WHERE user_id % 3 > 0
-    ), listed AS (SELECT * FROM types WHERE user_id % 4 > 0)
-    SELECT event_type, id AS event_type_id, user_id % 4 > 0 AS is_active FROM known
+    ), known AS (SELECT * FROM types WHERE event_type NOT LIKE 'signup%'
+    ), listed AS (SELECT * FROM types WHERE event_type NOT LIKE 'error%')
+    SELECT event_type, id AS event_type_id, event_type NOT LIKE 'error%' AS is_active FROM known
     UNION ALL
     SELECT event_type, (SELECT max(id) FROM known) + row_number() OVER (ORDER BY md5(event_type)) AS event_type_id, true
-    FROM listed WHERE user_id % 3 = 0""",
+    FROM listed WHERE event_type LIKE 'signup%'""",
 )
 def sync_registry(spark, sf_dir):
-    """A type per event type and user: some known, some listed now, some both."""
+    """A type per event type and user: signups are new, errors are gone."""
     place = F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "click", 2).when(
         F.col("event_type") == "view", 3
     ).when(F.col("event_type") == "purchase", 4).otherwise(0)
@@ -263,10 +264,10 @@ def sync_registry(spark, sf_dir):
         F.concat_ws("/", "event_type", "user_id").alias("event_type"),
         (F.lit(10) + F.col("user_id") * 5 + place).alias("event_type_id"),
         F.lit(True).alias("is_active"),
-        "user_id",
+        F.col("event_type").alias("kind"),
     )
-    known = types.filter(mod("user_id", 3) > 0).drop("user_id").distinct()
-    listed = types.filter(mod("user_id", 4) > 0).select("event_type")
+    known = types.filter("kind <> 'signup'").drop("kind").distinct()
+    listed = types.filter("kind <> 'error'").select("event_type")
     return numbering.sync_registry(known, listed)
 
 

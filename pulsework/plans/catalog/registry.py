@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def unique_name(label: str) -> str:
+    """A table name no other run uses."""
+    return f"pulsework_{label}_{uuid.uuid4().hex}"
+
+
 def seconds(time: str | Column) -> Column:
     return F.date_format(time, "yyyy-MM-dd HH:mm:ss")
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulsework.plans import derive
-from pulsework.plans.catalog.registry import EVENTS, query, with_text_times
+from pulsework.plans.catalog.registry import EVENTS, query, unique_name, with_text_times
 from pulsework.session import new_work_dir, use_utc
 from pulsework.streaming import (
     append_new_files,
     daily_sums,
     dedupe_events,
+    read_state,
     stream_files,
-    sums_to_versions,
+    sums_to_days,
     upsert_latest,
 )
 
@@ -25,12 +26,6 @@ def _event_stream(spark, sf_dir):
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _last_version(spark, root: str):
-    """The newest version a job left below its root."""
-    versions = spark.read.parquet(root)
-    return versions.filter(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
-
-
 @query(
     "s8_st1_stream_new_files",
     "SELECT event_id, user_id, event_type, 'events.parquet' AS file FROM events",
@@ -58,7 +53,7 @@ def stream_latest_upsert(spark, sf_dir):
     rows.withColumn("part", parts).write.partitionBy("part").parquet(f"{root}/arriving")
     stream = stream_files(spark, f"{root}/arriving/*", rows.schema, files_per_batch=1).drop("file_name", "inserted_at")
     upsert_latest(stream, f"{root}/state", f"{root}/checkpoint", ["user_id", "event_type"], ["ts"], "ts")
-    return with_text_times(_last_version(spark, f"{root}/state"), fraction=True)
+    return with_text_times(read_state(spark, f"{root}/state"), fraction=True)
 
 
 @query("st3_stream_dedupe_events", "SELECT event_id, user_id FROM events")
@@ -85,5 +80,6 @@ def stream_daily_channel_sums(spark, sf_dir):
         "ts", derive.channel().alias("channel"), F.round(F.col("value") * 100).cast("bigint").alias("cents")
     )
     totals = daily_sums(stream, "ts", ["channel"], ["cents"], "30 days")
-    sums_to_versions(totals, f"{root}/state", f"{root}/checkpoint", ["day", "channel"])
-    return with_text_times(_last_version(spark, f"{root}/state"))
+    table = unique_name("channel_sums")
+    sums_to_days(totals, table, f"{root}/checkpoint", ["day", "channel"], location=f"{root}/sums")
+    return with_text_times(spark.table(table))

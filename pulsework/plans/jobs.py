@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +53,11 @@ LANDINGS = {
 
 @dataclass(frozen=True)
 class Job:
-    """A result table: its source, its transformation and its upsert."""
+    """A result table: its source, its transformation and its upsert.
+
+    ``time`` names the key column that gives a row's day. Such results are day tables, so a
+    run rewrites only the days it brings; the others are published as a whole.
+    """
 
     source: str
     transform: Callable[[DataFrame], DataFrame]
@@ -61,7 +65,8 @@ class Job:
     keys: list[str]
     update_cols: list[str] | None = None
     newer_by: str | None = None
-    full_refresh: bool = field(default=False)
+    full_refresh: bool = False
+    time: str | None = None
 
 
 _PLAYBOOK_UPDATES = ["last_received", "in_control", "converted", "conversion_events_performed", "message_status"]
@@ -87,30 +92,35 @@ JOBS = {
         series.campaign_variants,
         "transformed_variants",
         ["variant_id", "type", "id", "time"],
+        time="time",
     ),
     "canvas_variants": Job(
         "braze_canvas_data_series_view",
         series.canvas_variants,
         "transformed_variants",
         ["variant_id", "type", "id", "time"],
+        time="time",
     ),
     "canvas_steps": Job(
         "braze_canvas_data_series_view",
         series.canvas_steps,
         "transformed_canvas_steps",
         ["time", "canvas_id", "step_id"],
+        time="time",
     ),
     "campaign_channels": Job(
         "braze_campaigns_data_series_view",
         series.campaign_channels,
         "transformed_channels_campaign",
         ["time", "channel_name", "type", "id"],
+        time="time",
     ),
     "canvas_channels": Job(
         "braze_canvas_data_series_view",
         series.canvas_channels,
         "transformed_channels_canvas",
         ["time", "channel_name", "type", "id", "step_id"],
+        time="time",
     ),
     "user_campaigns": Job(
         "braze_user_workflow_data_view",
@@ -176,8 +186,11 @@ def ingest(spark: SparkSession, kind: str, path: str, namespace: str | None = No
     return sinks.latest_view(spark, table, spec.preset)
 
 
-def run_job(spark: SparkSession, name: str, root: str, namespace: str | None = None) -> str | None:
-    """Transform and publish one result table; None when its source does not exist."""
+DAY = "day"
+
+
+def run_job(spark: SparkSession, name: str, namespace: str | None = None, root: str | None = None) -> str | None:
+    """Transform and write one result table; None when its source does not exist."""
     job = JOBS[name]
     source = table_or_none(spark, qualified(namespace, job.source))
     if source is None:
@@ -185,40 +198,48 @@ def run_job(spark: SparkSession, name: str, root: str, namespace: str | None = N
     target = qualified(namespace, job.table)
     rows = job.transform(source)
     if job.full_refresh:
-        return sinks.publish(rows, target, root)
-    return sinks.upsert_published(dedupe(rows, job.keys), target, root, job.keys, job.update_cols, job.newer_by)
+        sinks.publish(rows, target, root)
+        return target
+    unique = dedupe(rows, job.keys)
+    if job.time:
+        dated = unique.withColumn(DAY, F.to_date(job.time))
+        sinks.upsert_days_table(dated, target, DAY, job.keys, job.update_cols, job.newer_by)
+    else:
+        sinks.upsert_published(unique, target, job.keys, job.update_cols, job.newer_by, root=root)
+    return target
 
 
-def run_people(spark: SparkSession, root: str, first_day: str, last_day: str, namespace: str | None = None) -> str | None:
+def run_people(
+    spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None, root: str | None = None
+) -> str | None:
     source = table_or_none(spark, qualified(namespace, "customerio_people_view"))
     if source is None:
         return None
+    target = qualified(namespace, "transformed_customerio_people_details")
     rows = details.cio_people(source, first_day, last_day)
-    return sinks.upsert_published(
-        rows,
-        qualified(namespace, "transformed_customerio_people_details"),
-        root,
-        ["internal_customer_id"],
-        newer_by="updated_at",
-    )
+    sinks.upsert_published(rows, target, ["internal_customer_id"], newer_by="updated_at", root=root)
+    return target
 
 
 def run_channel_touches(
-    spark: SparkSession, root: str, first_day: str, last_day: str, namespace: str | None = None
+    spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None, root: str | None = None
 ) -> str | None:
-    """All thirteen metrics as one table with a metric column, from one pass over the join."""
+    """All thirteen metrics from one pass over the join, as one table partitioned by metric."""
     metrics = table_or_none(spark, qualified(namespace, "customerio_channel_metrics_view"))
     deliveries = table_or_none(spark, qualified(namespace, "customerio_channel_deliveries_view"))
     if metrics is None or deliveries is None:
         return None
-    return sinks.upsert_published(
+    target = qualified(namespace, "customerio_channel_touches")
+    sinks.upsert_published(
         touches.channel_touches(metrics, deliveries, first_day, last_day),
-        qualified(namespace, "customerio_channel_touches"),
-        root,
+        target,
         ["metric", "internal_customer_id", "playbook_id"],
         ["type", "channel", "channel_name"],
         "created_at",
+        root=root,
+        partition_by=["metric"],
     )
+    return target
 
 
 def run_journey_metrics(spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None) -> bool:
@@ -227,7 +248,8 @@ def run_journey_metrics(spark: SparkSession, first_day: str, last_day: str, name
     subjects = table_or_none(spark, qualified(namespace, "customerio_journey_subjects_view"))
     if outputs is None or subjects is None:
         return False
-    rows = touches.journey_metrics(outputs, subjects, first_day, last_day)
+    # The outputs view holds each subject once, so no subject can be hot.
+    rows = touches.journey_metrics(outputs, subjects, first_day, last_day, hot_rows=None)
     table = qualified(namespace, "transformed_customerio_journey_metrics")
     sinks.replace_days_table(
         rows.withColumn("created_day", rows["created_at"].cast("date")), table, "created_day", first_day, last_day
@@ -261,3 +283,38 @@ def run_mixpanel_events(spark: SparkSession, namespace: str | None = None) -> bo
         ["properties", "metadata", "created_at", "event_type_id"], "created_at",
     )
     return True
+
+
+# Result tables that lose rows after the retention period, their day column
+# if they are day tables, and the time that counts where it is not the one of the day.
+RETENTION = {
+    "mixpanel_events": ("event_day", None),
+    "transformed_canvas_steps": (DAY, None),
+    "transformed_channels_campaign": (DAY, None),
+    "transformed_channels_canvas": (DAY, None),
+    "transformed_variants": (DAY, None),
+    "transformed_user_playbook_data": (None, "last_received"),
+    "transformed_user_playbook_steps_data": (None, "last_received"),
+    "customerio_channel_touches": (None, "created_at"),
+    "transformed_customerio_journey_metrics": ("created_day", None),
+    "served_amplitude_events": ("event_day", "server_upload_time"),
+}
+
+
+def run_retention(
+    spark: SparkSession, as_of: str, days: int = 90, namespace: str | None = None, root: str | None = None
+) -> list[str]:
+    """Expire every result table there is; returns the tables it went over."""
+    done = []
+    for table, (day, time) in RETENTION.items():
+        name = qualified(namespace, table)
+        if not spark.catalog.tableExists(name):
+            continue
+        if day and time:
+            sinks.expire_rows_table(spark, name, day, time, as_of, days)
+        elif day:
+            sinks.expire_days_table(spark, name, day, as_of, days)
+        else:
+            sinks.expire_published(spark, name, time, as_of, days, root)
+        done.append(name)
+    return done

@@ -2,8 +2,9 @@
 
 Two kinds of result table:
 
-* a *published* table is a view on one finished copy below a root folder. A rewrite makes a
-  new copy and then moves the view, so readers and reruns never see half of it;
+* a *published* table is a view on one finished copy. A rewrite makes a new copy and then
+  moves the view, so readers and reruns never see half of it; the last copies are kept and
+  older ones dropped;
 * a *day table* is partitioned by a day column. Upserts, window replacements and expiry
   touch only the partitions of their days, whatever the size of the table.
 """
@@ -11,7 +12,7 @@ Two kinds of result table:
 from __future__ import annotations
 
 import uuid
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,31 +47,56 @@ def copy_table(spark: SparkSession, source: str, target: str) -> None:
 # ---- published tables ------------------------------------------------------------------
 
 
-def publish(df: DataFrame, name: str, root: str) -> str:
-    """Write a complete copy next to the older ones, then point the view at it."""
+def publish(
+    df: DataFrame,
+    name: str,
+    root: str | None = None,
+    partition_by: list[str] | None = None,
+    keep: int = 2,
+) -> str:
+    """Write a complete copy under a name of its own, point the view at it, drop copies before the last ``keep``.
+
+    Copies are managed tables, or lie below ``root`` if given. Their names begin with the
+    time they were made, which is the order they are dropped in.
+    """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
-    return path
+    copy = f"{name}__{datetime.now(UTC):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+    writer = _writer(df, f"{root.rstrip('/')}/{copy}" if root else None)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(copy)
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {copy}")
+    for old in _copies(spark, name)[:-keep]:
+        spark.sql(f"DROP TABLE {old}")
+    return copy
+
+
+def _copies(spark: SparkSession, name: str) -> list[str]:
+    """The copies of a published table, oldest first."""
+    database, _, base = name.rpartition(".")
+    within = f" IN {database}" if database else ""
+    names = sorted(row.tableName for row in spark.sql(f"SHOW TABLES{within} LIKE '{base}__*'").collect())
+    return [f"{database}.{n}" if database else n for n in names]
 
 
 def upsert_published(
     source: DataFrame,
     name: str,
-    root: str,
     keys: list[str],
     update_cols: list[str] | None = None,
     newer_by: str | None = None,
     small_source: bool = False,
+    root: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> str:
     spark = source.sparkSession
-    if not spark.catalog.tableExists(name):
-        return publish(source, name, root)
-    return publish(upsert(spark.table(name), source, keys, update_cols, newer_by, small_source), name, root)
+    if spark.catalog.tableExists(name):
+        source = upsert(spark.table(name), source, keys, update_cols, newer_by, small_source)
+    return publish(source, name, root, partition_by)
 
 
-def expire_published(spark: SparkSession, name: str, root: str, time: str, as_of: str, days: int = 90) -> str:
+def expire_published(
+    spark: SparkSession, name: str, time: str, as_of: str, days: int = 90, root: str | None = None
+) -> str:
     return publish(expire(spark.table(name), time, as_of, days), name, root)
 
 
@@ -140,7 +166,10 @@ def upsert_days_table(
         _into_days(batch, table, day, location)
         return
     days = [row[0] for row in batch.select(day).distinct().collect()]
-    touched = spark.table(table).filter(F.col(day).isin(days))
+    hit = F.col(day).isin([d for d in days if d is not None])
+    if None in days:
+        hit = hit | F.col(day).isNull()
+    touched = spark.table(table).filter(hit)
     upsert(touched, batch, [*keys, day] if day not in keys else keys, update_cols, newer_by).write.parquet(merged_path)
     _into_days(spark.read.parquet(merged_path), table, day)
 
@@ -152,6 +181,28 @@ def expire_days_table(spark: SparkSession, table: str, day: str, as_of: str, day
     _drop_days(spark, table, day, [d for d in names if d[:1].isdigit() and d < cutoff])
 
 
+def expire_rows_table(
+    spark: SparkSession, table: str, day: str, time: str, as_of: str, days: int = 90
+) -> None:
+    """Expire by a time other than the one that makes the day: only days holding old rows are rewritten."""
+    rows = spark.table(table)
+    cutoff = (date.fromisoformat(as_of) - timedelta(days=days)).isoformat()
+    hit = [row[0] for row in rows.filter(F.col(time) < F.lit(cutoff)).select(day).distinct().collect()]
+    if not hit:
+        return
+    within = F.col(day).isin([d for d in hit if d is not None])
+    if None in hit:
+        within = within | F.col(day).isNull()
+    kept_path = new_work_dir(spark, "kept")
+    expire(rows.filter(within), time, as_of, days).write.parquet(kept_path)
+    kept = spark.read.parquet(kept_path)
+    left = {row[0] for row in kept.select(day).distinct().collect()}
+    _into_days(kept, table, day)
+    _drop_days(spark, table, day, [d.isoformat() for d in hit if d is not None and d not in left])
+    if None in hit and None not in left:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day} = NULL)")
+
+
 # ---- views and external stores -----------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pulsework.operators.latest import latest_by_key
 from pulsework.operators.merge import upsert
+from pulsework.sinks import upsert_days_table
 
 
 def stream_files(
@@ -41,16 +42,30 @@ def append_new_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     run_available(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
 
 
-def version_path(root: str, batch: int) -> str:
-    return f"{root.rstrip('/')}/version={batch}"
+# Copies of a state that are kept: the one being written, the one it is made from, and one more.
+_SLOTS = 3
 
 
-def _next_version(root: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
-    """Each batch reads the version before it and writes its own, so a repeated batch changes nothing."""
+def _slot(root: str, batch: int) -> str:
+    return f"{root.rstrip('/')}/slot={batch % _SLOTS}"
+
+
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """What a job has left below its root, as of its last batch."""
+    slots = spark.read.parquet(root)
+    last = slots.agg(F.max("_batch")).scalar()
+    return slots.filter(F.col("_batch") == last).drop("_batch", "slot")
+
+
+def _next_state(root: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
+    """Each batch reads the state before it and writes its own, so a repeated batch changes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = batch.sparkSession.read.parquet(version_path(root, batch_id - 1)) if batch_id else None
-        merge(before, batch).write.mode("overwrite").parquet(version_path(root, batch_id))
+        before = None
+        if batch_id:
+            before = batch.sparkSession.read.parquet(_slot(root, batch_id - 1)).drop("_batch")
+        state = merge(before, batch).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        state.write.mode("overwrite").parquet(_slot(root, batch_id))
 
     return write
 
@@ -64,13 +79,16 @@ def upsert_latest(
     newer_by: str,
     update_cols: list[str] | None = None,
 ) -> None:
-    """Keeps the newest row per key across batches: the latest of each batch, then a guarded upsert."""
+    """Keeps the newest row per key across batches: the latest of each batch, then a guarded upsert.
+
+    Keys here need not fix a day, so every batch rewrites the state; batches should be large.
+    """
 
     def merge(before: DataFrame | None, batch: DataFrame) -> DataFrame:
         incoming = latest_by_key(batch, keys, newest_by)
         return incoming if before is None else upsert(before, incoming, keys, update_cols, newer_by)
 
-    writer = stream.writeStream.foreachBatch(_next_version(root, merge)).outputMode("append")
+    writer = stream.writeStream.foreachBatch(_next_state(root, merge)).outputMode("append")
     run_available(writer, checkpoint)
 
 
@@ -88,10 +106,14 @@ def daily_sums(stream: DataFrame, time: str, by: list[str], sums: list[str], del
     )
 
 
-def sums_to_versions(totals: DataFrame, root: str, checkpoint: str, keys: list[str]) -> None:
-    """Publishes changed totals as they come, days that may still change included."""
+def sums_to_days(totals: DataFrame, table: str, checkpoint: str, keys: list[str], location: str | None = None) -> None:
+    """Puts changed totals into a day table as they come, days that may still change included.
 
-    def merge(before: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return batch if before is None else upsert(before, batch, keys)
+    A batch rewrites the partitions of the days it brings. Repeating it gives the same
+    totals.
+    """
+
+    def write(batch: DataFrame, _: int) -> None:
+        upsert_days_table(batch, table, "day", keys, location=location)
 
-    run_available(totals.writeStream.foreachBatch(_next_version(root, merge)).outputMode("update"), checkpoint)
+    run_available(totals.writeStream.foreachBatch(write).outputMode("update"), checkpoint)

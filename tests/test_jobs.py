@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsework import schemas, sinks
 from pulsework.plans import jobs
-from pulsework.streaming import append_new_files, daily_sums, dedupe_events, stream_files, sums_to_versions, upsert_latest
+from pulsework.streaming import append_new_files, daily_sums, dedupe_events, read_state, stream_files, sums_to_days, upsert_latest
 
 
 def rows(df):
@@ -38,11 +38,15 @@ def meta(timestamp, **params):
 def test_published_table_moves_to_complete_copies(spark, folder, namespace):
     name = f"{namespace}.users"
     first = spark.createDataFrame([("a", 1), ("b", 1)], "k string, g int")
-    sinks.upsert_published(first, name, folder, ["k"])
+    sinks.upsert_published(first, name, ["k"])
     reader = spark.table(name)
-    sinks.upsert_published(spark.createDataFrame([("b", 2), ("c", 2)], "k string, g int"), name, folder, ["k"], newer_by="g")
+    sinks.upsert_published(spark.createDataFrame([("b", 2), ("c", 2)], "k string, g int"), name, ["k"], newer_by="g")
     assert rows(spark.table(name)) == [("a", 1), ("b", 2), ("c", 2)]
     assert rows(reader) == [("a", 1), ("b", 1)]
+    for _ in range(3):
+        sinks.publish(first, name)
+    copies = spark.sql(f"SHOW TABLES IN {namespace} LIKE 'users__*'").collect()
+    assert len(copies) == 2 and rows(spark.table(name)) == [("a", 1), ("b", 1)]
 
 
 def test_replace_days_twice_equals_once(spark, namespace):
@@ -88,10 +92,38 @@ def test_expire_days_keeps_rows_without_a_day(spark, namespace):
     assert sorted(r.i for r in spark.table(table).collect()) == [2, 3]
 
 
+def test_rows_without_a_day_survive_an_upsert(spark, namespace):
+    table, ddl = f"{namespace}.variants", "k string, n int, day date"
+    sinks.upsert_days_table(spark.createDataFrame([("a", 1, None), ("b", 1, date(2024, 1, 1))], ddl), table, "day", ["k"])
+    sinks.upsert_days_table(spark.createDataFrame([("c", 2, None)], ddl), table, "day", ["k"])
+    assert rows(spark.table(table)) == [("a", 1, None), ("b", 1, date(2024, 1, 1)), ("c", 2, None)]
+
+
+def test_expire_rows_by_another_time(spark, namespace):
+    table = f"{namespace}.served"
+    at = lambda m, d: datetime(2024, m, d)
+    data = [(1, at(1, 1), date(2024, 3, 1)), (2, at(3, 1), date(2024, 3, 1)), (3, at(1, 1), date(2024, 3, 2)), (4, None, date(2024, 3, 3)),
+            (5, at(1, 5), None), (6, at(3, 5), date(2024, 3, 4))]
+    spark.createDataFrame(data, "i int, up timestamp, day date").write.partitionBy("day").saveAsTable(table)
+    sinks.expire_rows_table(spark, table, "day", "up", "2024-05-01", 90)
+    assert sorted(r.i for r in spark.table(table).collect()) == [2, 4, 6]
+
+
+def test_retention_goes_over_what_there_is(spark, namespace):
+    old, new = datetime(2024, 1, 1), datetime(2024, 4, 1)
+    steps = spark.createDataFrame([("a", old, old.date()), ("b", new, new.date())], "step_id string, time timestamp, day date")
+    sinks.upsert_days_table(steps, f"{namespace}.transformed_canvas_steps", "day", ["step_id"])
+    users = spark.createDataFrame([("a", old), ("b", new), ("c", None)], "user_id string, last_received timestamp")
+    sinks.publish(users, f"{namespace}.transformed_user_playbook_data")
+    assert len(jobs.run_retention(spark, "2024-05-01", namespace=namespace)) == 2
+    assert [r.step_id for r in spark.table(f"{namespace}.transformed_canvas_steps").collect()] == ["b"]
+    assert sorted(r.user_id for r in spark.table(f"{namespace}.transformed_user_playbook_data").collect()) == ["b", "c"]
+
+
 def test_expire_published(spark, folder, namespace):
     name = f"{namespace}.seen"
     sinks.publish(spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, datetime(2024, 3, 1)), (3, None)], "i int, t timestamp"), name, folder)
-    sinks.expire_published(spark, name, folder, "t", "2024-05-01")
+    sinks.expire_published(spark, name, "t", "2024-05-01", root=folder)
     assert sorted(r.i for r in spark.table(name).collect()) == [2, 3]
 
 
@@ -114,14 +146,14 @@ def campaign_record(timestamp, sent):
 def test_series_land_and_reach_the_result_table(spark, folder, namespace):
     write_lines(spark, f"{folder}/a.jsonl", campaign_record(100.5, 1), "broken", campaign_record(99.5, 7))
     assert jobs.ingest(spark, "campaign_series", folder, namespace) == f"{namespace}.braze_campaigns_data_series_view"
-    jobs.run_job(spark, "campaign_channels", f"{folder}/out", namespace)
-    jobs.run_job(spark, "campaign_variants", f"{folder}/out", namespace)
+    jobs.run_job(spark, "campaign_channels", namespace)
+    jobs.run_job(spark, "campaign_variants", namespace)
     channels = spark.table(f"{namespace}.transformed_channels_campaign")
     assert [(r.channel_name, r.sends) for r in channels.collect()] == [("email", 1)]
-    assert channels.schema.fieldNames() == schemas.CHANNELS_CAMPAIGN.fieldNames()
+    assert channels.schema.fieldNames() == [*schemas.CHANNELS_CAMPAIGN.fieldNames(), jobs.DAY]
     write_lines(spark, f"{folder}/second.jsonl", campaign_record(200.5, 3))
     jobs.ingest(spark, "campaign_series", f"{folder}/second.jsonl", namespace)
-    jobs.run_job(spark, "campaign_channels", f"{folder}/out", namespace)
+    jobs.run_job(spark, "campaign_channels", namespace)
     assert [r.sends for r in spark.table(f"{namespace}.transformed_channels_campaign").collect()] == [3]
     assert spark.table(f"{namespace}.transformed_variants").count() == 1
 
@@ -133,7 +165,7 @@ def test_details_are_reloaded_and_guarded(spark, folder, namespace):
     for i, (name, updated) in enumerate([("new", "2024-01-05"), ("older", "2024-01-04")]):
         write_lines(spark, f"{folder}/{i}.jsonl", record(name, updated))
         jobs.ingest(spark, "canvas_details", f"{folder}/{i}.jsonl", namespace)
-        jobs.run_job(spark, "canvas_details", f"{folder}/out", namespace)
+        jobs.run_job(spark, "canvas_details", namespace)
     assert spark.table(f"{namespace}.braze_canvas_details").count() == 1
     assert [r.name for r in spark.table(f"{namespace}.transformed_canvas_details").collect()] == ["new"]
 
@@ -147,17 +179,17 @@ def test_users_and_playbook_name_is_never_updated(spark, folder, namespace):
     for i, args in enumerate([(999.5, "first", "2024-01-01"), (1000.5, "second", "2024-01-02")]):
         write_lines(spark, f"{folder}/{i}.jsonl", record(*args))
         jobs.ingest(spark, "user_export", f"{folder}/{i}.jsonl", namespace)
-        jobs.run_job(spark, "user_campaigns", f"{folder}/out", namespace)
-        jobs.run_job(spark, "user_details", f"{folder}/out", namespace)
+        jobs.run_job(spark, "user_campaigns", namespace)
+        jobs.run_job(spark, "user_details", namespace)
     (row,) = spark.table(f"{namespace}.transformed_user_playbook_data").collect()
     assert (row["name"], row["last_received"]) == ("first", datetime(2024, 1, 2))
     assert spark.table(f"{namespace}.transformed_user_details").count() == 1
 
 
 def test_missing_sources_skip_the_job(spark, folder, namespace):
-    assert jobs.run_job(spark, "canvas_steps", folder, namespace) is None
-    assert jobs.run_people(spark, folder, "2024-01-01", "2024-01-02", namespace) is None
-    assert jobs.run_channel_touches(spark, folder, "2024-01-01", "2024-01-02", namespace) is None
+    assert jobs.run_job(spark, "canvas_steps", namespace) is None
+    assert jobs.run_people(spark, "2024-01-01", "2024-01-02", namespace) is None
+    assert jobs.run_channel_touches(spark, "2024-01-01", "2024-01-02", namespace) is None
     assert jobs.run_journey_metrics(spark, "2024-01-01", "2024-01-02", namespace) is False
     assert jobs.run_amplitude_events(spark, "2024-01-01", "2024-01-02", namespace) is False
     assert jobs.run_mixpanel_events(spark, namespace) is False
@@ -189,11 +221,11 @@ def test_people_touch_and_journey_jobs(spark, folder, namespace):
     make([("s", "done", 1, "x", None, None, at)], schemas.OUTPUTS, "customerio_journey_outputs_view")
     make([("s", "p", "drip", 5, None, at, at)], schemas.SUBJECTS, "customerio_journey_subjects_view")
     window = ("2024-01-02", "2024-01-02")
-    jobs.run_people(spark, f"{folder}/out", *window, namespace)
+    jobs.run_people(spark, *window, namespace, f"{folder}/out")
     (person,) = spark.table(f"{namespace}.transformed_customerio_people_details").collect()
     assert (person.deleted, person.suppressed, person.created_at) == (False, True, None)
     for _ in range(2):
-        jobs.run_channel_touches(spark, f"{folder}/out", *window, namespace)
+        jobs.run_channel_touches(spark, *window, namespace)
         assert jobs.run_journey_metrics(spark, *window, namespace)
     assert [(r.metric, r.playbook_id, r.type) for r in spark.table(f"{namespace}.customerio_channel_touches").collect()] == [
         ("sent", 5, "campaign")
@@ -205,9 +237,9 @@ def test_replicated_descriptions_are_overwritten(spark, folder, namespace):
     ddl = "id int, name string, tags string, type string, created long, sent_at long, updated long, content_ids string, deduplicate_id string"
     make = lambda *ids: spark.createDataFrame([(i, None, None, None, 0, None, 1, None, None) for i in ids], ddl)
     make(1, 2).write.saveAsTable(f"{namespace}.customerio_newsletters")
-    jobs.run_job(spark, "cio_newsletter_details", f"{folder}/out", namespace)
+    jobs.run_job(spark, "cio_newsletter_details", namespace)
     make(2).write.mode("overwrite").saveAsTable(f"{namespace}.customerio_newsletters")
-    jobs.run_job(spark, "cio_newsletter_details", f"{folder}/out", namespace)
+    jobs.run_job(spark, "cio_newsletter_details", namespace)
     assert [r.newsletter_id for r in spark.table(f"{namespace}.transformed_customerio_newsletter_details").collect()] == [2]
 
 
@@ -248,12 +280,14 @@ def test_stream_keeps_the_newest_row_across_restarts(spark, folder):
     run()
     put(spark, folder, "2", ("a", 3, at, 4), ("b", 2, at, 5), ("c", 1, at, 6))
     run()
-    versions = spark.read.parquet(f"{folder}/state")
-    last = versions.filter(F.col("version") == versions.agg(F.max("version")).scalar())
-    assert rows(last.select("k", "g", "n")) == [("a", 5, 1), ("b", 2, 5), ("c", 1, 6)]
+    put(spark, folder, "3", ("d", 1, at, 7))
+    put(spark, folder, "4", ("a", 1, at, 8))
+    run()
+    state = read_state(spark, f"{folder}/state")
+    assert rows(state.filter("k <> 'd'").select("k", "g", "n")) == [("a", 5, 1), ("b", 2, 5), ("c", 1, 6)]
 
 
-def test_stream_dedupe_and_late_sums(spark, folder):
+def test_stream_dedupe_and_late_sums(spark, folder, namespace):
     d = lambda n, h=0: datetime(2024, 1, n, h)
     put(spark, folder, "1", ("a", 1, d(20), 1), ("a", 1, d(20), 1), ("b", 1, d(20, 5), 2))
 
@@ -261,15 +295,13 @@ def test_stream_dedupe_and_late_sums(spark, folder):
         unique = dedupe_events(source(spark, folder), "t", ["k"], "30 days")
         append_new_files(unique.select("k", "t", "n"), f"{folder}/unique", f"{folder}/cp1")
         totals = daily_sums(source(spark, folder), "t", ["k"], ["n"], "30 days")
-        sums_to_versions(totals, f"{folder}/sums", f"{folder}/cp2", ["day", "k"])
+        sums_to_days(totals, f"{namespace}.sums", f"{folder}/cp2", ["day", "k"])
 
     run()
     # A repeat of a known key, and data for a day nineteen days back.
     put(spark, folder, "2", ("a", 1, d(20), 1), ("c", 1, d(1), 4), ("b", 1, d(20, 7), 8))
     run()
     assert sorted(r.k for r in spark.read.parquet(f"{folder}/unique").collect()) == ["a", "b", "c"]
-    versions = spark.read.parquet(f"{folder}/sums")
-    last = versions.filter(F.col("version") == versions.agg(F.max("version")).scalar())
-    assert rows(last.select("day", "k", "n")) == sorted(
+    assert rows(spark.table(f"{namespace}.sums").select("day", "k", "n")) == sorted(
         [(date(2024, 1, 1), "c", 4), (date(2024, 1, 20), "a", 3), (date(2024, 1, 20), "b", 10)], key=repr
     )
