@@ -2,16 +2,15 @@ from pulsework.functions.channels import CHANNEL_METRICS, channel_measure, messa
 from pulsework.functions.coerce import (
     bool_or_false,
     bool_unless_false_text,
+    double_or_zero,
     falsy_json_to_null,
     int_or_zero,
-    double_or_zero,
     json_path,
-    json_text,
     json_size,
 )
 from pulsework.functions.text import (
-    distinct_comma_list,
     comma_list,
+    distinct_comma_list,
     is_control_name,
     tag_value,
 )
@@ -23,6 +22,7 @@ from pulsework.functions.times import (
     greatest_time,
     in_days,
     least_time,
+    not_in_days,
     parse_iso,
     parse_second_text,
     skew_corrected_time,

@@ -40,10 +40,6 @@ def json_path(value: Column, path: str) -> Column:
     return F.get_json_object(value, path)
 
 
-def json_text(value: Column) -> Column:
-    return F.to_json(value)
-
-
 def json_size(value: Column) -> Column:
     """Number of entries of a JSON object or array given as text, 0 for anything else."""
     return F.coalesce(F.json_array_length(value), F.size(F.json_object_keys(value)), F.lit(0))

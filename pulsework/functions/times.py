@@ -83,3 +83,9 @@ def in_days(time: Column, first_day: str, last_day: str) -> Column:
     """
     after = (date.fromisoformat(last_day) + timedelta(days=1)).isoformat()
     return (time >= F.lit(first_day)) & (time < F.lit(after))
+
+
+def not_in_days(time: Column, first_day: str, last_day: str) -> Column:
+    """True for times on other days and for unknown times."""
+    after = (date.fromisoformat(last_day) + timedelta(days=1)).isoformat()
+    return time.isNull() | (time < F.lit(first_day)) | (time >= F.lit(after))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsework.functions import in_days
+from pulsework.functions import not_in_days
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -75,12 +76,12 @@ def upsert(
 
 def replace_days(target: DataFrame, source: DataFrame, time: str, first_day: str, last_day: str) -> DataFrame:
     """Drop the target's rows of these days, then add the source. Rows without a time stay."""
-    kept = target.filter(~F.coalesce(in_days(F.col(time), first_day, last_day), F.lit(False)))
+    kept = target.filter(not_in_days(F.col(time), first_day, last_day))
     return kept.unionByName(source.select(*target.columns))
 
 
 def expire(target: DataFrame, time: str | Column, as_of: str, days: int = 90) -> DataFrame:
     """Rows from ``as_of`` minus ``days`` on. Rows without a time stay."""
     column = F.col(time) if isinstance(time, str) else time
-    cutoff = F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp")
-    return target.filter(F.coalesce(column >= cutoff, F.lit(True)))
+    cutoff = (date.fromisoformat(as_of) - timedelta(days=days)).isoformat()
+    return target.filter(column.isNull() | (column >= F.lit(cutoff)))

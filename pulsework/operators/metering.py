@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,9 @@ def monthly_active_users(
     Spark first reduces to distinct users within each task. ``approximate`` trades the
     exact count for a sketch of fixed size.
     """
-    day = F.lit(as_of).cast("date")
-    window = (F.col(time) >= F.date_sub(day, 32)) & (F.col(time) < F.date_sub(day, 2))
+    day = date.fromisoformat(as_of)
+    first, after = ((day - timedelta(days=n)).isoformat() for n in (32, 2))
+    window = (F.col(time) >= F.lit(first)) & (F.col(time) < F.lit(after))
     users = F.approx_count_distinct(user) if approximate else F.count_distinct(user)
     return events.filter(window).agg(users.alias("monthly_active_users"))
 

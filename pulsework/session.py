@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rewriting some partitions of a table must leave the others alone.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 _fallback_root: str | None = None

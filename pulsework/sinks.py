@@ -12,6 +12,8 @@ Two kinds of result table:
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -107,6 +109,18 @@ def _day_last(df: DataFrame, day: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != day], F.col(day).cast("date").alias(day))
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only partitions that get rows. Inserting into a table heeds the session's mode, not a writer option."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(mode, before)
+
+
 def _into_days(df: DataFrame, table: str, day: str, location: str | None = None) -> None:
     """Overwrite exactly the days that ``df`` holds."""
     spark = df.sparkSession
@@ -114,7 +128,8 @@ def _into_days(df: DataFrame, table: str, day: str, location: str | None = None)
         _writer(df, location).partitionBy(day).saveAsTable(table)
         return
     rows = df.select(*spark.table(table).columns)
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    with _dynamic_overwrite(spark):
+        rows.write.insertInto(table, overwrite=True)
 
 
 def _drop_days(spark: SparkSession, table: str, day: str, days: list[str]) -> None:
@@ -166,6 +181,8 @@ def upsert_days_table(
         _into_days(batch, table, day, location)
         return
     days = [row[0] for row in batch.select(day).distinct().collect()]
+    if not days:
+        return
     hit = F.col(day).isin([d for d in days if d is not None])
     if None in days:
         hit = hit | F.col(day).isNull()

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date, timedelta
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +44,9 @@ def file_time_bounds(files: DataFrame, time_cols: list[str], file_type: str) ->
 
 def prune_files(registry: DataFrame, file_type: str, first_day: str, last_day: str) -> DataFrame:
     """Registered files whose time span touches the days; a file without bounds is left out."""
-    starts_in_time = F.to_date("min_timestamp") <= F.lit(last_day).cast("date")
-    ends_in_time = F.to_date("max_timestamp") >= F.lit(first_day).cast("date")
-    return registry.filter((F.col("type") == file_type) & starts_in_time & ends_in_time)
+    after = (date.fromisoformat(last_day) + timedelta(days=1)).isoformat()
+    in_time = (F.col("min_timestamp") < F.lit(after)) & (F.col("max_timestamp") >= F.lit(first_day))
+    return registry.filter((F.col("type") == file_type) & in_time)
 
 
 def read_pruned_files(
@@ -69,8 +72,13 @@ def read_pruned_files(
     return rows.filter(spans_days([F.col(c) for c in row_days], first_day, last_day))
 
 
-def spans_days(times: list, first_day: str, last_day: str):
-    """True where the span from the earliest to the latest of the times touches the days."""
-    return (F.to_date(least_time(*times)) <= F.lit(last_day).cast("date")) & (
-        F.to_date(greatest_time(*times)) >= F.lit(first_day).cast("date")
-    )
+def spans_days(times: list[Column], first_day: str, last_day: str) -> Column:
+    """True where the span from the earliest to the latest of the times touches the days.
+
+    Some time before the end and some time from the start on: plain comparisons, which
+    unlike ``least`` and ``greatest`` of the columns reach the scan. Unknown times do not count.
+    """
+    after = (date.fromisoformat(last_day) + timedelta(days=1)).isoformat()
+    starts = reduce(lambda a, b: a | b, [t < F.lit(after) for t in times])
+    ends = reduce(lambda a, b: a | b, [t >= F.lit(first_day) for t in times])
+    return starts & ends

@@ -125,6 +125,31 @@ def test_day_range_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in scan
 
 
+@pytest.mark.parametrize(
+    "name,pushed",
+    [
+        ("a3_monthly_active_users", ["GreaterThanOrEqual(ts,", "LessThan(ts,"]),
+        ("f7_after_cursor", ["GreaterThan(o_orderdate,"]),
+        ("f1_predicates", ["EqualTo(o_orderstatus,F)", "In(o_orderpriority,"]),
+    ],
+)
+def test_filters_reach_the_scan(spark, name, pushed):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    for part in pushed:
+        assert part in text
+
+
+def test_span_and_retention_filters_reach_the_scan(spark):
+    from pulsework.operators import filters, merge
+
+    orders = derive.table(spark, SF_DIR, "orders")
+    text = plan(filters.spanning_days(orders, ["o_orderdate"], "1999-01-01", "1999-01-31"))
+    assert "GreaterThanOrEqual(o_orderdate," in text and "LessThan(o_orderdate," in text
+    assert "Or(IsNull(o_orderdate),GreaterThanOrEqual(o_orderdate," in plan(merge.expire(orders, "o_orderdate", "1999-01-01"))
+    kept = merge.replace_days(orders, orders.limit(0), "o_orderdate", "1999-01-01", "1999-01-31")
+    assert "Or(Or(IsNull(o_orderdate),LessThan(o_orderdate," in plan(kept)
+
+
 def test_landing_lines_are_parsed_once(spark, folder):
     from pulsework.operators import landing_rows
     from pulsework.sources import accepted, read_jsonl
