@@ -21,6 +21,8 @@ def skew_join(
 
     A key with more than ``hot_rows`` facts is dealt over ``ceil(rows / hot_rows)`` slices
     by a hash of the row, and the lookup row of that key alone is repeated once per slice.
+    The hash depends on the row alone, so a task that runs again deals alike; the facts
+    should keep a column that tells equal-looking rows apart, such as an event id.
     At most ``all facts / hot_rows`` keys can be hot, which is what bounds the broadcast
     list of them; counting combines on the map side and reads only the key columns.
     """

@@ -89,13 +89,15 @@ def user_export(lines: DataFrame) -> DataFrame:
 
 def events(lines: DataFrame) -> DataFrame:
     """One row per tracked event; ``time`` is whole epoch seconds."""
-    properties = F.col("properties")
-    time = json_path(properties, "$.time")
-    return lines.select(
+    fields = F.from_json("properties", "time STRING, distinct_id STRING, `$insert_id` STRING")
+    rows = lines.select("event", "properties", fields.alias("p"), *_stamp())
+    time = F.col("p.time")
+    return rows.select(
         "event",
         F.when(time.isNotNull(), int_or_zero(time, "bigint")).alias("time"),
-        json_path(properties, "$.distinct_id").alias("distinct_id"),
-        json_path(properties, "$['$insert_id']").alias("insert_id"),
+        F.col("p.distinct_id").alias("distinct_id"),
+        F.col("p.`$insert_id`").alias("insert_id"),
         "properties",
-        *_stamp(),
+        "metadata",
+        "created_at",
     )

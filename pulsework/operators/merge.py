@@ -15,14 +15,15 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _side(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _side(df: DataFrame, keys: list[str], name: str, null_keys: bool) -> DataFrame:
     """Key columns, the row as one struct, and a spread for rows that lack a key.
 
     Those rows match nothing; the hash keeps an outer join from sending all of them to one
     task.
     """
     spread = F.when(_any_null(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0))
-    return df.select(*keys, spread.alias("_spread"), F.struct(*df.columns).alias(name))
+    extra = [spread.alias("_spread")] if null_keys else []
+    return df.select(*keys, *extra, F.struct(*df.columns).alias(name))
 
 
 def upsert(
@@ -32,6 +33,7 @@ def upsert(
     update_cols: list[str] | None = None,
     newer_by: str | None = None,
     small_source: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """The target with new keys added and matched rows changed in ``update_cols``.
 
@@ -40,7 +42,8 @@ def upsert(
     among the changed ones. Keys compare as in SQL, so a NULL key never matches. The
     source must hold each key once (see ``dedupe``).
 
-    The plan is one full outer join. With ``small_source`` the target is probed instead of
+    The plan is one full outer join. Where keys are never NULL, ``null_keys=False`` joins on
+    the keys alone, so that a side already bucketed by them is not shuffled again. With ``small_source`` the target is probed instead of
     shuffled: two joins that Spark runs as broadcasts while the source is below
     ``spark.sql.autoBroadcastJoinThreshold``, and as shuffles beyond.
     """
@@ -63,8 +66,8 @@ def upsert(
 
     both = F.col("s").isNotNull() & F.col("t").isNotNull()
     if not small_source:
-        on = [*keys, "_spread"]
-        joined = _side(target, keys, "t").join(_side(source, keys, "s"), on, "full_outer")
+        on = [*keys, "_spread"] if null_keys else keys
+        joined = _side(target, keys, "t", null_keys).join(_side(source, keys, "s", null_keys), on, "full_outer")
         return joined.select(*merged(both))
 
     incoming = source.select(*keys, F.struct(*columns).alias("s"))

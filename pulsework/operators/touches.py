@@ -18,7 +18,7 @@ def delivery_metrics(
     """Every metric event of the days with its delivery's customer, playbook and channel."""
     on_days = metrics.filter(in_days(F.col("created_at"), first_day, last_day))
     rows = skew_join(
-        on_days.select("delivery_id", "metric", "created_at"),
+        on_days.select("event_id", "delivery_id", "metric", "created_at"),
         _delivery_sides(deliveries),
         ["delivery_id"],
         hot_rows=hot_rows,

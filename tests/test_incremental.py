@@ -66,6 +66,16 @@ def test_upsert_twice_equals_once_and_both_plans_agree(spark, old, new):
     assert want == sorted(((k, *gv) for k, gv in model.items()), key=repr)
 
 
+def test_bucketed_target_is_not_shuffled(spark, unique):
+    name = unique("bucketed")
+    target = spark.range(1000).select((F.col("id") % 100).cast("string").alias("k"), F.lit(1).alias("g")).distinct()
+    target.write.bucketBy(4, "k").sortBy("k").saveAsTable(name)
+    source = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit(2).alias("g"))
+    merged = merge.upsert(spark.table(name), source, ["k"], null_keys=False)
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r.g: r["count"] for r in merged.groupBy("g").count().collect()} == {1: 50, 2: 50}
+
+
 def test_replace_days_keeps_rows_outside_and_without_time(spark):
     at = lambda d, h=0: datetime(2024, 1, d, h)
     target = spark.createDataFrame([(1, at(1, 23)), (2, at(2)), (3, at(3, 23)), (4, at(4)), (5, None)], "i int, t timestamp")
