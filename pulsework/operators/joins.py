@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsework.operators.columns import comparable
+from pulsework.operators.latest import latest_then_filter
+
 HOT_ROWS = 5_000_000
 
 
@@ -35,10 +38,9 @@ def skew_join(
     slices = F.coalesce("_slices", F.lit(1))
     # A NULL key matches nothing, so its rows may go anywhere; an outer join must not heap them up.
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    spread = [F.col(f.name) for f in facts.schema.fields if "map<" not in f.dataType.simpleString()]
     left = (
         facts.join(hot, on, "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(*spread), F.when(no_key, 1024).otherwise(slices)).cast("int"))
+        .withColumn("_slice", F.pmod(F.xxhash64(*comparable(facts)), F.when(no_key, 1024).otherwise(slices)).cast("int"))
         .drop("_slices")
     )
     right = (
@@ -55,8 +57,6 @@ def active_connectors(connectors: DataFrame, organisations: DataFrame, tools: Da
     Rows are the newest connector per organisation and tool; the three tables are small and
     Spark broadcasts the two dimensions when their measured size allows.
     """
-    from pulsework.operators.latest import latest_then_filter
-
     current = latest_then_filter(connectors, ["org_id", "tool_id"], ["updated_at"], F.col("active"))
     orgs = organisations.filter("active").select(F.col("id").alias("org_id"), "domain")
     names = tools.filter("active").select(F.col("id").alias("tool_id"), F.col("name").alias("tool_name"))

@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from pulsework.operators.columns import comparable
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,6 @@ PRESETS = {
 }
 
 
-def _sortable(field: T.StructField) -> bool:
-    return not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
-
-
 def latest_by_key(
     df: DataFrame, keys: list[str], newest_by: list[str], tie_break: list[str] | None = None
 ) -> DataFrame:
@@ -50,7 +47,7 @@ def latest_by_key(
     shuffle, hence a key that holds much of the table sends one row per task.
     """
     ordered = set(keys) | set(newest_by)
-    rest = [f.name for f in df.schema.fields if f.name not in ordered and _sortable(f)]
+    rest = [c for c in comparable(df) if c not in ordered]
     ties = rest if tie_break is None else tie_break
     window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in [*newest_by, *ties]])
     ranked = df.withColumn("_rank", F.row_number().over(window))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsework.functions import not_in_days
+from pulsework.operators.columns import comparable
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -21,7 +22,7 @@ def _side(df: DataFrame, keys: list[str], name: str, null_keys: bool) -> DataFra
     Those rows match nothing; the hash keeps an outer join from sending all of them to one
     task.
     """
-    spread = F.when(_any_null(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    spread = F.when(_any_null(keys), F.xxhash64(*comparable(df))).otherwise(F.lit(0))
     extra = [spread.alias("_spread")] if null_keys else []
     return df.select(*keys, *extra, F.struct(*df.columns).alias(name))
 

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsework.operators import merge, metering, numbering, planning, quality
+from pulsework.operators.latest import latest_by_key
 from pulsework.sources import prune_files
 
 KV = "k string, g int, v string, w string"
@@ -66,6 +67,14 @@ def test_upsert_twice_equals_once_and_both_plans_agree(spark, old, new):
     assert want == sorted(((k, *gv) for k, gv in model.items()), key=repr)
 
 
+def test_upsert_of_rows_with_maps(spark):
+    ddl = "k string, g int, m map<string,int>"
+    target = spark.createDataFrame([("a", 1, {"x": 1}), (None, 1, {"x": 2})], ddl)
+    source = spark.createDataFrame([("a", 2, {"y": 3})], ddl)
+    got = merge.upsert(target, latest_by_key(source, ["k"], ["g"]), ["k"], newer_by="g")
+    assert {r.k: r.m for r in got.collect()} == {"a": {"y": 3}, None: {"x": 2}}
+
+
 def test_bucketed_target_is_not_shuffled(spark, unique):
     name = unique("bucketed")
     target = spark.range(1000).select((F.col("id") % 100).cast("string").alias("k"), F.lit(1).alias("g")).distinct()
