@@ -12,7 +12,19 @@ from pyspark.sql import types as T
 from pulsework import schemas, sinks
 from pulsework.operators import details, events, landing_rows, series, touches, users
 from pulsework.operators.latest import dedupe, latest
-from pulsework.sources import accepted, read_jsonl, table_or_none
+from pulsework.operators.numbering import sync_registry
+from pulsework.sources import (
+    accepted,
+    discover_new_files,
+    file_time_bounds,
+    list_files,
+    read_csv_dim,
+    read_jsonl,
+    read_parquet_files,
+    read_pruned_files,
+    table_or_none,
+    with_lineage,
+)
 
 
 @dataclass(frozen=True)
@@ -242,6 +254,79 @@ def run_channel_touches(
     return target
 
 
+@dataclass(frozen=True)
+class FileLanding:
+    """How a Parquet export becomes a raw table.
+
+    ``bounds`` are the times that a file's span is taken from, ``times`` those that decide
+    whether a row belongs to a run's days.
+    """
+
+    columns: T.StructType
+    bounds: list[str]
+    times: list[str]
+    table: str
+    preset: str
+
+
+# Registry types and the times of each export.
+FILE_LANDINGS = {
+    "deliveries": FileLanding(
+        schemas.DELIVERIES, ["created_at"], ["created_at"], "customerio_channel_deliveries", "deliveries"
+    ),
+    "metrics": FileLanding(schemas.METRICS, ["created_at"], ["created_at"], "customerio_channel_metrics", "metrics"),
+    "outputs": FileLanding(
+        schemas.OUTPUTS, ["created_at", "delay_ends_at"], ["created_at"], "customerio_journey_outputs", "outputs"
+    ),
+    "subjects": FileLanding(
+        schemas.SUBJECTS,
+        ["created_at", "started_campaign_at"],
+        ["created_at", "started_campaign_at"],
+        "customerio_journey_subjects",
+        "subjects",
+    ),
+    "people_changes": FileLanding(
+        schemas.PEOPLE, ["created_at", "updated_at"], ["created_at", "updated_at"], "customerio_people", "people"
+    ),
+}
+FILE_REGISTRY = "customerio_processed_files"
+
+
+def register_files(spark: SparkSession, kind: str, folder: str, namespace: str | None = None) -> int:
+    """Add the files of a folder that the registry does not know yet; returns how many there were."""
+    spec = FILE_LANDINGS[kind]
+    registry = qualified(namespace, FILE_REGISTRY)
+    if not spark.catalog.tableExists(registry):
+        sinks.append(spark.createDataFrame([], schemas.PROCESSED_FILES), registry)
+    found = discover_new_files(list_files(spark, folder), spark.table(registry), kind)
+    names = [row.file_name for row in found.select("file_name").toLocalIterator()]
+    if names:
+        rows = with_lineage(read_parquet_files(spark, names, spec.columns))
+        bounds = file_time_bounds(rows, spec.bounds, kind).select(*schemas.PROCESSED_FILES.fieldNames())
+        sinks.append(bounds, registry)
+    sinks.latest_view(spark, registry, "processed_files")
+    return len(names)
+
+
+def ingest_files(
+    spark: SparkSession, kind: str, folder: str, first_day: str, last_day: str, namespace: str | None = None
+) -> str | None:
+    """Append the days' rows of an export to its raw table and refresh the view.
+
+    Only files whose registered span touches the days are read. Loading days again appends
+    rows that the latest-row view hides. None when no file is needed.
+    """
+    spec = FILE_LANDINGS[kind]
+    register_files(spark, kind, folder, namespace)
+    registry = spark.table(qualified(namespace, f"{FILE_REGISTRY}_view"))
+    rows = read_pruned_files(spark, registry, kind, first_day, last_day, spec.columns, spec.times)
+    if rows is None:
+        return None
+    table = qualified(namespace, spec.table)
+    sinks.append(rows.select(*spec.columns.fieldNames(), "inserted_at"), table)
+    return sinks.latest_view(spark, table, spec.preset)
+
+
 def run_journey_metrics(spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None) -> bool:
     """Sources are checked before anything is replaced."""
     outputs = table_or_none(spark, qualified(namespace, "customerio_journey_outputs_view"))
@@ -257,6 +342,19 @@ def run_journey_metrics(spark: SparkSession, first_day: str, last_day: str, name
     return True
 
 
+def sync_event_types(
+    spark: SparkSession, csv: str | None, table: str, namespace: str | None = None, root: str | None = None
+) -> str:
+    """Bring an event type registry up to date with its CSV; without a CSV it stays as it is."""
+    name = qualified(namespace, table)
+    known = table_or_none(spark, name)
+    if known is None:
+        known = spark.createDataFrame([], schemas.EVENT_TYPES)
+    listed = read_csv_dim(spark, csv) if csv else None
+    sinks.publish(sync_registry(known, listed), name, root)
+    return name
+
+
 def run_amplitude_events(spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None) -> bool:
     raw = table_or_none(spark, qualified(namespace, "amplitude_events"))
     registry = table_or_none(spark, qualified(namespace, "amplitude_events_list"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,11 +14,17 @@ def read_parquet_files(spark: SparkSession, files: Iterable[str], schema: T.Stru
     return reader.parquet(*files)
 
 
+def _plain_path(encoded: Column) -> Column:
+    """A scan reports its files URL-encoded, a listing does not; registries hold the plain form."""
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(encoded, F.lit("%")), decoded).otherwise(encoded)
+
+
 def with_lineage(files: DataFrame, file_name: str = "file_name", inserted_at: str = "inserted_at") -> DataFrame:
     """Adds each row's source file and that file's modification time; call it right on a file scan."""
     return files.select(
         "*",
-        F.col("_metadata.file_path").alias(file_name),
+        _plain_path(F.col("_metadata.file_path")).alias(file_name),
         F.col("_metadata.file_modification_time").alias(inserted_at),
     )
 

@@ -233,6 +233,44 @@ def test_people_touch_and_journey_jobs(spark, folder, namespace):
     assert spark.table(f"{namespace}.transformed_customerio_journey_metrics").count() == 1
 
 
+def test_exported_files_are_registered_pruned_and_loaded(spark, folder, namespace):
+    at = lambda d, h=0: datetime(2024, 1, d, h)
+
+    def export(name, *people):
+        rows = spark.createDataFrame([(f"u{i}", f"p{i}", False, None, c, u) for i, c, u in people], schemas.PEOPLE)
+        rows.coalesce(1).write.parquet(f"{folder}/in put+100%/{name}")
+
+    export("a", (1, at(1), at(2)), (2, at(1), at(9)))
+    export("b", (3, at(20), at(21)))
+    window = ("2024-01-05", "2024-01-06")
+    assert jobs.register_files(spark, "people_changes", f"{folder}/in put+100%", namespace) == 2
+    assert jobs.register_files(spark, "people_changes", f"{folder}/in put+100%", namespace) == 0
+    view = jobs.ingest_files(spark, "people_changes", f"{folder}/in put+100%", *window, namespace)
+    # The span of the second person reaches over the days, the others lie outside.
+    assert [r.internal_customer_id for r in spark.table(view).collect()] == ["p2"]
+    export("c", (2, at(1), at(10)), (4, at(5, 23), at(6)))
+    for _ in range(2):
+        jobs.ingest_files(spark, "people_changes", f"{folder}/in put+100%", *window, namespace)
+    assert sorted((r.internal_customer_id, r.updated_at) for r in spark.table(view).collect()) == [("p2", at(10)), ("p4", at(6))]
+    assert jobs.ingest_files(spark, "people_changes", f"{folder}/in put+100%", "2023-01-01", "2023-01-02", namespace) is None
+    assert spark.table(f"{namespace}.customerio_processed_files").count() == 3
+
+
+def test_event_types_follow_their_csv(spark, folder, namespace):
+    def listing(name, *types):
+        with open(f"{folder}/{name}.csv", "w") as f:
+            f.write("\n".join(["event_name,owner", *[f"{t},x" for t in types]]) + "\n")
+        return f"{folder}/{name}.csv"
+
+    read = lambda: rows(spark.table(f"{namespace}.mixpanel_events_list"))
+    jobs.sync_event_types(spark, listing("1", "a", "a"), "mixpanel_events_list", namespace)
+    assert read() == [("a", 2, True)]
+    jobs.sync_event_types(spark, listing("2", "b"), "mixpanel_events_list", namespace)
+    assert read() == [("a", 2, False), ("b", 3, True)]
+    jobs.sync_event_types(spark, None, "mixpanel_events_list", namespace)
+    assert read() == [("a", 2, False), ("b", 3, True)]
+
+
 def test_replicated_descriptions_are_overwritten(spark, folder, namespace):
     ddl = "id int, name string, tags string, type string, created long, sent_at long, updated long, content_ids string, deduplicate_id string"
     make = lambda *ids: spark.createDataFrame([(i, None, None, None, 0, None, 1, None, None) for i in ids], ddl)
