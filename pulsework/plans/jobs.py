@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsework import schemas, sinks
-from pulsework.operators import details, events, landing_rows, series, touches, users
+from pulsework.operators import details, events, landing_rows, metering, series, touches, users
 from pulsework.operators.latest import dedupe, latest
 from pulsework.operators.numbering import sync_registry
 from pulsework.sources import (
@@ -383,6 +383,52 @@ def run_mixpanel_events(spark: SparkSession, namespace: str | None = None) -> bo
     return True
 
 
+@dataclass(frozen=True)
+class Meter:
+    """Where a source's usage is counted: its type registry, its events, who and when."""
+
+    registry: str
+    events: str
+    user: str
+    time: str
+    distinct_types: bool
+
+
+# The Mixpanel table is partitioned by its events' days, which prunes the month's partitions.
+METERS = {
+    "amplitude": Meter("amplitude_events_list", "served_amplitude_events", "user_id", "event_time_calculated", False),
+    "mixpanel": Meter("mixpanel_events_list", "mixpanel_events", "distinct_id", "event_day", True),
+}
+USAGE = ["active_events", "monthly_active_users"]
+
+
+def run_metering(
+    spark: SparkSession,
+    kind: str,
+    domain: str,
+    as_of: str,
+    organisations: str,
+    meters: str,
+    namespace: str | None = None,
+    root: str | None = None,
+) -> str:
+    """Count a tenant's usage and merge it into its meter; counts are 0 while a source table is missing."""
+    spec = METERS[kind]
+    registry = table_or_none(spark, qualified(namespace, spec.registry))
+    rows = table_or_none(spark, qualified(namespace, spec.events))
+    counts = [F.lit(0).cast("bigint"), F.lit(0).cast("bigint")]
+    if registry is not None and rows is not None:
+        types = metering.active_types(registry, spec.distinct_types)
+        users = metering.monthly_active_users(rows, spec.user, spec.time, as_of)
+        counts = [types.scalar(), users.scalar()]
+    usage = spark.range(1).select(
+        F.lit(domain).alias("domain"), *[c.alias(name) for c, name in zip(counts, USAGE)]
+    )
+    merged = metering.meter_merge(spark.table(meters), spark.table(organisations), usage, USAGE)
+    sinks.publish(merged, meters, root)
+    return meters
+
+
 # Result tables that lose rows after the retention period, their day column
 # if they are day tables, and the time that counts where it is not the one of the day.
 RETENTION = {

@@ -271,6 +271,21 @@ def test_event_types_follow_their_csv(spark, folder, namespace):
     assert read() == [("a", 2, False), ("b", 3, True)]
 
 
+def test_metering_merges_into_the_stored_meter(spark, namespace):
+    orgs, meters = f"{namespace}.organisation", f"{namespace}.metering"
+    spark.createDataFrame([(1, "acme", True)], "id int, domain string, active boolean").write.saveAsTable(orgs)
+    sinks.publish(spark.createDataFrame([(1, '{"plan":"x","active_events":9}', True)], "org_id int, meter string, active boolean"), meters)
+    run = lambda: jobs.run_metering(spark, "mixpanel", "acme", "2024-03-03", orgs, meters, namespace)
+    run()
+    assert [json.loads(r.meter) for r in spark.table(meters).collect()] == [{"plan": "x", "active_events": 0, "monthly_active_users": 0}]
+    types = [("a", 2, True), ("b", 3, True), ("c", 4, False)]
+    spark.createDataFrame(types, schemas.EVENT_TYPES).write.saveAsTable(f"{namespace}.mixpanel_events_list")
+    seen = [("u", date(2024, 1, 31)), ("u", date(2024, 2, 1)), ("v", date(2024, 2, 29)), ("w", date(2024, 3, 1))]
+    spark.createDataFrame(seen, "distinct_id string, event_day date").write.partitionBy("event_day").saveAsTable(f"{namespace}.mixpanel_events")
+    run()
+    assert [json.loads(r.meter) for r in spark.table(meters).collect()] == [{"plan": "x", "active_events": 2, "monthly_active_users": 2}]
+
+
 def test_replicated_descriptions_are_overwritten(spark, folder, namespace):
     ddl = "id int, name string, tags string, type string, created long, sent_at long, updated long, content_ids string, deduplicate_id string"
     make = lambda *ids: spark.createDataFrame([(i, None, None, None, 0, None, 1, None, None) for i in ids], ddl)
