@@ -13,8 +13,10 @@ def _unpivot(rows: DataFrame, arrays: list[str], keep: list[Column]) -> DataFram
     """The last element belongs to ``endAt``. The first array sets the number of days; shorter ones give NULL."""
     parsed = rows.select("endAt", *keep, *[F.from_json(a, "ARRAY<BIGINT>").alias(a) for a in arrays])
     names = [c for c in parsed.columns if c != "endAt" and c not in arrays]
+    # The outer form keeps Spark from guarding the explode with a second copy of all the parsing;
+    # rows without days fail the comparison.
     days = parsed.select(
-        "endAt", *names, F.size(arrays[0]).alias("n"), F.posexplode(F.arrays_zip(*arrays)).alias("i", "v")
+        "endAt", *names, F.size(arrays[0]).alias("n"), F.posexplode_outer(F.arrays_zip(*arrays)).alias("i", "v")
     ).filter("i < n")
     return days.select(
         *names,

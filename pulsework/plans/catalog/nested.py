@@ -519,8 +519,8 @@ def _day_arrays(spark, sf_dir, names: list[str]):
     users = per_day.groupBy("user_id").agg(F.map_from_entries(entries).alias("by_day"))
 
     def series_of(name):
-        days = [F.coalesce(F.try_element_at("by_day", F.lit(d))[name], F.lit(0)) for d in range(1, 32)]
-        return F.to_json(F.array(*days)).alias(name)
+        counts = f"transform(sequence(1, 31), d -> coalesce(try_element_at(by_day, d).{name}, 0L))"
+        return F.to_json(F.expr(counts)).alias(name)
 
     return users.select(
         F.col("user_id").alias("playbook_id"),

@@ -230,60 +230,53 @@ def user_lines(rows: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("r", F.struct("n", "last", "c")))).alias("by_r")
     )
 
-    def items(of: range) -> Column:
-        return F.array_compact(F.array(*[F.try_element_at("by_r", F.lit(r).cast("bigint")) for r in of]))
-
-    def latest(of: Column) -> Column:
-        return F.date_format(F.array_max(F.transform(of, lambda x: x["last"])), iso)
-
-    def total(of: Column, name: str) -> Column:
-        return F.aggregate(of, F.lit(0).cast("bigint"), lambda t, x: t + x[name])
-
-    def campaign(k: int) -> Column:
-        mine = items(range(k, 30, 10))
-        fields = F.struct(
-            F.lit(f"Campaign {k}").alias("name"),
-            F.lit(f"c-{k}").alias("api_campaign_id"),
-            latest(mine).alias("last_received"),
-            F.lit(k % 2 == 0).alias("in_control"),
-            (total(mine, "n") > 3).alias("converted"),
-            F.when(F.lit(k % 3 == 0), F.create_map().cast("map<string,bigint>"))
-            .otherwise(F.create_map(F.lit("purchase"), total(mine, "n")))
-            .alias("multiple_converted"),
-            F.when(F.lit(k % 4 != 0), F.create_map(F.lit("opened"), F.lit(True))).alias("engaged"),
-        )
-        return F.when(F.size(mine) > 0, fields)
-
-    def canvas(k: int) -> Column:
-        mine = items(range(k, 30, 6))
-
-        def step(s: int) -> Column:
-            own = F.try_element_at("by_r", F.lit(next(r for r in range(k, 30, 6) if r % 5 == s)).cast("bigint"))
-            fields = F.struct(
-                F.lit(f"s-{s}").alias("api_canvas_step_id"),
-                F.lit(f"Step {s}").alias("name"),
-                F.date_format(own["last"], iso).alias("last_received"),
-            )
-            return F.when(own.isNotNull(), fields)
-
-        fields = F.struct(
-            F.lit(f"Canvas {k}").alias("name"),
-            F.lit(f"k-{k}").alias("api_canvas_id"),
-            latest(mine).alias("last_received_message"),
-            F.lit(k % 2 == 1).alias("is_in_control"),
-            (total(mine, "n") > 5).alias("converted"),
-            F.when(F.lit(k % 3 != 1), F.array(F.lit("buy"), F.lit(f"goal {k}"))).alias("conversion_events_performed"),
-            F.array_compact(F.array(*[step(s) for s in range(5)])).alias("steps_received"),
-        )
-        return F.when(F.size(mine) > 0, fields)
+    # SQL text here, since building these many parts call by call takes longer than running them.
+    def one(r: int) -> str:
+        return f"try_element_at(by_r, {r}L)"
+
+    def some(of: range) -> str:
+        return f"array_compact(array({', '.join(one(r) for r in of)}))"
+
+    def time(value: str) -> str:
+        return f"""date_format({value}, "{iso}")"""
+
+    def latest(of: range) -> str:
+        return time(f"array_max(transform({some(of)}, x -> x.last))")
+
+    def total(of: str, name: str) -> str:
+        return f"aggregate({of}, 0L, (t, x) -> t + x.{name})"
+
+    def campaign(k: int) -> str:
+        mine = range(k, 30, 10)
+        events = "cast(map() AS map<string, bigint>)" if k % 3 == 0 else f"map('purchase', {total(some(mine), 'n')})"
+        engaged = "map('opened', true)" if k % 4 else "cast(NULL AS map<string, boolean>)"
+        return f"""if(size({some(mine)}) > 0, named_struct('name', 'Campaign {k}', 'api_campaign_id', 'c-{k}',
+            'last_received', {latest(mine)}, 'in_control', {k % 2 == 0}, 'converted', {total(some(mine), 'n')} > 3,
+            'multiple_converted', {events}, 'engaged', {engaged}), NULL)"""
+
+    def step(k: int, s: int) -> str:
+        own = one(next(r for r in range(k, 30, 6) if r % 5 == s))
+        return f"""if({own} IS NOT NULL, named_struct('api_canvas_step_id', 's-{s}', 'name', 'Step {s}',
+            'last_received', {time(f'{own}.last')}), NULL)"""
+
+    def canvas(k: int) -> str:
+        mine = range(k, 30, 6)
+        events = "cast(NULL AS array<string>)" if k % 3 == 1 else f"array('buy', 'goal {k}')"
+        return f"""if(size({some(mine)}) > 0, named_struct('name', 'Canvas {k}', 'api_canvas_id', 'k-{k}',
+            'last_received_message', {latest(mine)}, 'is_in_control', {k % 2 == 1},
+            'converted', {total(some(mine), 'n')} > 5, 'conversion_events_performed', {events},
+            'steps_received', array_compact(array({', '.join(step(k, s) for s in range(5))}))), NULL)"""
+
+    def received(name: str, parts: list[str]) -> Column:
+        return F.expr(f"array_compact(array({', '.join(parts)}))").alias(name)
 
     user = F.struct(
         F.concat(F.lit("u-"), F.col("user_id")).alias("external_id"),
-        F.create_map(F.lit("spent"), total(F.map_values("by_r"), "c")).alias("custom_attributes"),
+        F.create_map(F.lit("spent"), F.expr(total("map_values(by_r)", "c"))).alias("custom_attributes"),
         F.when(F.pmod("user_id", F.lit(3)) == 0, "DE").when(F.pmod("user_id", F.lit(3)) == 1, "FR").alias("country"),
         F.concat(F.lit("city "), F.pmod("user_id", F.lit(7))).alias("home_city"),
-        F.array_compact(F.array(*[campaign(k) for k in range(10)])).alias("campaigns_received"),
-        F.array_compact(F.array(*[canvas(k) for k in range(6)])).alias("canvases_received"),
+        received("campaigns_received", [campaign(k) for k in range(10)]),
+        received("canvases_received", [canvas(k) for k in range(6)]),
     )
     batches = users.select(F.floor(F.col("user_id") / 50).alias("batch"), user.alias("u"))
     return (
