@@ -8,7 +8,8 @@ training documents.
 The counts grow with the corpus and never meet in one place. Documents are packed into blocks; a
 block asks for each of its distinct n-grams once, in messages dealt by ranges of the n-gram's hash;
 the messages of a range are its counts as well as its questions. So an n-gram with a third of all
-occurrences is one entry per block. N-grams are told apart by 64-bit hashes.
+occurrences is one entry per block. Words are told apart by 64-bit hashes, longer n-grams by so many bits that one in a million of
+them shares its hash with another, at any size of the corpus.
 
 Defined results: a null or empty text is its end token alone; a null id is folded like an empty one;
 repeated rows are scored each and count each; without training tokens every estimate but the uniform one is 0.
@@ -54,7 +55,7 @@ def fold(id_col: Column) -> Column:
 class Stream:
     """The n-grams of a block: two begin marks, the words and an end for each document, in one row."""
 
-    def __init__(self, words: np.ndarray, sizes: np.ndarray) -> None:
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, width: int) -> None:
         whole = sizes + 2
         ends = np.cumsum(whole)
         self.starts = ends - whole
@@ -69,7 +70,8 @@ class Stream:
         not_first[self.starts] = False
         later = np.flatnonzero(not_first)
         self._places = {1: later, 2: later, 3: self.scored}
-        self._values = {1: row[later], 2: two[later - 1], 3: three[self.scored - 2]}
+        cut = np.uint64(64 - width)
+        self._values = {1: row[later], 2: two[later - 1] >> cut, 3: three[self.scored - 2] >> cut}
         self._size = len(row)
 
     def distinct(self, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +98,12 @@ def _pack_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
                 if not len(rows):
                     continue
                 parts = [np.append(hashes.of(lower_words(texts[i])), _END) for i in rows.tolist()]
-                distinct, local = np.unique(np.concatenate(parts), return_inverse=True)
+                distinct, local, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+                # Frequent words get small numbers, which compress well.
+                order = np.argsort(-times, kind="stable")
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                distinct, local = distinct[order], place[local]
                 sizes = np.array([len(p) for p in parts], np.int64)
                 ids = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), batch.column(0).take(pa.array(rows)))
                 yield pa.record_batch(
@@ -119,20 +126,21 @@ def _pack_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     )
 
 
-def _stream(sizes: bytes, words: bytes, hashes: bytes) -> Stream:
-    return Stream(_unpacked(hashes, np.uint64)[_unpacked(words, np.uint32)], _unpacked(sizes, np.int64))
+def _stream(sizes: bytes, words: bytes, hashes: bytes, width: int) -> Stream:
+    return Stream(_unpacked(hashes, np.uint64)[_unpacked(words, np.uint32)], _unpacked(sizes, np.int64), width)
 
 
-def _ask(blocks: DataFrame, bits: int) -> DataFrame:
+def _ask(blocks: DataFrame, bits: int, width: int) -> DataFrame:
     """One message per block, level and hash range: the distinct n-grams there and how often each occurs."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, kind, sizes, words, hashes in zip(*(c.to_pylist() for c in batch.columns)):
-                stream = _stream(sizes, words, hashes)
+                stream = _stream(sizes, words, hashes, width)
                 for level in _LEVELS:
                     keys, counts = stream.distinct(level)
-                    part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+                    size = 64 if level == 1 else width
+                    part = (keys >> np.uint64(size - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
                     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(keys)).tolist()
                     ranges = list(zip(cuts, cuts[1:]))
                     yield pa.record_batch(
@@ -151,7 +159,7 @@ def _ask(blocks: DataFrame, bits: int) -> DataFrame:
     return columns.mapInArrow(run, "block long, kind int, level int, part long, keys binary, counts binary")
 
 
-_ANSWER = "block long, level int, part long, counts binary, fit_counts binary, n_words long, n_fit_words long"
+_ANSWER = "block long, kind int, level int, part long, counts binary, fit_counts binary, n_words long, n_fit_words long"
 
 
 def _answer(
@@ -181,23 +189,24 @@ def _answer(
     yield pa.record_batch(
         [
             pa.array([*blocks, None], pa.int64()),
+            pa.array([*kinds, None], pa.int32()),
             pa.array([level] * (last + 1), pa.int32()),
             pa.array([part] * (last + 1), pa.int64()),
-            pa.array([*(_packed(train[a]) for a in asked), None], pa.binary()),
-            pa.array([*(_packed(fit[a]) if k == _TUNE else None for a, k in zip(asked, kinds)), None], pa.binary()),
+            pa.array([*(_packed(train[a].astype(np.uint32)) for a in asked), None], pa.binary()),
+            pa.array([*(_packed(fit[a].astype(np.uint32)) if k == _TUNE else None for a, k in zip(asked, kinds)), None], pa.binary()),
             pa.array([0] * last + words[:1], pa.int64()),
             pa.array([0] * last + words[1:], pa.int64()),
         ],
-        ["block", "level", "part", "counts", "fit_counts", "n_words", "n_fit_words"],
+        ["block", "kind", "level", "part", "counts", "fit_counts", "n_words", "n_fit_words"],
     )
 
 
-def _estimates(stream: Stream, answers: list[dict], field: str, tokens: int) -> tuple[np.ndarray, ...]:
+def _estimates(stream: Stream, answers: list[dict], tokens: int) -> tuple[np.ndarray, ...]:
     """Count of the word, context number, and the trigram, bigram and unigram estimates at each scored place."""
     counts = {}
     for level in _LEVELS:
-        parts = sorted((a["part"], a[field]) for a in answers if a["level"] == level)
-        counts[level] = stream.spread(level, np.concatenate([_unpacked(raw, np.int64) for _, raw in parts]))
+        parts = sorted((a["part"], a["counts"]) for a in answers if a["level"] == level)
+        counts[level] = stream.spread(level, np.concatenate([_unpacked(raw, np.uint32) for _, raw in parts]))
     at = stream.scored
     word, pair, triple = counts[1][at], counts[2][at], counts[3][at]
     before, before_two = counts[1][at - 1], counts[2][at - 1]
@@ -250,7 +259,7 @@ def score_documents(
     held_remainder: int = 2,
     tune_remainder: int = 3,
     rounds: int = 8,
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 10 << 20,
     range_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per document: ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
@@ -274,27 +283,29 @@ def score_documents(
     # A range holds about as many n-grams as range_bytes / 8, at any size of the corpus.
     ranges = -(-sum(sizes.values()) * 8 // range_bytes)
     bits = max(0, int(ranges - 1).bit_length()) if ranges else 0
-    _ask(blocks, bits).groupBy("level", "part").applyInArrow(_answer, _ANSWER).write.parquet(f"{folder}/answers")
+    width = min(64, 20 + max(1, sum(sizes.values())).bit_length())
+    _ask(blocks, bits, width).groupBy("level", "part").applyInArrow(_answer, _ANSWER).write.parquet(f"{folder}/answers")
     answers = spark.read.parquet(f"{folder}/answers")
     words = answers.agg(F.sum("n_words"), F.sum("n_fit_words")).first()
     train_words, fit_words = words[0] or 0, words[1] or 0
-    told = (
-        answers.filter(F.col("block").isNotNull())
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("level", "part", "counts", "fit_counts")).alias("answers"))
-    )
-    joined = blocks.join(told, "block")
+
+    def told(rows: DataFrame, counts: str) -> DataFrame:
+        """The blocks with what they asked for."""
+        one = rows.groupBy("block").agg(F.collect_list(F.struct("level", "part", F.col(counts).alias("counts"))).alias("answers"))
+        return blocks.join(one, "block")
+
+    left_out = told(answers.filter(F.col("kind") == _TUNE), "fit_counts").filter(F.col("kind") == _TUNE)
 
     def tune(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                stream = _stream(row["sizes"], row["words"], row["hashes"])
-                _, context, *estimates = _estimates(stream, row["answers"], "fit_counts", fit_tokens)
+                stream = _stream(row["sizes"], row["words"], row["hashes"], width)
+                _, context, *estimates = _estimates(stream, row["answers"], fit_tokens)
                 packed = np.stack(estimates).astype(np.float32).tobytes()
                 columns = [pa.array([context.astype(np.uint8).tobytes()]), pa.array([packed])]
                 yield pa.record_batch(columns, ["contexts", "estimates"])
 
-    left_out = joined.filter(F.col("kind") == _TUNE).select("sizes", "words", "hashes", "answers")
+    left_out = left_out.select("sizes", "words", "hashes", "answers")
     left_out.mapInArrow(tune, "contexts binary, estimates binary").write.parquet(f"{folder}/places")
     weights = learn_weights(spark.read.parquet(f"{folder}/places"), 1.0 / (fit_words + 1), rounds)
     uniform = 1.0 / (train_words + 1)
@@ -303,8 +314,8 @@ def score_documents(
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in ("kind", "sizes", "words", "hashes", "answers")}
-                stream = _stream(row["sizes"], row["words"], row["hashes"])
-                word, context, p3, p2, p1 = _estimates(stream, row["answers"], "counts", train_tokens)
+                stream = _stream(row["sizes"], row["words"], row["hashes"], width)
+                word, context, p3, p2, p1 = _estimates(stream, row["answers"], train_tokens)
                 mixed = weights[context]
                 chance = mixed[:, 0] * p3 + mixed[:, 1] * p2 + mixed[:, 2] * p1 + mixed[:, 3] * uniform
                 base = np.log10((word + 1) / (train_tokens + train_words + 1))
@@ -323,6 +334,7 @@ def score_documents(
                     [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
+    joined = told(answers.filter(F.col("block").isNotNull()), "counts")
     return joined.select("kind", "ids", "sizes", "words", "hashes", "answers").mapInArrow(
         score,
         f"`{id_col}` {rows.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, "
