@@ -37,7 +37,7 @@ def _total(messages: Column, field: str, whole: bool = False) -> Column:
 
     def add(total: Column, message: Column) -> Column:
         value = double_or_zero(message[field])
-        return total + (F.floor(value).cast("double") if whole else value)
+        return total + (F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("double") if whole else value)
 
     return F.coalesce(F.aggregate(messages, F.lit(0.0), add), F.lit(0.0))
 

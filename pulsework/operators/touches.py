@@ -6,23 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsework.functions import in_days, parse_second_text
-from pulsework.operators.joins import HOT_ROWS, skew_join
+from pulsework.operators.joins import skew_join
 from pulsework.operators.latest import latest_by_key
 from pulsework.operators.projections import channel_id, playbook_id, playbook_type
 from pulsework.schemas import DELIVERY_METRICS, JOURNEY_METRICS, cast_to
 
 
 def delivery_metrics(
-    metrics: DataFrame, deliveries: DataFrame, first_day: str, last_day: str, hot_rows: int = HOT_ROWS
+    metrics: DataFrame, deliveries: DataFrame, first_day: str, last_day: str, hot_rows: int | None = None
 ) -> DataFrame:
-    """Every metric event of the days with its delivery's customer, playbook and channel."""
+    """Every metric event of the days with its delivery's customer, playbook and channel.
+
+    The join is plain, and adaptive execution splits a rare hot delivery; ``hot_rows`` slices keys above that many rows.
+    """
     on_days = metrics.filter(in_days(F.col("created_at"), first_day, last_day))
-    rows = skew_join(
-        on_days.select("event_id", "delivery_id", "metric", "created_at"),
-        _delivery_sides(deliveries),
-        ["delivery_id"],
-        hot_rows=hot_rows,
-    )
+    facts, sides = on_days.select("event_id", "delivery_id", "metric", "created_at"), _delivery_sides(deliveries)
+    if hot_rows is None:
+        rows = facts.join(sides, "delivery_id")
+    else:
+        rows = skew_join(facts, sides, ["delivery_id"], hot_rows=hot_rows)
     return rows.select(
         "internal_customer_id", "playbook_id", "type", "channel", "channel_name", "metric", "created_at"
     )
@@ -63,11 +65,11 @@ def channel_touches(
 
 
 def journey_metrics(
-    outputs: DataFrame, subjects: DataFrame, first_day: str, last_day: str, hot_rows: int | None = HOT_ROWS
+    outputs: DataFrame, subjects: DataFrame, first_day: str, last_day: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Journey outputs of the days with the journey they belong to.
 
-    ``hot_rows=None`` joins plainly, for outputs that already hold each subject once.
+    The join is plain unless ``hot_rows`` asks for slices of subjects above that many rows.
     """
     on_days = outputs.filter(in_days(F.col("created_at"), first_day, last_day)).select(
         "subject_name", "action_id", "explanation", "output_type", "delay_ends_at", "created_at"

@@ -148,7 +148,7 @@ def replace_day_table(spark, sf_dir):
     rows = events.drop("event_type")
     table, path = unique_name("journeys"), new_work_dir(spark, "day-table")
     day = F.dayofmonth("event_day")
-    sinks.replace_days_table(rows, table, "event_day", "2024-01-01", "2024-01-31", location=path)
+    sinks.upsert_days_table(rows, table, "event_day", ["event_id"], location=path)
     newer = events.filter(day.between(10, 14) & (day != 12) & (F.col("event_type") != "error")).drop("event_type")
     for _ in range(2):
         sinks.replace_days_table(newer, table, "event_day", "2024-01-10", "2024-01-14")
@@ -175,7 +175,7 @@ def expire(spark, sf_dir):
 def expire_day_table(spark, sf_dir):
     rows = derive.events(spark, sf_dir).select("event_id", F.to_date("day").alias("event_day"))
     table, path = unique_name("events"), new_work_dir(spark, "day-table")
-    sinks.replace_days_table(rows, table, "event_day", "2024-01-01", "2024-01-31", location=path)
+    sinks.upsert_days_table(rows, table, "event_day", ["event_id"], location=path)
     sinks.expire_days_table(spark, table, "event_day", "2024-04-10")
     return with_text_times(spark.table(table))
 
@@ -371,7 +371,7 @@ def skip_if_absent(spark, sf_dir):
     """The journey job has no source tables here, so it ends without touching anything."""
     from pulsework.plans.jobs import run_journey_metrics
 
-    ran = run_journey_metrics(spark, "2024-01-01", "2024-01-02")
+    ran = run_journey_metrics(spark, "2024-01-01", "2024-01-02", namespace=unique_name("absent"))
     orders = derive.table(spark, sf_dir, "orders")
     return orders.agg(F.lit(ran).alias("ran"), F.count(F.lit(1)).alias("orders"))
 

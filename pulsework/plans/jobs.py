@@ -18,6 +18,7 @@ from pulsework.sources import (
     discover_new_files,
     file_time_bounds,
     list_files,
+    quarantined,
     read_csv_dim,
     read_jsonl,
     read_parquet_files,
@@ -190,11 +191,16 @@ def qualified(namespace: str | None, table: str) -> str:
 
 
 def ingest(spark: SparkSession, kind: str, path: str, namespace: str | None = None) -> str:
-    """Land one endpoint's JSONL and refresh its latest-row view; returns the view's name."""
+    """Land one endpoint's JSONL and refresh its latest-row view; returns the view's name.
+
+    Lines that do not parse go to ``<table>_quarantine`` with their file and the path of the run.
+    """
     spec = LANDINGS[kind]
     table = qualified(namespace, spec.table)
-    rows = spec.rows(accepted(read_jsonl(spark, path, spec.line, spec.keep_line)))
+    parsed = read_jsonl(spark, path, spec.line, spec.keep_line)
+    rows = spec.rows(accepted(parsed))
     (sinks.overwrite if spec.full_refresh else sinks.append)(rows, table)
+    sinks.append(quarantined(parsed).select("line", F.input_file_name().alias("file"), F.lit(path).alias("run")), f"{table}_quarantine")
     return sinks.latest_view(spark, table, spec.preset)
 
 
@@ -334,7 +340,7 @@ def run_journey_metrics(spark: SparkSession, first_day: str, last_day: str, name
     if outputs is None or subjects is None:
         return False
     # The outputs view holds each subject once, so no subject can be hot.
-    rows = touches.journey_metrics(outputs, subjects, first_day, last_day, hot_rows=None)
+    rows = touches.journey_metrics(outputs, subjects, first_day, last_day)
     table = qualified(namespace, "transformed_customerio_journey_metrics")
     sinks.replace_days_table(
         rows.withColumn("created_day", rows["created_at"].cast("date")), table, "created_day", first_day, last_day

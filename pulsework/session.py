@@ -38,13 +38,15 @@ def use_utc(spark: SparkSession) -> None:
 def work_root(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a bare local session) does this fall back to a
-    folder of its own.
+    Only where the setting is absent in a local session does this fall back to a folder of its own;
+    on a cluster such a folder would be another one on each machine.
     """
     global _fallback_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if _fallback_root is None:
         _fallback_root = tempfile.mkdtemp(prefix="pulsework-")
     return _fallback_root
@@ -53,3 +55,9 @@ def work_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, so a retried job never reads half of an older run."""
     return f"{work_root(spark)}/pulsework/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -11,6 +11,8 @@ Two kinds of result table:
 
 from __future__ import annotations
 
+import re
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,9 +21,10 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pulsework.operators.columns import comparable
 from pulsework.operators.latest import PRESETS
 from pulsework.operators.merge import expire, upsert
-from pulsework.session import new_work_dir
+from pulsework.session import discard, new_work_dir
 
 
 def _writer(df: DataFrame, location: str | None) -> DataFrameWriter:
@@ -59,7 +62,8 @@ def publish(
     """Write a complete copy under a name of its own, point the view at it, drop copies before the last ``keep``.
 
     Copies are managed tables, or lie below ``root`` if given. Their names begin with the
-    time they were made, which is the order they are dropped in.
+    time they were made, which is the order they are dropped in. Only tables whose whole name is
+    that of a copy count as copies, and the new one is never dropped.
     """
     spark = df.sparkSession
     copy = f"{name}__{datetime.now(UTC):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
@@ -67,8 +71,9 @@ def publish(
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(copy)
     columns = ", ".join(f"`{c}`" for c in df.columns)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {copy}")
-    for old in _copies(spark, name)[:-keep]:
-        spark.sql(f"DROP TABLE {old}")
+    for old in _copies(spark, name)[: -max(1, keep)]:
+        if old != copy:
+            _drop_copy(spark, old)
     return copy
 
 
@@ -76,8 +81,18 @@ def _copies(spark: SparkSession, name: str) -> list[str]:
     """The copies of a published table, oldest first."""
     database, _, base = name.rpartition(".")
     within = f" IN {database}" if database else ""
-    names = sorted(row.tableName for row in spark.sql(f"SHOW TABLES{within} LIKE '{base}__*'").collect())
-    return [f"{database}.{n}" if database else n for n in names]
+    exact = re.compile(rf"{re.escape(base)}__\d{{20}}_[0-9a-f]{{8}}", re.IGNORECASE)
+    found = spark.sql(f"SHOW TABLES{within} LIKE '{base}__*'").select("tableName").collect()
+    return [f"{database}.{n}" if database else n for n in sorted(row[0] for row in found) if exact.fullmatch(n)]
+
+
+def _drop_copy(spark: SparkSession, copy: str) -> None:
+    """Dropping an external table leaves its files, so they are deleted after it."""
+    told = {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {copy}").collect()}
+    spark.sql(f"DROP TABLE {copy}")
+    location = told.get("Location", "")
+    if told.get("Type") == "EXTERNAL" and location.rstrip("/").rpartition("/")[2] == copy:
+        discard(spark, location)
 
 
 def upsert_published(
@@ -99,7 +114,10 @@ def upsert_published(
 def expire_published(
     spark: SparkSession, name: str, time: str, as_of: str, days: int = 90, root: str | None = None
 ) -> str:
-    return publish(expire(spark.table(name), time, as_of, days), name, root)
+    """Publishes what is left, laid out like the copy before."""
+    copies = _copies(spark, name)
+    layout = [c.name for c in spark.catalog.listColumns(copies[-1]) if c.isPartition] if copies else []
+    return publish(expire(spark.table(name), time, as_of, days), name, root, layout or None)
 
 
 # ---- day tables ------------------------------------------------------------------------
@@ -109,16 +127,23 @@ def _day_last(df: DataFrame, day: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != day], F.col(day).cast("date").alias(day))
 
 
+_overwriting = threading.Lock()
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only partitions that get rows. Inserting into a table heeds the session's mode, not a writer option."""
+    """Overwrite only partitions that get rows. Inserting into a table heeds the session's mode, not a writer option.
+
+    The lock keeps threads of one session from restoring the mode while another still inserts.
+    """
     mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(mode, before)
+    with _overwriting:
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(mode, before)
 
 
 def _into_days(df: DataFrame, table: str, day: str, location: str | None = None) -> None:
@@ -179,9 +204,11 @@ def upsert_days_table(
     batch = spark.read.parquet(batch_path)
     if not spark.catalog.tableExists(table):
         _into_days(batch, table, day, location)
+        discard(spark, batch_path)
         return
     days = [row[0] for row in batch.select(day).distinct().collect()]
     if not days:
+        discard(spark, batch_path)
         return
     hit = F.col(day).isin([d for d in days if d is not None])
     if None in days:
@@ -189,6 +216,8 @@ def upsert_days_table(
     touched = spark.table(table).filter(hit)
     upsert(touched, batch, [*keys, day] if day not in keys else keys, update_cols, newer_by).write.parquet(merged_path)
     _into_days(spark.read.parquet(merged_path), table, day)
+    discard(spark, batch_path)
+    discard(spark, merged_path)
 
 
 def expire_days_table(spark: SparkSession, table: str, day: str, as_of: str, days: int = 90) -> None:
@@ -218,6 +247,7 @@ def expire_rows_table(
     _drop_days(spark, table, day, [d.isoformat() for d in hit if d is not None and d not in left])
     if None in hit and None not in left:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day} = NULL)")
+    discard(spark, kept_path)
 
 
 # ---- views and external stores -----------------------------------------------------------
@@ -227,7 +257,7 @@ def latest_view(spark: SparkSession, table: str, preset: str, view: str | None =
     """(Re)creates the view that shows the latest row per key of a raw table."""
     spec = PRESETS[preset]
     names = spark.table(table).columns
-    ties = [c for c in names if c not in spec.keys and c not in spec.newest_by]
+    ties = [c for c in comparable(spark.table(table)) if c not in spec.keys and c not in spec.newest_by]
     quoted = {c: f"`{c}`" for c in names}
     order = ", ".join(f"{quoted[c]} DESC" for c in [*spec.newest_by, *ties])
     view = view or f"{table}_view"
@@ -244,5 +274,5 @@ def write_jdbc(
     connections: int = 8,
 ) -> None:
     """Write to an external store over at most ``connections`` connections."""
-    rows = df.coalesce(connections)
+    rows = df.repartition(connections)  # coalesce would run all stages before it in so few tasks
     rows.write.format("jdbc").option("url", url).option("dbtable", table).options(**(properties or {})).mode(mode).save()

@@ -1,5 +1,6 @@
 """Upserts, windows, registries, plans: edge cases and properties."""
 
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -231,3 +232,61 @@ def test_active_types(spark):
     reg = registry(spark, ("a", 1, True), ("b", 1, True), ("c", 3, False))
     assert metering.active_types(reg).first()[0] == 2
     assert metering.active_types(reg, distinct=True).first()[0] == 1
+
+
+def test_publishing_leaves_tables_of_like_names(spark, unique, folder):
+    from pulsework import sinks
+
+    name = unique("pub")
+    plain = f"{name}__notes"
+    spark.range(1).write.saveAsTable(plain)
+    for i in range(3):
+        sinks.publish(spark.range(i + 1), name, root=folder)
+        sinks.publish(spark.range(10), f"{name}__y", root=folder)
+    assert (spark.table(name).count(), spark.table(f"{name}__y").count(), spark.table(plain).count()) == (3, 10, 1)
+    assert len([n for n in os.listdir(folder) if n.startswith(f"{name}__2")]) == 2
+    assert len([n for n in os.listdir(folder) if n.startswith(f"{name}__y__2")]) == 2
+
+
+def test_retention_keeps_the_layout(spark, unique, folder):
+    from pulsework import sinks
+
+    name = unique("kept")
+    rows = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-06-01")], "k string, at string")
+    sinks.publish(rows, name, root=folder, partition_by=["k"])
+    copy = sinks.expire_published(spark, name, "at", "2024-07-01", root=folder)
+    assert [c.name for c in spark.catalog.listColumns(copy) if c.isPartition] == ["k"]
+    assert [r.k for r in spark.table(name).collect()] == ["b"]
+
+
+def test_threads_do_not_undo_the_overwrite_mode(spark, unique):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pulsework import sinks
+
+    tables = [unique("days") for _ in range(3)]
+    days = [f"2024-01-0{i}" for i in range(1, 4)]
+    whole = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "id int, day string")
+    one = spark.createDataFrame([(9, days[1])], "id int, day string")
+
+    def load(table):
+        sinks.replace_days_table(whole, table, "day", days[0], days[2])
+        sinks.replace_days_table(one, table, "day", days[1], days[1])
+        return sorted(r.id for r in spark.table(table).collect())
+
+    with ThreadPoolExecutor(3) as pool:
+        assert list(pool.map(load, tables)) == [[0, 2, 9]] * 3
+
+
+def test_bad_lines_are_kept_aside(spark, unique, folder):
+    from pulsework.plans import jobs
+
+    os.makedirs(f"{folder}/run")
+    with open(f"{folder}/run/a.jsonl", "w") as out:
+        out.write('{"id": "c1", "name": "n", "metadata": {"timestamp": 1.0, "run_id": "r"}}\n{"id": "c2", "na\n')
+    space = unique("ns")
+    spark.sql(f"CREATE DATABASE {space}")
+    jobs.ingest(spark, "campaign_list", f"{folder}/run", namespace=space)
+    bad = spark.table(f"{space}.{jobs.LANDINGS['campaign_list'].table}_quarantine").collect()
+    assert [r.line for r in bad] == ['{"id": "c2", "na'] and bad[0].file.endswith("a.jsonl")
+    assert spark.table(f"{space}.{jobs.LANDINGS['campaign_list'].table}").count() == 1
