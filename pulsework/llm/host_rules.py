@@ -117,17 +117,17 @@ def any_failed(rules: Rules) -> Column:
     )
 
 
-def host_verdicts(measured: DataFrame, host_col: str, rules: Rules) -> DataFrame:
-    """``host``, its documents and failures, the shrunk ``rate`` and ``host_bad``.
+def host_verdicts(rows: DataFrame, host_col: str, failed: Column, rules: Rules) -> DataFrame:
+    """``host``, its documents and those that ``failed``, the shrunk ``rate`` and ``host_bad``.
 
     The prior's mean is the mean of the hosts' rates and its weight comes from their spread (method of moments,
     kept between 1 and 1000 documents). Counting combines before the shuffle, so a host with a
     third of all rows costs no more than another.
     """
     hosts = (
-        measured.filter(F.col(host_col).isNotNull())
+        rows.filter(F.col(host_col).isNotNull())
         .groupBy(F.col(host_col).alias("host"))
-        .agg(F.count(F.lit(1)).alias("documents"), F.sum(any_failed(rules).cast("long")).alias("failures"))
+        .agg(F.count(F.lit(1)).alias("documents"), F.sum(failed.cast("long")).alias("failures"))
     )
     rate = F.col("failures") / F.col("documents")
     prior = hosts.agg(F.avg(rate).alias("mean"), F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("spread")).select(
@@ -158,7 +158,7 @@ def judge(measured: DataFrame, host_col: str = "source", rules: Rules = Rules())
     broadcast them.
     """
     path = new_work_dir(measured.sparkSession, "hosts")
-    host_verdicts(measured, host_col, rules).write.parquet(path)
+    host_verdicts(measured, host_col, any_failed(rules), rules).write.parquet(path)
     verdicts = measured.sparkSession.read.parquet(path).select(
         F.col("host").alias("_host"), F.col("rate").alias("_rate"), F.col("host_bad").alias("_bad")
     )
@@ -185,6 +185,21 @@ def judge_documents(
 
 
 def keep_good(docs: DataFrame, host_col: str = "source", text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """The documents that are kept, all columns unchanged. They are measured for the hosts and again for themselves."""
+    """The documents that are kept, all columns unchanged.
+
+    They are measured once: each row is written with its two flags for the hosts' verdicts, without the document
+    where that fails by itself.
+    """
     held = docs.select(F.struct("*").alias("_row"), F.col(host_col).alias("_source"), F.col(text_col).alias("_text"))
-    return judge(measure(held, "_text"), "_source", rules).filter("kept").select("_row.*")
+    path = new_work_dir(docs.sparkSession, "judged")
+    measure(held, "_text").select(
+        "_source",
+        base_failed(rules).alias("_base"),
+        any_failed(rules).alias("_any"),
+        F.when(~base_failed(rules), F.col("_row")).alias("_row"),
+    ).write.parquet(path)
+    judged = docs.sparkSession.read.parquet(path)
+    hosts = new_work_dir(docs.sparkSession, "hosts")
+    host_verdicts(judged, "_source", F.col("_any"), rules).filter("host_bad").select("host").write.parquet(hosts)
+    bad = docs.sparkSession.read.parquet(hosts)
+    return judged.filter(~F.col("_base")).join(bad, F.col("_source") == F.col("host"), "left_anti").select("_row.*")
