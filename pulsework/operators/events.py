@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +34,17 @@ def mixpanel_events(raw: DataFrame, registry: DataFrame) -> DataFrame:
 def amplitude_events(
     raw: DataFrame, registry: DataFrame, first_day: str, last_day: str, active_only: bool = False
 ) -> DataFrame:
-    """Events of known users with corrected time on the days; other columns pass through."""
+    """Events of known users with corrected time on the days; other columns pass through.
+
+    Correction never moves an event back, so the client's own time bounds the scan from above.
+    """
+    after = (date.fromisoformat(last_day) + timedelta(days=1)).isoformat()
     corrected = skew_corrected_time(
         F.col("client_event_time"), F.col("client_upload_time"), F.col("server_received_time")
     )
     timed = (
         drop_replication_columns(raw)
-        .filter(F.col("user_id").isNotNull())
+        .filter(F.col("user_id").isNotNull() & (F.col("client_event_time") < F.lit(after).cast("timestamp")))
         .withColumn("event_time_calculated", corrected)
         .filter(in_days(F.col("event_time_calculated"), first_day, last_day))
     )

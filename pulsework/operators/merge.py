@@ -16,6 +16,18 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def not_older(source: DataFrame, target: DataFrame, keys: list[str], newer_by: str) -> DataFrame:
+    """The source's rows that a guarded upsert would add to the target or change it by.
+
+    Rows lacking a part of their key match nothing; they pass by the join, which would send them all to one task.
+    """
+    held = target.select(*[F.col(k).alias(f"_held_{k}") for k in keys], F.col(newer_by).alias("_held"))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_held_{k}") for k in keys])
+    older = ~F.coalesce(F.col(newer_by) > F.col("_held"), F.lit(False))
+    whole = source.filter(~_any_null(keys)).join(held, same & older, "left_anti")
+    return whole.unionByName(source.filter(_any_null(keys)))
+
+
 def _side(df: DataFrame, keys: list[str], name: str, null_keys: bool) -> DataFrame:
     """Key columns, the row as one struct, and a spread for rows that lack a key.
 
@@ -35,13 +47,14 @@ def upsert(
     newer_by: str | None = None,
     small_source: bool = False,
     null_keys: bool = True,
+    null_safe: bool = False,
 ) -> DataFrame:
     """The target with new keys added and matched rows changed in ``update_cols``.
 
     With ``newer_by`` a matched row changes only if the source's value is greater than the
     target's; NULL on either side keeps the target row, and the guard column is always
-    among the changed ones. Keys compare as in SQL, so a NULL key never matches. The
-    source must hold each key once (see ``dedupe``).
+    among the changed ones. Keys compare as in SQL, so a NULL key never matches, unless
+    ``null_safe`` makes NULL equal to NULL. The source must hold each key once (see ``dedupe``).
 
     The plan is one full outer join. Where keys are never NULL, ``null_keys=False`` joins on
     the keys alone, so that a side already bucketed by them is not shuffled again. With ``small_source`` the target is probed instead of
@@ -53,6 +66,11 @@ def upsert(
     if newer_by is not None:
         changed.add(newer_by)
     source = source.select(*columns)
+    if null_safe:
+        # Structs are equal where their fields are equal or both NULL.
+        target, source = (df.withColumn("_whole_key", F.struct(*keys)) for df in (target, source))
+        joined = upsert(target, source, ["_whole_key"], list(changed), newer_by, small_source, null_keys=False)
+        return joined.select(*columns)
 
     def merged(matched: Column) -> list[Column]:
         takes = matched

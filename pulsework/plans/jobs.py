@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -12,25 +13,38 @@ from pyspark.sql import types as T
 from pulsework import schemas, sinks
 from pulsework.operators import details, events, landing_rows, metering, series, touches, users
 from pulsework.operators.latest import dedupe, latest
+from pulsework.functions import parse_iso
 from pulsework.operators.numbering import sync_registry
+from pulsework.operators.quality import check_not_null
+from pulsework.session import discard, new_work_dir
+from pulsework.sources.files import FILES_AT_ONCE
 from pulsework.sources import (
     accepted,
     discover_new_files,
+    file_chunks,
     file_time_bounds,
     list_files,
     quarantined,
     read_csv_dim,
     read_jsonl,
     read_parquet_files,
-    read_pruned_files,
+    read_pruned_chunks,
     table_or_none,
     with_lineage,
 )
 
 
+DAY = "day"
+RUN = "run"
+
+
 @dataclass(frozen=True)
 class Landing:
-    """How a JSONL endpoint becomes a raw table."""
+    """How a JSONL endpoint becomes a raw table.
+
+    Tables that are not loaded anew each time are partitioned by run, and by the data's day where ``start``
+    names the column that it comes from. So a job reads one run's rows, or all runs' rows of its days.
+    """
 
     line: T.StructType
     rows: Callable[[DataFrame], DataFrame]
@@ -38,8 +52,10 @@ class Landing:
     preset: str | None
     full_refresh: bool = False
     keep_line: bool = False
+    start: str | None = None
 
 
+# Raw tables and how their latest rows are told.
 LANDINGS = {
     "campaign_list": Landing(
         schemas.CAMPAIGN_LIST_LINE, landing_rows.campaign_list, "braze_campaigns_list", "campaign_list", True
@@ -52,10 +68,12 @@ LANDINGS = {
         schemas.CANVAS_DETAILS_LINE, landing_rows.canvas_details, "braze_canvas_details", "canvas_details", True, True
     ),
     "campaign_series": Landing(
-        schemas.CAMPAIGN_SERIES_LINE, landing_rows.campaign_series, "braze_campaigns_data_series", "campaign_series"
+        schemas.CAMPAIGN_SERIES_LINE, landing_rows.campaign_series, "braze_campaigns_data_series", "campaign_series",
+        start="start_date",
     ),
     "canvas_series": Landing(
-        schemas.CANVAS_SERIES_LINE, landing_rows.canvas_series, "braze_canvas_data_series", "canvas_series"
+        schemas.CANVAS_SERIES_LINE, landing_rows.canvas_series, "braze_canvas_data_series", "canvas_series",
+        start="start_date",
     ),
     "user_export": Landing(
         schemas.USER_EXPORT_LINE, landing_rows.user_export, "braze_user_workflow_data", "user_export"
@@ -190,29 +208,70 @@ def qualified(namespace: str | None, table: str) -> str:
     return f"{namespace}.{table}" if namespace else table
 
 
-def ingest(spark: SparkSession, kind: str, path: str, namespace: str | None = None) -> str:
+def run_of(path: str) -> str:
+    """The run that a landing path stands for when none is named."""
+    return hashlib.md5(path.encode()).hexdigest()
+
+
+def ingest(spark: SparkSession, kind: str, path: str, namespace: str | None = None, run: str | None = None) -> str:
     """Land one endpoint's JSONL and refresh its latest-row view; returns the view's name.
 
-    Lines that do not parse go to ``<table>_quarantine`` with their file and the path of the run.
+    Lines that do not parse go to ``<table>_quarantine`` with their file and the path of the run. ``run`` names
+    the raw table's partition, by default after the path.
     """
     spec = LANDINGS[kind]
     table = qualified(namespace, spec.table)
     parsed = read_jsonl(spark, path, spec.line, spec.keep_line)
     rows = spec.rows(accepted(parsed))
-    (sinks.overwrite if spec.full_refresh else sinks.append)(rows, table)
+    if spec.full_refresh:
+        sinks.overwrite(rows, table)
+    else:
+        parts = [RUN]
+        if spec.start:
+            rows, parts = rows.withColumn(DAY, F.to_date(parse_iso(F.col(spec.start)))), [DAY, RUN]
+        sinks.append(rows.withColumn(RUN, F.lit(run or run_of(path))), table, partition_by=parts)
     sinks.append(quarantined(parsed).select("line", F.input_file_name().alias("file"), F.lit(path).alias("run")), f"{table}_quarantine")
     return sinks.latest_view(spark, table, spec.preset)
 
 
-DAY = "day"
-
-
 def run_job(spark: SparkSession, name: str, namespace: str | None = None, root: str | None = None) -> str | None:
     """Transform and write one result table; None when its source does not exist."""
     job = JOBS[name]
     source = table_or_none(spark, qualified(namespace, job.source))
-    if source is None:
-        return None
+    return None if source is None else _write_job(job, source, namespace, root)
+
+
+def run_landed(
+    spark: SparkSession, kind: str, run: str, namespace: str | None = None, root: str | None = None
+) -> list[str]:
+    """All jobs of an endpoint for what one run has landed; returns the result tables.
+
+    Series take all raw rows of the days that the run brings, whichever run they came with, and no others. Other
+    endpoints take the run's own rows, so their runs are to be worked through in order. The latest rows
+    are found once and written to the shared folder for all the jobs.
+    """
+    spec = LANDINGS[kind]
+    raw = table_or_none(spark, qualified(namespace, spec.table))
+    if raw is None:
+        return []
+    rows = raw.filter(F.col(RUN) == run)
+    if spec.start:
+        rows = raw.filter(sinks.on_days(DAY, sinks.days_of(rows, DAY)))
+    path = new_work_dir(spark, "latest")
+    latest(rows, spec.preset).write.parquet(path)
+    newest = spark.read.schema(raw.schema).parquet(path)
+    done = [_write_job(j, newest, namespace, root) for j in JOBS.values() if j.source == f"{spec.table}_view"]
+    discard(spark, path)
+    return done
+
+
+def missing_keys(spark: SparkSession, name: str, namespace: str | None = None) -> DataFrame:
+    """Rows of a job's result that lack a part of their key, counted per column; none in a sound table."""
+    job = JOBS[name]
+    return check_not_null(spark.table(qualified(namespace, job.table)), job.keys)
+
+
+def _write_job(job: Job, source: DataFrame, namespace: str | None, root: str | None) -> str:
     target = qualified(namespace, job.table)
     rows = job.transform(source)
     if job.full_refresh:
@@ -242,7 +301,10 @@ def run_people(
 def run_channel_touches(
     spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None, root: str | None = None
 ) -> str | None:
-    """All thirteen metrics from one pass over the join, as one table partitioned by metric."""
+    """All thirteen metrics from one pass over the join, as one table partitioned by metric.
+
+    Touches without a playbook are one group per customer, which a rerun replaces like any other.
+    """
     metrics = table_or_none(spark, qualified(namespace, "customerio_channel_metrics_view"))
     deliveries = table_or_none(spark, qualified(namespace, "customerio_channel_deliveries_view"))
     if metrics is None or deliveries is None:
@@ -256,6 +318,7 @@ def run_channel_touches(
         "created_at",
         root=root,
         partition_by=["metric"],
+        null_safe=True,
     )
     return target
 
@@ -298,24 +361,34 @@ FILE_LANDINGS = {
 FILE_REGISTRY = "customerio_processed_files"
 
 
-def register_files(spark: SparkSession, kind: str, folder: str, namespace: str | None = None) -> int:
-    """Add the files of a folder that the registry does not know yet; returns how many there were."""
+def register_files(
+    spark: SparkSession, kind: str, folder: str, namespace: str | None = None, at_once: int = FILES_AT_ONCE
+) -> int:
+    """Add the files of a folder that the registry does not know yet; returns how many there were.
+
+    A file without rows is registered without bounds.
+    """
     spec = FILE_LANDINGS[kind]
     registry = qualified(namespace, FILE_REGISTRY)
     if not spark.catalog.tableExists(registry):
         sinks.append(spark.createDataFrame([], schemas.PROCESSED_FILES), registry)
-    found = discover_new_files(list_files(spark, folder), spark.table(registry), kind)
-    names = [row.file_name for row in found.select("file_name").toLocalIterator()]
-    if names:
+    listing, columns = list_files(spark, folder), schemas.PROCESSED_FILES
+    count = 0
+    for names in file_chunks(discover_new_files(listing, spark.table(registry), kind), at_once):
         rows = with_lineage(read_parquet_files(spark, names, spec.columns))
-        bounds = file_time_bounds(rows, spec.bounds, kind).select(*schemas.PROCESSED_FILES.fieldNames())
-        sinks.append(bounds, registry)
+        sinks.append(file_time_bounds(rows, spec.bounds, kind).select(*columns.fieldNames()), registry)
+        count += len(names)
+    if count:
+        unknown = {c: F.lit(None).cast("timestamp") for c in ("min_timestamp", "max_timestamp")}
+        empty = discover_new_files(listing, spark.table(registry), kind).withColumns({"type": F.lit(kind), **unknown})
+        sinks.append(empty.select(*columns.fieldNames()), registry)
     sinks.latest_view(spark, registry, "processed_files")
-    return len(names)
+    return count
 
 
 def ingest_files(
-    spark: SparkSession, kind: str, folder: str, first_day: str, last_day: str, namespace: str | None = None
+    spark: SparkSession, kind: str, folder: str, first_day: str, last_day: str, namespace: str | None = None,
+    at_once: int = FILES_AT_ONCE,
 ) -> str | None:
     """Append the days' rows of an export to its raw table and refresh the view.
 
@@ -323,14 +396,13 @@ def ingest_files(
     rows that the latest-row view hides. None when no file is needed.
     """
     spec = FILE_LANDINGS[kind]
-    register_files(spark, kind, folder, namespace)
+    register_files(spark, kind, folder, namespace, at_once)
     registry = spark.table(qualified(namespace, f"{FILE_REGISTRY}_view"))
-    rows = read_pruned_files(spark, registry, kind, first_day, last_day, spec.columns, spec.times)
-    if rows is None:
-        return None
-    table = qualified(namespace, spec.table)
-    sinks.append(rows.select(*spec.columns.fieldNames(), "inserted_at"), table)
-    return sinks.latest_view(spark, table, spec.preset)
+    table, any_file = qualified(namespace, spec.table), False
+    for rows in read_pruned_chunks(spark, registry, kind, first_day, last_day, spec.columns, spec.times, at_once):
+        sinks.append(rows.select(*spec.columns.fieldNames(), "inserted_at"), table)
+        any_file = True
+    return sinks.latest_view(spark, table, spec.preset) if any_file else None
 
 
 def run_journey_metrics(spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None) -> bool:
@@ -374,12 +446,17 @@ def run_amplitude_events(spark: SparkSession, first_day: str, last_day: str, nam
     return True
 
 
-def run_mixpanel_events(spark: SparkSession, namespace: str | None = None) -> bool:
-    """Raw events to the served day table; an event's key holds its time, hence its day."""
+def run_mixpanel_events(spark: SparkSession, namespace: str | None = None, run: str | None = None) -> bool:
+    """Raw events, of one run or of all, to the served day table; an event's key holds its time, hence its day.
+
+    The order of runs does not matter, as a newer copy of an event is never replaced by an older one.
+    """
     raw = table_or_none(spark, qualified(namespace, "mixpanel_raw_events"))
     registry = table_or_none(spark, qualified(namespace, "mixpanel_events_list"))
     if raw is None or registry is None:
         return False
+    if run is not None:
+        raw = raw.filter(F.col(RUN) == run)
     rows = events.mixpanel_events(raw, registry).withColumn("event_day", F.to_date(F.timestamp_seconds("time")))
     keys = ["event", "time", "distinct_id", "insert_id"]
     sinks.upsert_days_table(

@@ -18,12 +18,12 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsework.operators.columns import comparable
 from pulsework.operators.latest import PRESETS
-from pulsework.operators.merge import expire, upsert
+from pulsework.operators.merge import expire, not_older, upsert
 from pulsework.session import discard, new_work_dir
 
 
@@ -32,8 +32,10 @@ def _writer(df: DataFrame, location: str | None) -> DataFrameWriter:
     return df.write.option("path", location) if location else df.write
 
 
-def append(df: DataFrame, table: str, location: str | None = None) -> None:
-    _writer(df, location).mode("append").saveAsTable(table)
+def append(df: DataFrame, table: str, location: str | None = None, partition_by: list[str] | None = None) -> None:
+    """Columns are matched by name, as they are in all tables Spark appends to."""
+    writer = _writer(df, location).mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
 def overwrite(df: DataFrame, table: str, location: str | None = None) -> None:
@@ -104,10 +106,11 @@ def upsert_published(
     small_source: bool = False,
     root: str | None = None,
     partition_by: list[str] | None = None,
+    null_safe: bool = False,
 ) -> str:
     spark = source.sparkSession
     if spark.catalog.tableExists(name):
-        source = upsert(spark.table(name), source, keys, update_cols, newer_by, small_source)
+        source = upsert(spark.table(name), source, keys, update_cols, newer_by, small_source, null_safe=null_safe)
     return publish(source, name, root, partition_by)
 
 
@@ -182,6 +185,17 @@ def replace_days_table(
     _drop_days(spark, table, day, [d for d in window if d not in written])
 
 
+def days_of(df: DataFrame, day: str) -> list[date | None]:
+    """The distinct days of a load, one value each."""
+    return [row[0] for row in df.select(day).distinct().collect()]
+
+
+def on_days(day: str, days: list[date | None]) -> Column:
+    """Rows of the listed days; a partition filter where the table is partitioned by its day."""
+    hit = F.col(day).isin([d for d in days if d is not None])
+    return hit | F.col(day).isNull() if None in days else hit
+
+
 def upsert_days_table(
     source: DataFrame,
     table: str,
@@ -197,6 +211,9 @@ def upsert_days_table(
     days it touches (one value per day) prune the target's scan. The merged days are written
     there too before they replace the old ones, so a lost executor cannot catch the
     table between reading and overwriting.
+
+    With ``newer_by`` only days in which some row is new or newer are rewritten: a load that
+    brings nothing new changes no file.
     """
     spark = source.sparkSession
     batch_path, merged_path = new_work_dir(spark, "batch"), new_work_dir(spark, "merged")
@@ -206,18 +223,17 @@ def upsert_days_table(
         _into_days(batch, table, day, location)
         discard(spark, batch_path)
         return
-    days = [row[0] for row in batch.select(day).distinct().collect()]
-    if not days:
-        discard(spark, batch_path)
-        return
-    hit = F.col(day).isin([d for d in days if d is not None])
-    if None in days:
-        hit = hit | F.col(day).isNull()
-    touched = spark.table(table).filter(hit)
-    upsert(touched, batch, [*keys, day] if day not in keys else keys, update_cols, newer_by).write.parquet(merged_path)
-    _into_days(spark.read.parquet(merged_path), table, day)
+    keys = keys if day in keys else [*keys, day]
+    days = days_of(batch, day)
+    if days and newer_by is not None:
+        batch = not_older(batch, spark.table(table).filter(on_days(day, days)), keys, newer_by)
+        days = days_of(batch, day)
+    if days:
+        touched = spark.table(table).filter(on_days(day, days))
+        upsert(touched, batch, keys, update_cols, newer_by).write.parquet(merged_path)
+        _into_days(spark.read.parquet(merged_path), table, day)
+        discard(spark, merged_path)
     discard(spark, batch_path)
-    discard(spark, merged_path)
 
 
 def expire_days_table(spark: SparkSession, table: str, day: str, as_of: str, days: int = 90) -> None:
@@ -236,11 +252,8 @@ def expire_rows_table(
     hit = [row[0] for row in rows.filter(F.col(time) < F.lit(cutoff)).select(day).distinct().collect()]
     if not hit:
         return
-    within = F.col(day).isin([d for d in hit if d is not None])
-    if None in hit:
-        within = within | F.col(day).isNull()
     kept_path = new_work_dir(spark, "kept")
-    expire(rows.filter(within), time, as_of, days).write.parquet(kept_path)
+    expire(rows.filter(on_days(day, hit)), time, as_of, days).write.parquet(kept_path)
     kept = spark.read.parquet(kept_path)
     left = {row[0] for row in kept.select(day).distinct().collect()}
     _into_days(kept, table, day)

@@ -2,7 +2,9 @@ from pulsework.sources.files import (
     discover_new_files,
     file_time_bounds,
     list_files,
+    file_chunks,
     prune_files,
+    read_pruned_chunks,
     read_pruned_files,
 )
 from pulsework.sources.landing import accepted, line_counts, parse_lines, quarantined, read_jsonl

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date, timedelta
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,10 @@ from pulsework.functions import greatest_time, in_days, least_time
 from pulsework.sources.tables import read_parquet_files, with_lineage
 
 
+# Files that one plan reads; longer lists are worked through in turns.
+FILES_AT_ONCE = 10_000
+
+
 def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
     """File names and modification times below a folder; no content is read."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
@@ -42,6 +48,13 @@ def file_time_bounds(files: DataFrame, time_cols: list[str], file_type: str) ->
     )
 
 
+def file_chunks(files: DataFrame, size: int = FILES_AT_ONCE) -> Iterator[list[str]]:
+    """All file names in lists of at most ``size``: the driver holds one of them and one partition's names."""
+    names = (row.file_name for row in files.select("file_name").distinct().toLocalIterator())
+    while chunk := list(islice(names, size)):
+        yield chunk
+
+
 def prune_files(registry: DataFrame, file_type: str, first_day: str, last_day: str) -> DataFrame:
     """Registered files whose time span touches the days; a file without bounds is left out."""
     after = (date.fromisoformat(last_day) + timedelta(days=1)).isoformat()
@@ -58,18 +71,26 @@ def read_pruned_files(
     schema: T.StructType,
     row_days: list[str],
 ) -> DataFrame | None:
-    """Rows of the needed files whose times touch the days, with lineage; None if no file is needed.
+    """Rows of the needed files whose times touch the days, with lineage; None if no file is needed."""
+    chunks = list(read_pruned_chunks(spark, registry, file_type, first_day, last_day, schema, row_days))
+    return reduce(DataFrame.unionAll, chunks) if chunks else None
 
-    Only file names reach the driver, as they do for any scan's own file index.
-    """
-    wanted = prune_files(registry, file_type, first_day, last_day).select("file_name").distinct()
-    names = [row.file_name for row in wanted.toLocalIterator()]
-    if not names:
-        return None
-    rows = with_lineage(read_parquet_files(spark, names, schema))
-    if len(row_days) == 1:
-        return rows.filter(in_days(F.col(row_days[0]), first_day, last_day))
-    return rows.filter(spans_days([F.col(c) for c in row_days], first_day, last_day))
+
+def read_pruned_chunks(
+    spark: SparkSession,
+    registry: DataFrame,
+    file_type: str,
+    first_day: str,
+    last_day: str,
+    schema: T.StructType,
+    row_days: list[str],
+    at_once: int = FILES_AT_ONCE,
+) -> Iterator[DataFrame]:
+    """The same rows file list by file list, for lists that are too long for one plan."""
+    times = [F.col(c) for c in row_days]
+    within = in_days(times[0], first_day, last_day) if len(times) == 1 else spans_days(times, first_day, last_day)
+    for names in file_chunks(prune_files(registry, file_type, first_day, last_day), at_once):
+        yield with_lineage(read_parquet_files(spark, names, schema)).filter(within)
 
 
 def spans_days(times: list[Column], first_day: str, last_day: str) -> Column:

@@ -6,15 +6,18 @@ new and stops (``availableNow``); started again it goes on where it ended.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pulsework.operators.latest import latest_by_key
 from pulsework.operators.merge import upsert
+from pulsework.session import discard
 from pulsework.sinks import upsert_days_table
 
 
@@ -32,14 +35,50 @@ def stream_files(
     )
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+class _LateRows(StreamingQueryListener):
+    """Adds up what the watermark makes one query drop."""
 
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
 
-def append_new_files(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Append each new file's rows once, also across restarts."""
-    run_available(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        with self.changed:
+            run = str(event.progress.runId)
+            self.dropped[run] = self.dropped.get(run, 0) + late
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+
+def run_available(writer: DataStreamWriter, checkpoint: str) -> int:
+    """Runs over what is new; returns how many rows came too late for the watermark and were left out.
+
+    Rows are counted where a stateful operator drops them, i.e. after partial aggregation.
+    """
+    streams, late = SparkSession.active().streams, _LateRows()
+    streams.addListener(late)
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        run = str(query.runId)
+        query.awaitTermination()
+        with late.changed:
+            late.changed.wait_for(lambda: run in late.ended, timeout=60)
+            return late.dropped.get(run, 0)
+    finally:
+        streams.removeListener(late)
+
+
+def append_new_files(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Append each new file's rows once, also across restarts; returns the rows left out as too late."""
+    return run_available(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
 
 
 # Copies of a state that are kept: the one being written, the one it is made from, and one more.
@@ -58,11 +97,17 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _next_state(root: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
-    """Each batch reads the state before it and writes its own, so a repeated batch changes nothing."""
+    """Each batch reads the state before it and writes its own, so a repeated batch changes nothing.
+
+    The first batch of a checkpoint begins anew: what a lost checkpoint has left in the other slots goes.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         before = None
-        if batch_id:
+        if not batch_id:
+            for other in range(1, _SLOTS):
+                discard(batch.sparkSession, _slot(root, other))
+        else:
             before = batch.sparkSession.read.parquet(_slot(root, batch_id - 1)).drop("_batch")
         state = merge(before, batch).withColumn("_batch", F.lit(batch_id).cast("bigint"))
         state.write.mode("overwrite").parquet(_slot(root, batch_id))
@@ -106,14 +151,14 @@ def daily_sums(stream: DataFrame, time: str, by: list[str], sums: list[str], del
     )
 
 
-def sums_to_days(totals: DataFrame, table: str, checkpoint: str, keys: list[str], location: str | None = None) -> None:
+def sums_to_days(totals: DataFrame, table: str, checkpoint: str, keys: list[str], location: str | None = None) -> int:
     """Puts changed totals into a day table as they come, days that may still change included.
 
     A batch rewrites the partitions of the days it brings. Repeating it gives the same
-    totals.
+    totals. Returns the partial sums left out as too late.
     """
 
     def write(batch: DataFrame, _: int) -> None:
         upsert_days_table(batch, table, "day", keys, location=location)
 
-    run_available(totals.writeStream.foreachBatch(write).outputMode("update"), checkpoint)
+    return run_available(totals.writeStream.foreachBatch(write).outputMode("update"), checkpoint)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsework import schemas, sinks
+from pulsework.operators import events
 from pulsework.plans import jobs
 from pulsework.streaming import append_new_files, daily_sums, dedupe_events, read_state, stream_files, sums_to_days, upsert_latest
 
@@ -212,6 +213,90 @@ def test_mixpanel_events_reach_their_day_table_once(spark, folder, namespace):
     assert json.loads(row.properties)["again"] == 2
 
 
+def test_a_mixpanel_run_rewrites_only_what_it_changes(spark, folder, namespace):
+    def record(timestamp, time, again):
+        properties = {"time": time, "distinct_id": "u", "$insert_id": "i", "again": again}
+        return {"event": "open", "properties": properties, "metadata": meta(timestamp)}
+
+    spark.createDataFrame([("open", 2, True)], schemas.EVENT_TYPES).write.saveAsTable(f"{namespace}.mixpanel_events_list")
+    write_lines(spark, f"{folder}/1.jsonl", record(10.5, 1704453000, 1), record(10.5, 1704553000, 1))
+    write_lines(spark, f"{folder}/2.jsonl", record(12.5, 1704553000, 2), record(9.5, 1704453000, 3))
+    served = f"{namespace}.mixpanel_events"
+
+    def files():
+        return {r[0] for r in spark.table(served).select(F.input_file_name()).distinct().collect()}
+
+    for run in ("1", "2"):
+        jobs.ingest(spark, "mixpanel_events", f"{folder}/{run}.jsonl", namespace, run)
+    jobs.run_mixpanel_events(spark, namespace, "1")
+    before = files()
+    jobs.run_mixpanel_events(spark, namespace, "2")
+    after = files()
+    assert len(before & after) == 1 and len(after) == 2
+    for run in ("1", "2", None):
+        jobs.run_mixpanel_events(spark, namespace, run)
+    assert files() == after
+    assert sorted(json.loads(r.properties)["again"] for r in spark.table(served).collect()) == [1, 2]
+
+
+def test_a_series_run_touches_only_its_days(spark, folder, namespace):
+    def record(timestamp, day, sent):
+        one = {"time": day, "messages": {"email": [{"variation_name": "V", "variation_api_id": "v1", "sent": sent}]}}
+        return {"data": [one], "metadata": meta(timestamp, campaign_id="c-1")}
+
+    runs = {"1": [record(1.5, "2024-01-05", 1), record(1.5, "2024-01-06", 2)], "3": [record(9.5, "2024-01-06", 4)],
+            "2": [record(5.5, "2024-01-06", 3)]}
+    target, seen = f"{namespace}.transformed_channels_campaign", None
+    for run, records in runs.items():
+        write_lines(spark, f"{folder}/{run}.jsonl", *records)
+        jobs.ingest(spark, "campaign_series", f"{folder}/{run}.jsonl", namespace, run)
+        tables = jobs.run_landed(spark, "campaign_series", run, namespace)
+        assert tables == [f"{namespace}.transformed_variants", target]
+        kept = spark.table(target).filter("day = '2024-01-05'").select(F.input_file_name()).distinct().collect()
+        assert seen in (None, kept)
+        seen = kept
+    # The run that came last is older than the one before.
+    assert sorted((str(r.day), r.sends) for r in spark.table(target).collect()) == [("2024-01-05", 1), ("2024-01-06", 4)]
+    whole = rows(spark.table(target))
+    jobs.run_job(spark, "campaign_channels", namespace)
+    assert rows(spark.table(target)) == whole
+    assert jobs.missing_keys(spark, "campaign_channels", namespace).count() == 0
+    parts = spark.sql(f"SHOW PARTITIONS {namespace}.braze_campaigns_data_series").collect()
+    assert "day=2024-01-06/run=2" in [r[0] for r in parts]
+
+
+def test_touches_without_a_playbook_do_not_grow(spark, namespace):
+    name, ddl = f"{namespace}.touches", "customer string, playbook int, g int"
+    for g in (1, 2, 2):
+        rows_now = spark.createDataFrame([("a", None, g), ("a", 1, g), (None, None, g)], ddl)
+        sinks.upsert_published(rows_now, name, ["customer", "playbook"], newer_by="g", null_safe=True)
+    assert rows(spark.table(name)) == sorted([("a", None, 2), ("a", 1, 2), (None, None, 2)], key=repr)
+
+
+def test_long_file_lists_are_taken_in_turns(spark, folder, namespace):
+    at = datetime(2024, 1, 5)
+    for i in range(7):
+        data = [(f"u{i}", f"p{i}", False, None, at, at)] if i else []
+        spark.createDataFrame(data, schemas.PEOPLE).coalesce(1).write.parquet(f"{folder}/in/{i}")
+    window = ("2024-01-05", "2024-01-05")
+    view = jobs.ingest_files(spark, "people_changes", f"{folder}/in", *window, namespace, at_once=2)
+    assert spark.table(view).count() == 6
+    assert spark.table(f"{namespace}.customerio_processed_files").count() == 7
+    assert jobs.register_files(spark, "people_changes", f"{folder}/in", namespace) == 0
+
+
+def test_amplitude_scan_is_bounded(spark, folder):
+    ddl = ("user_id string, event_type string, client_event_time timestamp, client_upload_time timestamp, "
+           "server_received_time timestamp")
+    at = lambda d, h=0: datetime(2024, 1, d, h)
+    data = [("u", "open", at(1), at(1), at(2)), ("u", "open", at(2), at(2), at(2)), ("u", "open", at(3), at(3), at(3))]
+    spark.createDataFrame(data, ddl).write.parquet(f"{folder}/raw")
+    types = spark.createDataFrame([("open", 2, True)], schemas.EVENT_TYPES)
+    got = events.amplitude_events(spark.read.parquet(f"{folder}/raw"), types, "2024-01-02", "2024-01-02")
+    assert sorted(r.client_event_time for r in got.collect()) == [at(1), at(2)]
+    assert "LessThan(client_event_time" in got._jdf.queryExecution().toString()
+
+
 def test_people_touch_and_journey_jobs(spark, folder, namespace):
     at = datetime(2024, 1, 2, 10)
     make = lambda data, ddl, name: spark.createDataFrame(data, ddl).write.saveAsTable(f"{namespace}.{name}")
@@ -346,11 +431,11 @@ def test_stream_dedupe_and_late_sums(spark, folder, namespace):
 
     def run():
         unique = dedupe_events(source(spark, folder), "t", ["k"], "30 days")
-        append_new_files(unique.select("k", "t", "n"), f"{folder}/unique", f"{folder}/cp1")
+        late = append_new_files(unique.select("k", "t", "n"), f"{folder}/unique", f"{folder}/cp1")
         totals = daily_sums(source(spark, folder), "t", ["k"], ["n"], "30 days")
-        sums_to_days(totals, f"{namespace}.sums", f"{folder}/cp2", ["day", "k"])
+        return late, sums_to_days(totals, f"{namespace}.sums", f"{folder}/cp2", ["day", "k"])
 
-    run()
+    assert run() == (0, 0)
     # A repeat of a known key, and data for a day nineteen days back.
     put(spark, folder, "2", ("a", 1, d(20), 1), ("c", 1, d(1), 4), ("b", 1, d(20, 7), 8))
     run()
@@ -358,3 +443,20 @@ def test_stream_dedupe_and_late_sums(spark, folder, namespace):
     assert rows(spark.table(f"{namespace}.sums").select("day", "k", "n")) == sorted(
         [(date(2024, 1, 1), "c", 4), (date(2024, 1, 20), "a", 3), (date(2024, 1, 20), "b", 10)], key=repr
     )
+    # Too late for either: left out, and said so.
+    put(spark, folder, "3", ("z", 1, datetime(2023, 6, 1), 1), ("y", 1, datetime(2023, 6, 1), 1))
+    assert run() == (2, 2)
+
+
+def test_a_lost_checkpoint_leaves_no_stale_state(spark, folder):
+    at = datetime(2024, 1, 1)
+    run = lambda cp: upsert_latest(
+        source(spark, folder).drop("file_name", "inserted_at"), f"{folder}/state", f"{folder}/{cp}", ["k"], ["g"], "g"
+    )
+    put(spark, folder, "1", ("a", 1, at, 1))
+    run("cp")
+    put(spark, folder, "2", ("b", 1, at, 2))
+    run("cp")
+    put(spark, folder, "3", ("c", 1, at, 3))
+    run("new")
+    assert sorted(r.k for r in read_state(spark, f"{folder}/state").collect()) == ["a", "b", "c"]
