@@ -9,7 +9,7 @@ from pulsework.operators import merge, numbering, planning, quality, touches
 from pulsework.operators.latest import latest_by_key
 from pulsework.plans import derive
 from pulsework.plans.catalog.registry import EVENTS, query, unique_name, with_text_times
-from pulsework.plans.catalog.relational import _JOURNEYS
+from pulsework.plans.catalog.relational import _JOURNEYS, _TYPE_IDS
 from pulsework.session import new_work_dir
 
 
@@ -240,6 +240,31 @@ def copy_tenant(spark, sf_dir):
     return merge.upsert(theirs, ours, keys, newer_by="created_at")
 
 
+@query(
+    "j3_mixpanel_run_by_run",
+    f"""WITH {EVENTS}, {_TYPE_IDS}
+    SELECT event_type AS event, 'i-' || event_id AS insert_id, event_id % 10 = 0 AND event_id % 3 > 0 AS again,
+      day AS event_day, event_type_id
+    FROM ev JOIN types USING (event_type) WHERE event_type <> 'error'""",
+)
+def mixpanel_run_by_run(spark, sf_dir):
+    """Two runs that share a third of the events, landed, then served in the wrong order, one of them twice."""
+    from pulsework.plans import jobs
+
+    rows, path, namespace = derive.events(spark, sf_dir), new_work_dir(spark, "runs"), unique_name("tenant")
+    spark.sql(f"CREATE DATABASE {namespace} LOCATION '{path}/tables'")
+    sinks.overwrite(derive.registry(rows), f"{namespace}.mixpanel_events_list")
+    derive.event_lines(rows.filter(mod("event_id", 3) < 2), redelivered=False).write.text(f"{path}/1")
+    derive.event_lines(rows.filter(mod("event_id", 3) > 0)).write.text(f"{path}/2")
+    for run in ("1", "2"):
+        jobs.ingest(spark, "mixpanel_events", f"{path}/{run}/*.txt", namespace, run)
+    for run in ("2", "1", "2"):
+        jobs.run_mixpanel_events(spark, namespace, run)
+    again = F.get_json_object("properties", "$.again").cast("boolean").alias("again")
+    served = spark.table(f"{namespace}.mixpanel_events")
+    return with_text_times(served.select("event", "insert_id", again, "event_day", "event_type_id"))
+
+
 # ---- registries and plans -----------------------------------------------------------------------------------
 
 
