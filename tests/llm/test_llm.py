@@ -225,6 +225,19 @@ def test_near_duplicates(spark, edges, empty):
     assert probminhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_short_texts(spark):
+    """Few shingles win all components; pairs just over the limit must be linked all the same."""
+    rng, rows = random.Random(5), []
+    for n, more, times in [(8, 1, 1), (9, 1, 1), (12, 2, 1), (16, 3, 1), (20, 4, 1), (25, 5, 1), (10, 1, 3)] * 20:
+        own = [f"v{rng.getrandbits(40)}" for _ in range(n + more)]
+        line = " ".join(own[:n]) + "\n"
+        rows += [(len(rows), line * times), (len(rows) + 1, line * times + " ".join(own[n:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_classes(rows)
+    assert sum(want[i] != i for i, _ in rows) == len(rows) // 2
+    assert {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs).collect()} == want
+
+
 def test_host_rules(spark, edges, empty):
     good = [row(i, prose(i), "good") for i in range(30)]
     bad = [row(100 + i, "x " * 60, "bad") for i in range(29)] + [row(200, prose(3), "bad"), row(300, prose(3), None)]
