@@ -33,8 +33,9 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "der", "ssh", "pem", "jwt")
 BASE_KINDS = KINDS[:3]
 
-# Candidates for decoding. A look-behind keeps a run from being tried at each of its characters.
-_RUN = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{24,}={0,2}")
+# Candidates for decoding. A look-behind keeps a run from being tried at each of its characters; padding ends a run
+# and begins none, so a run may follow "=".
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")

@@ -276,6 +276,12 @@ def test_secrets(spark, edges):
     assert secret_scan.redact_secrets(edges).collect() == edges.collect()
 
 
+def test_secrets_after_signs():
+    key = base64.b64encode(der(0x30, der(2, b"\0") + der(2, b"\x01" * 70) * 8)).decode()
+    for sign in ("PRIVATE_KEY=", "a=1&key=", "key:", "key='", 'key="', "a,", "Zm9v==", " "):
+        assert secret_scan.structural_spans(sign + key) == [(len(sign), len(sign) + len(key), "der")], sign
+
+
 def brute_edits(pattern, text):
     line = [0] * (len(text) + 1)
     for i, a in enumerate(pattern):
