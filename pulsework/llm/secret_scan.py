@@ -34,11 +34,18 @@ KINDS = ("assign", "access", "hex", "der", "ssh", "pem", "jwt")
 BASE_KINDS = KINDS[:3]
 
 # Candidates for decoding. A look-behind keeps a run from being tried at each of its characters; padding ends a run
-# and begins none, so a run may follow "=".
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
+# and begins none, so a run may follow "=". The letter of an escaped line break does not belong to the run after it.
+_BEGIN = r"(?:(?<=\\[nr])|(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nr]))"
+_RUN = re.compile(_BEGIN + r"[A-Za-z0-9+/_-]{24,}={0,2}")
+# Runs on consecutive lines, with real or escaped line breaks between them.
+_BREAK = r"(?:[\x20\t]*(?:\r?\n[\x20\t]*|\\+[nr]))+"
+_LINES = re.compile(_BEGIN + r"[A-Za-z0-9+/_-]{24,}(?:" + _BREAK + r"[A-Za-z0-9+/_-]+)+={0,2}")
+_LINE = re.compile(r"\\+[nr]|([A-Za-z0-9+/_-]+={0,2})")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]*(?:\\+[nr/][A-Za-z0-9+/=\s]*)*)-----END \1-----")
+# Escapes in a body, but for the slash that may follow.
+_ESCAPE = re.compile(r"\\+(?:[nr]|(?=/))")
 # A text without any of these has no span of any kind; case is folded for all, which finds too much at worst.
 _ANY = r"(?i)(password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{16}|[a-z0-9+/_-]{24}|-----BEGIN |[a-z0-9_-]{8}\.[a-z0-9_-]{2,}\.)"
 
@@ -69,7 +76,7 @@ def _der(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """A private key in DER: PKCS#1, SEC1 or PKCS#8, with all nested lengths in order."""
+    """A private key in DER: PKCS#1, DSA, SEC1 or PKCS#8, with all nested lengths in order."""
     top = _der(data, 0, len(data))
     if not top or len(top) != 1 or top[0][0] != _SEQUENCE:
         return False
@@ -79,6 +86,8 @@ def is_der_key(data: bytes) -> bool:
     tags = [tag for tag, _, _ in parts]
     if len(tags) >= 9 and tags[:9] == [_INTEGER] * 9:
         return True
+    if tags == [_INTEGER] * 6:
+        return data[parts[0][1]] == 0
     if tags[1] == _OCTETS:
         return data[parts[0][1]] == 1 and parts[1][2] - parts[1][1] in (20, 24, 28, 32, 48, 66)
     if tags[1] == _SEQUENCE and tags[2] == _OCTETS:
@@ -136,6 +145,77 @@ def _key_kind(data: bytes | None) -> str | None:
     return "ssh" if is_ssh_key(data) else "der" if is_der_key(data) else None
 
 
+def _stated_size(data: bytes) -> int | None:
+    """Bytes of the key that the data begin with, by its outer length (DER) or its nested strings (OpenSSH)."""
+    if data[:1] == b"\x30" and len(data) >= 12:
+        count = max(0, data[1] - 0x80)
+        at = 2 + count
+        # A private key begins with a version of one byte; this keeps other data from being decoded further.
+        if count > 4 or data[at : at + 2] != b"\x02\x01" or data[at + 3] not in (_INTEGER, _OCTETS, _SEQUENCE):
+            return None
+        return at + (int.from_bytes(data[2:at], "big") if count else data[1])
+    at = 15
+    if not data.startswith(b"openssh-key-v1\0"):
+        return None
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    keys = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    if not 1 <= keys <= 16:
+        return None
+    for _ in range(keys + 1):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at if at <= len(data) else None
+
+
+def _joined(text: str, lines: list[tuple[int, int]], first: int) -> tuple[int, str] | None:
+    """The key that begins with a line and goes on over lines of its width: its last line and kind."""
+    start, end = lines[first]
+    width = end - start
+    head = text[start:end]
+    if width < 24 or not head.startswith(("M", "b3BlbnNzaC1rZXktdjE")):
+        return None
+    if head[0] == "M":
+        data = _decoded(head[: width // 4 * 4])
+    else:
+        stop = first + 1
+        while stop < len(lines) and lines[stop - 1][1] - lines[stop - 1][0] == width >= lines[stop][1] - lines[stop][0]:
+            stop += 1
+        chars = "".join(text[a:b] for a, b in lines[first:stop]).rstrip("=")
+        data = _decoded(chars[: len(chars) - (len(chars) % 4 == 1)])
+    size = _stated_size(data) if data else None
+    if size is None:
+        return None
+    left, at, parts = -(-size * 4 // 3), first, []
+    while at < len(lines):
+        part = text[lines[at][0] : lines[at][1]]
+        bare = part.rstrip("=")
+        parts.append(bare)
+        left -= len(bare)
+        if left <= 0 or len(part) != width:
+            break
+        at += 1
+    if left or at == first or len(part) > width:
+        return None
+    kind = _key_kind(_decoded("".join(parts)))
+    return (at, kind) if kind else None
+
+
+def _wrapped_spans(text: str) -> list[tuple[int, int, str]]:
+    """Keys in base64 broken into lines of one width."""
+    found = []
+    for block in _LINES.finditer(text):
+        lines = [m.span(1) for m in _LINE.finditer(text, *block.span()) if m[1]]
+        at = 0
+        while at < len(lines):
+            key = _joined(text, lines, at)
+            if key:
+                found.append((lines[at][0], lines[key[0]][1], key[1]))
+                at = key[0]
+            at += 1
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(*m.span(), "assign") for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
     found += [(*m.span(), "access") for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
@@ -143,7 +223,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
-    found = [(*m.span(), "pem") for m in _PEM.finditer(text) if _key_kind(_decoded(m[2]))]
+    found = [(*m.span(), "pem") for m in _PEM.finditer(text) if _key_kind(_decoded(_ESCAPE.sub("", m[2])))]
+    # Lines between markers are reported once, with the markers.
+    found += [w for w in _wrapped_spans(text) if not any(a <= w[0] and w[1] <= b for a, b, k in found if k == "pem")]
     found += [(*m.span(), kind) for m in _RUN.finditer(text) if (kind := _key_kind(_decoded(m[0])))]
     found += [(*m.span(), kind) for m in _HEX_RUN.finditer(text) if (kind := _key_kind(bytes.fromhex(m[0])))]
     return found + [(*m.span(), "jwt") for m in _TOKEN.finditer(text) if is_token(*m.groups())]

@@ -282,6 +282,28 @@ def test_secrets_after_signs():
         assert secret_scan.structural_spans(sign + key) == [(len(sign), len(sign) + len(key), "der")], sign
 
 
+def test_secrets_over_lines():
+    number = lambda n: der(2, b"\x01" * n)
+    string = lambda b: len(b).to_bytes(4, "big") + b
+    dsa = der(0x30, der(2, b"\0") + number(129) + number(21) + number(128) * 2 + number(20))
+    full = next(k for n in range(60, 80) if len(k := der(0x30, der(2, b"\0") + number(70) * 7 + number(n))) % 48 == 0)
+    keys = {"der": [dsa, full, der(0x30, der(2, b"\0") + number(70) * 8)]}
+    keys["ssh"] = [b"openssh-key-v1\0" + string(b"none") * 2 + string(b"") + b"\0\0\0\1" + string(b"p" * 51) + string(b"k" * 144)]
+    for kind, datas in keys.items():
+        for data in datas:
+            key = base64.b64encode(data).decode()
+            assert [k for *_, k in secret_scan.structural_spans(f"PRIVATE KEY: {key}")] == [kind]
+            for mark in ("\n", "\r\n", "\n    ", "\\n", "\\r\\n", "\\\\n"):
+                for width in (64, 76):
+                    lines = mark.join(key[i : i + width] for i in range(0, len(key), width))
+                    for before, after in (("", ""), ("key=", ""), ("some" * 8 + mark, mark + "Thanks"), (mark, mark + "x" * 80)):
+                        text = before + lines + after
+                        assert secret_scan.structural_spans(text) == [(len(before), len(before + lines), kind)], text
+                    wrapped = mark.join(["-----BEGIN DSA PRIVATE KEY-----", lines, "-----END DSA PRIVATE KEY-----"])
+                    assert secret_scan.structural_spans(f'"{wrapped}"') == [(1, 1 + len(wrapped), "pem")]
+    assert not secret_scan.structural_spans("\n".join(["MIIC" * 16] * 50))
+
+
 def brute_edits(pattern, text):
     line = [0] * (len(text) + 1)
     for i, a in enumerate(pattern):
