@@ -287,10 +287,16 @@ class Texts:
 
 
 @lru_cache(maxsize=2)
-def _encoder(raw: str) -> Encoder:
+def encoder(raw: str) -> Encoder:
     return Encoder(raw)
 
 
+def special_id(path: str, content: str) -> int:
+    """The id of a special token of the vocabulary file."""
+    with open(path, encoding="utf-8") as file:
+        return next(t["id"] for t in json.load(file)["added_tokens"] if t["content"] == content)
+
+
 def share_vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """The vocabulary file for all executors; its size is checked, as a broadcast must stay small."""
     with open(path, encoding="utf-8") as file:
@@ -305,7 +311,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     shared = share_vocabulary(docs.sparkSession, vocabulary)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, offsets = _encoder(shared.value).encode(batch.column(1).to_pylist())
+        ids, offsets = encoder(shared.value).encode(batch.column(1).to_pylist())
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
         return pa.record_batch([batch.column(0), pa.array(np.diff(offsets), pa.int64()), lists], names)
 
@@ -320,7 +326,7 @@ def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
 
     def run(batches):
         for batch in batches:
-            decoder = _encoder(shared.value)
+            decoder = encoder(shared.value)
             texts = [None if ids is None else decoder.decode(np.array(ids, np.int64)) for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], [id_col, "text"])
 
@@ -342,15 +348,15 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "same"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder, texts = _encoder(shared.value), batch.column(1).to_pylist()
-        ids, offsets = encoder.encode(texts)
+        coder, texts = encoder(shared.value), batch.column(1).to_pylist()
+        ids, offsets = coder.encode(texts)
         each = [ids[a:b] for a, b in zip(offsets, offsets[1:])]
-        back = [encoder.decode(i) for i in each]
+        back = [coder.decode(i) for i in each]
         return pa.record_batch(
             [
                 batch.column(0),
                 pa.array(np.diff(offsets), pa.int64()),
-                pa.array([hashlib.sha256(encoder.shown(i)).hexdigest() for i in each], pa.string()),
+                pa.array([hashlib.sha256(coder.shown(i)).hexdigest() for i in each], pa.string()),
                 pa.array([hashlib.sha256(b.encode()).hexdigest() for b in back], pa.string()),
                 pa.array([b == (t or "") for b, t in zip(back, texts)], pa.bool_()),
             ],

@@ -55,9 +55,12 @@ def op1_lm_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes all texts as byte ids in training order and reads the shards back from the first slot."""
+    """Writes the token ids of all texts in training order and reads the shards back from the first slot."""
     docs = _table(spark, sf_dir, "documents")
-    manifest = training_order.materialise(docs, new_work_dir(spark, "order"), ORDER_KEY)
+    end = bpe.special_id(VOCABULARY, "<|endoftext|>")
+    manifest = training_order.materialise(
+        docs, new_work_dir(spark, "order"), ORDER_KEY, dtype="uint16", end=end, vocabulary=VOCABULARY
+    )
     read = training_order.read_slots(spark, manifest)
     return read.select("slot", "shard", "doc_id", "part", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
 

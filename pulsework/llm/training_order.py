@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsework.llm import bpe
 from pulsework.llm.shared_files import open_path, write_new
 from pulsework.llm.text import by_bytes, mix
 
@@ -52,15 +53,25 @@ def permute(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _cut(batch: pa.RecordBatch, length: int, dtype: np.dtype, end: int) -> tuple[np.ndarray, np.ndarray]:
+def _ids(values: pa.Array, encoder: bpe.Encoder | None) -> Iterator[np.ndarray]:
+    """The ids of each text or list."""
+    if encoder:
+        ids, offsets = encoder.encode(values.to_pylist())
+        yield from (ids[a:b] for a, b in zip(offsets, offsets[1:]))
+        return
+    for value in values:
+        value = value.as_py()
+        yield np.frombuffer(value.encode(), np.uint8) if isinstance(value, str) else np.array(value or [], np.int64)
+
+
+def _cut(
+    batch: pa.RecordBatch, length: int, dtype: np.dtype, end: int, encoder: bpe.Encoder | None
+) -> tuple[np.ndarray, np.ndarray]:
     """Heads and tokens of the sequences of a batch; the end id follows each document and fills its last sequence."""
     heads, rows = [], []
-    for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-        value = value.as_py()
-        if isinstance(value, str):
-            tokens = np.frombuffer(value.encode(), np.uint8)
-        else:
-            tokens = np.array(value or [], np.int64)
+    for doc, tokens in zip(batch.column(0).to_pylist(), _ids(batch.column(1), encoder)):
+        if len(tokens) and not 0 <= tokens.min() <= tokens.max() <= np.iinfo(dtype).max:
+            raise ValueError(f"an id does not fit {dtype}")
         count = len(tokens) // length + 1
         flat = np.full(count * length, end, dtype)
         flat[: len(tokens)] = tokens
@@ -83,10 +94,13 @@ def materialise(
     per_shard: int = 1 << 16,
     dtype: str = "uint8",
     end: int = BYTE_END,
+    vocabulary: str | None = None,
 ) -> str:
     """Write all sequences of ``docs`` as shards below ``folder``; returns the path of the manifest.
 
-    ``value_col`` holds texts, whose ids are their UTF-8 bytes, or arrays of token ids, which must fit ``dtype``.
+    ``value_col`` holds texts, whose ids are their UTF-8 bytes or, with a ``vocabulary`` file, their tokens, or
+    arrays of token ids. The job fails if an id does not fit ``dtype``. Texts are encoded in both scans, so no
+    table of ids is written.
     ``docs`` must be a scan of files (or of a written table): it is read once for the sizes of its
     partitions and once for their content, and the job fails should they differ. What the driver
     holds is one number per partition.
@@ -95,11 +109,25 @@ def materialise(
     record = _HEAD.itemsize + length * kind.itemsize
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(value_col).alias("value"))
     texts = rows.schema["value"].dataType.typeName() == "string"
-    size = F.octet_length("value") if texts else F.size("value")
-    sequences = F.floor(F.coalesce(F.greatest(size, F.lit(0)), F.lit(0)) / length) + 1
-    sizes = dict(
-        rows.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(sequences).cast("long").alias("n")).collect()
-    )
+    if vocabulary and not texts:
+        raise ValueError("a vocabulary is for texts")
+    words = bpe.share_vocabulary(spark, vocabulary) if vocabulary else None
+
+    def count_encoded(batches) -> Iterator[pa.RecordBatch]:
+        found = 0
+        for batch in by_bytes(batches, "value"):
+            _, offsets = bpe.encoder(words.value).encode(batch.column(0).to_pylist())
+            found += int((np.diff(offsets) // length + 1).sum())
+        yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([found], pa.int64())], ["p", "n"])
+
+    if words:
+        sizes = dict(rows.select("value").mapInArrow(count_encoded, "p long, n long").filter("n > 0").collect())
+    else:
+        size = F.octet_length("value") if texts else F.size("value")
+        sequences = F.floor(F.coalesce(F.greatest(size, F.lit(0)), F.lit(0)) / length) + 1
+        sizes = dict(
+            rows.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(sequences).cast("long").alias("n")).collect()
+        )
     places, total = {}, 0
     for partition in sorted(sizes):
         places[partition] = (total, sizes[partition])
@@ -115,7 +143,7 @@ def materialise(
         for batch in by_bytes(batches, "value") if texts else batches:
             if not batch.num_rows:
                 continue
-            heads, tokens = _cut(batch, length, kind, end)
+            heads, tokens = _cut(batch, length, kind, end, bpe.encoder(words.value) if words else None)
             left -= len(heads)
             if left < 0:
                 break

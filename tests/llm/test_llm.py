@@ -160,6 +160,39 @@ def test_training_order(spark, edges, empty):
     assert training_order.read_slots(spark, nothing).count() == 0
 
 
+def test_training_order_of_token_ids(spark, edges):
+    from pulsework.session import new_work_dir
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = library.token_to_id("<|endoftext|>")
+    assert bpe.special_id(VOCABULARY, "<|endoftext|>") == end
+    folder = new_work_dir(spark, "tokens")
+    edges.filter("doc_id <> 5").write.parquet(f"{folder}/texts")
+    stored = spark.read.parquet(f"{folder}/texts")
+    bpe.encode(stored, VOCABULARY).write.parquet(f"{folder}/ids")
+    options = {"length": 16, "per_shard": 500, "dtype": "uint16", "end": end}
+    texts = training_order.materialise(stored, new_work_dir(spark, "order"), 3, vocabulary=VOCABULARY, **options)
+    lists = training_order.materialise(
+        spark.read.parquet(f"{folder}/ids"), new_work_dir(spark, "order"), 3, value_col="ids", **options
+    )
+    for manifest in (texts, lists):
+        got, parts = training_order.read_slots(spark, manifest).collect(), defaultdict(dict)
+        assert sorted(r.slot for r in got) == list(range(len(got)))
+        for r in got:
+            parts[r.doc_id][r.part] = np.frombuffer(bytes(r.ids), np.uint16).tolist()
+        for doc_id, text, *_ in EDGES:
+            if doc_id not in (5, None):
+                whole = [i for part in range(len(parts[doc_id])) for i in parts[doc_id][part]]
+                assert whole == [*library.encode(text or "", add_special_tokens=False).ids, end]
+    with pytest.raises(Exception, match="does not fit"):
+        training_order.materialise(stored, new_work_dir(spark, "order"), 3, vocabulary=VOCABULARY)
+    docs = {r.doc_id: r.text for r in documents(spark)}
+    counts = Counter()
+    for r in QUERIES["op2_training_order"](spark, SF_DIR).collect():
+        counts[r.doc_id] += r.n_tokens
+    assert counts == {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in docs.items()}
+
+
 def test_licences(spark, edges):
     sequences = [[1, 2, 3, 1, 2], [2, 3, 4], [1, 2, 3, 4, 5]]
     automaton = licence_scan.Automaton(sequences)
