@@ -192,8 +192,8 @@ def _answer(
             pa.array([*kinds, None], pa.int32()),
             pa.array([level] * (last + 1), pa.int32()),
             pa.array([part] * (last + 1), pa.int64()),
-            pa.array([*(_packed(train[a].astype(np.uint32)) for a in asked), None], pa.binary()),
-            pa.array([*(_packed(fit[a].astype(np.uint32)) if k == _TUNE else None for a, k in zip(asked, kinds)), None], pa.binary()),
+            pa.array([*(_packed(train[a].astype(np.uint64)) for a in asked), None], pa.binary()),
+            pa.array([*(_packed(fit[a].astype(np.uint64)) if k == _TUNE else None for a, k in zip(asked, kinds)), None], pa.binary()),
             pa.array([0] * last + words[:1], pa.int64()),
             pa.array([0] * last + words[1:], pa.int64()),
         ],
@@ -206,7 +206,7 @@ def _estimates(stream: Stream, answers: list[dict], tokens: int) -> tuple[np.nda
     counts = {}
     for level in _LEVELS:
         parts = sorted((a["part"], a["counts"]) for a in answers if a["level"] == level)
-        counts[level] = stream.spread(level, np.concatenate([_unpacked(raw, np.uint32) for _, raw in parts]))
+        counts[level] = stream.spread(level, np.concatenate([_unpacked(raw, np.uint64) for _, raw in parts]))
     at = stream.scored
     word, pair, triple = counts[1][at], counts[2][at], counts[3][at]
     before, before_two = counts[1][at - 1], counts[2][at - 1]

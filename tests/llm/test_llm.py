@@ -105,6 +105,24 @@ def test_language_model(spark):
     assert lm_interpolation.score_documents(nothing).count() == 0
 
 
+def test_language_model_counts_beyond_32_bits():
+    import pyarrow as pa
+
+    keys = lm_interpolation._packed(np.array([5], np.uint64))
+    counts = lm_interpolation._packed(np.array([3_000_000_000], np.uint32))
+    kinds = [lm_interpolation._FIT, lm_interpolation._FIT, lm_interpolation._TUNE]
+    asked = pa.record_batch(
+        [pa.array([0, 1, 2]), pa.array(kinds), pa.array([1] * 3), pa.array([0] * 3), pa.array([keys] * 3), pa.array([counts] * 3)],
+        ["block", "kind", "level", "part", "keys", "counts"],
+    )
+    (answer,) = lm_interpolation._answer((pa.scalar(1), pa.scalar(0)), [asked])
+    for row in answer.to_pylist()[:3]:
+        assert lm_interpolation._unpacked(row["counts"], np.uint64).tolist() == [9_000_000_000]
+    assert lm_interpolation._unpacked(answer.to_pylist()[2]["fit_counts"], np.uint64).tolist() == [6_000_000_000]
+    stream = lm_interpolation.Stream(np.array([5], np.uint64), np.array([1]), 64)
+    assert 9_000_000_000 in stream.spread(1, np.full(len(stream.distinct(1)[0]), 9_000_000_000, np.uint64))
+
+
 def test_interpolated_estimates_are_exact(spark):
     """With the weights given, scores equal those of plain dictionaries; the chances of all next words add up to 1."""
     texts = {i: prose(i % 9, 30 + i) for i in range(40)}
