@@ -89,6 +89,15 @@ class Encoder:
         self._keep_words = keep_words
         self._forget()
 
+    @property
+    def step_ids(self) -> np.ndarray:
+        """The id of the token that each step makes, bytes first and then in the order of the merges."""
+        return self._ids
+
+    @property
+    def special_ids(self) -> dict[str, int]:
+        return self._special
+
     def _grow_trie(self, tokens: dict[bytes, int]) -> None:
         """Tokens that merging can make, as a table from node and byte to the next node (0: none)."""
         nodes, edges, ends = {b"": 0}, [], {}

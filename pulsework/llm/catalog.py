@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +15,11 @@ from pulsework.llm import (
     host_rules,
     licence_scan,
     lm_interpolation,
+    merkle,
+    packing,
     probminhash,
     secret_scan,
+    spelling,
     training_order,
     url_lists,
     warc,
@@ -189,3 +193,87 @@ def op10_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched"), "n_active", "matched_key", "verdict",
         "blocked",
     )
+
+
+@_query(
+    r"""
+WITH RECURSIVE bits AS (SELECT [list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+    FOR i IN range(256)] AS crc),
+d AS (SELECT doc_id, lang, cast(n_chars AS hugeint) AS n_chars, coalesce(octet_length(encode(cast(doc_id AS varchar))) || ':' || doc_id, '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail,
+    xor(list_reduce([cast(ascii(x) AS bigint) FOR x IN string_split(cast(doc_id AS varchar), '')],
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS code FROM documents, bits),
+h AS (SELECT doc_id, lang, sha256(head || coalesce(length(cast(n_chars AS varchar)) || ':' || n_chars, '-') || tail) AS leaf,
+  CASE WHEN code % 7 = 0 THEN sha256(head || coalesce(length(cast(n_chars + 1 AS varchar)) || ':' || (n_chars + 1), '-') || tail) END AS changed
+  FROM d),
+l AS (SELECT *, coalesce('=' || lang, '') AS grp, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+  count(*) OVER (PARTITION BY lang) AS n FROM h),
+t AS (SELECT grp, 0 AS level, r, leaf AS node FROM l
+  UNION ALL SELECT grp, level + 1, r // 2, sha256(string_agg(node, '' ORDER BY r))
+  FROM (SELECT *, max(r) OVER (PARTITION BY grp) AS last FROM t) WHERE last > 0 GROUP BY grp, level, r // 2),
+s AS (SELECT grp, max(level) AS height, arg_max(node, level) AS subroot FROM t WHERE r = 0 GROUP BY grp),
+g AS (SELECT *, row_number() OVER (ORDER BY grp) - 1 AS r FROM s),
+u AS (SELECT 0 AS level, r, subroot AS node FROM g
+  UNION ALL SELECT level + 1, r // 2, sha256(string_agg(node, '' ORDER BY r))
+  FROM (SELECT *, max(r) OVER () AS last FROM u) WHERE last > 0 GROUP BY level, r // 2),
+top AS (SELECT max(level) AS height, arg_max(node, level) AS root FROM u WHERE r = 0),
+p AS (SELECT l.grp, l.r AS leaf_rank, list({'odd': (l.r >> e.level) & 1, 'other': coalesce(b.node, '')} ORDER BY e.level) AS steps
+  FROM l JOIN (SELECT DISTINCT grp, level FROM t) e ON e.grp = l.grp JOIN s ON s.grp = l.grp AND e.level < s.height
+  LEFT JOIN t b ON b.grp = l.grp AND b.level = e.level AND b.r = xor(l.r >> e.level, 1) GROUP BY l.grp, l.r),
+q AS (SELECT g.grp, list({'odd': (g.r >> e.level) & 1, 'other': coalesce(b.node, '')} ORDER BY e.level) AS steps
+  FROM g JOIN top ON true JOIN (SELECT DISTINCT level FROM u) e ON e.level < top.height
+  LEFT JOIN u b ON b.level = e.level AND b.r = xor(g.r >> e.level, 1) GROUP BY g.grp),
+w AS (SELECT l.*, s.subroot, top.root, list_concat(coalesce(p.steps, []), coalesce(q.steps, [])) AS steps
+  FROM l JOIN s USING (grp) JOIN top ON true LEFT JOIN p ON p.grp = l.grp AND p.leaf_rank = l.r LEFT JOIN q ON q.grp = l.grp),
+z AS (SELECT *, list_reduce([x.odd || x.other FOR x IN steps],
+    lambda a, x: sha256(CASE WHEN x[1] = '1' THEN x[2:] || a ELSE a || x[2:] END), coalesce(changed, leaf)) AS folded FROM w)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([x.other FOR x IN steps], '')) AS proof_sha256, folded AS folded_root,
+  folded = root AS verified FROM z"""
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of all documents, by language; every proof is folded, those of tampered rows to another root."""
+    found = merkle.document_manifest(_table(spark, sf_dir, "documents"))
+    folded = merkle.fold(F.col("folded_leaf"), F.col("path"))
+    proof = F.sha2(merkle.siblings(F.col("path")), 256)
+    found = found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@_query()
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token of all documents in sequences of at most 1,024, with the place of each piece."""
+    docs = _table(spark, sf_dir, "documents")
+    examples = docs.select("doc_id", packing.document_parts(F.col("text")).alias("parts"))
+    packed = packing.pack(examples, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to"
+    )
+
+
+@_query(
+    r"""
+WITH RECURSIVE bits AS (SELECT [list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+    FOR i IN range(256)] AS crc),
+r AS (SELECT coalesce(cast(doc_id AS varchar), '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+c AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM r
+  WHERE length(run) >= 6 GROUP BY 1, 2),
+h AS (SELECT *, hex(encode(id || ':' || run)) AS raw FROM c),
+k AS (SELECT run, n, xor(list_reduce([cast('0x' || substr(raw, 2 * i + 1, 2) AS bigint) FOR i IN range(length(raw) // 2)],
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS code FROM h, bits),
+v AS (SELECT CASE WHEN code % 199 = 0 THEN substr(run, 1, code % length(run)) || substr(run, code % length(run) + 2) ELSE run END AS word,
+  n FROM k),
+w AS (SELECT word, cast(sum(n) AS bigint) AS n FROM v WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+x AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less FROM (SELECT *, unnest(range(length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM x a JOIN w b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM x a JOIN w b ON a.less = b.word),
+b AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form,
+  CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n FROM w LEFT JOIN b USING (word)),
+g AS (SELECT word, word AS root, form AS ahead FROM f
+  UNION ALL SELECT g.word, f.word, f.form FROM g JOIN f ON f.word = g.ahead)
+SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n FROM f JOIN g ON g.word = f.word AND g.ahead IS NULL"""
+)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
