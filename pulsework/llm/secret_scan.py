@@ -16,6 +16,7 @@ import binascii
 import hashlib
 import json
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,8 +38,9 @@ BASE_KINDS = KINDS[:3]
 # and begins none, so a run may follow "=". The letter of an escaped line break does not belong to the run after it.
 _BEGIN = r"(?:(?<=\\[nr])|(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nr]))"
 _RUN = re.compile(_BEGIN + r"[A-Za-z0-9+/_-]{24,}={0,2}")
-# Runs on consecutive lines, with real or escaped line breaks between them.
-_BREAK = r"(?:[\x20\t]*(?:\r?\n[\x20\t]*|\\+[nr]))+"
+# Runs on consecutive lines, with real or escaped line breaks between them. White space can be read in one way only, so
+# that failing takes no longer than matching.
+_BREAK = r"[\x20\t]*(?:(?:\r?\n|\\+[nr])[\x20\t]*)+"
 _LINES = re.compile(_BEGIN + r"[A-Za-z0-9+/_-]{24,}(?:" + _BREAK + r"[A-Za-z0-9+/_-]+)+={0,2}")
 _LINE = re.compile(r"\\+[nr]|([A-Za-z0-9+/_-]+={0,2})")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
@@ -49,6 +51,9 @@ _ESCAPE = re.compile(r"\\+(?:[nr]|(?=/))")
 # A text without any of these has no span of any kind; case is folded for all, which finds too much at worst.
 _ANY = r"(?i)(password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{16}|[a-z0-9+/_-]{24}|-----BEGIN |[a-z0-9_-]{8}\.[a-z0-9_-]{2,}\.)"
 
+# No private key in use comes near this size; a longer one is not looked for over lines (a single run may have any length).
+_MOST_KEY_BYTES = 1 << 16
+
 _INTEGER, _BITS, _OCTETS, _OID, _SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
 
 
@@ -145,27 +150,36 @@ def _key_kind(data: bytes | None) -> str | None:
     return "ssh" if is_ssh_key(data) else "der" if is_der_key(data) else None
 
 
-def _stated_size(data: bytes) -> int | None:
-    """Bytes of the key that the data begin with, by its outer length (DER) or its nested strings (OpenSSH)."""
-    if data[:1] == b"\x30" and len(data) >= 12:
-        count = max(0, data[1] - 0x80)
-        at = 2 + count
-        # A private key begins with a version of one byte; this keeps other data from being decoded further.
-        if count > 4 or data[at : at + 2] != b"\x02\x01" or data[at + 3] not in (_INTEGER, _OCTETS, _SEQUENCE):
-            return None
-        return at + (int.from_bytes(data[2:at], "big") if count else data[1])
-    at = 15
-    if not data.startswith(b"openssh-key-v1\0"):
+def _der_size(data: bytes) -> int | None:
+    """Bytes of the DER key that the data begin with, by its outer length."""
+    if data[:1] != b"\x30" or len(data) < 12:
         return None
-    for _ in range(3):
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-    keys = int.from_bytes(data[at : at + 4], "big")
-    at += 4
-    if not 1 <= keys <= 16:
+    count = max(0, data[1] - 0x80)
+    at = 2 + count
+    # A private key begins with a version of one byte; this keeps other data from being decoded further.
+    if count > 4 or data[at : at + 2] != b"\x02\x01" or data[at + 3] not in (_INTEGER, _OCTETS, _SEQUENCE):
         return None
-    for _ in range(keys + 1):
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at if at <= len(data) else None
+    return at + (int.from_bytes(data[2:at], "big") if count else data[1])
+
+
+def _ssh_size(begin: Callable[[int], bytes]) -> int | None:
+    """Bytes of an OpenSSH key by its nested strings. ``begin(n)`` decodes its first ``n`` bytes: only what a length needs."""
+    if not begin(24).startswith(b"openssh-key-v1\0"):
+        return None
+    at, left, keys = 15, 3, None
+    while left or keys is None:
+        known = begin(at + 4) if at + 4 <= _MOST_KEY_BYTES else b""
+        if len(known) < at + 4:
+            return None
+        value = int.from_bytes(known[at : at + 4], "big")
+        at += 4
+        if left:
+            at, left = at + value, left - 1
+        elif not 1 <= value <= 16:
+            return None
+        else:
+            keys, left = value, value + 1
+    return at
 
 
 def _joined(text: str, lines: list[tuple[int, int]], first: int) -> tuple[int, str] | None:
@@ -176,14 +190,22 @@ def _joined(text: str, lines: list[tuple[int, int]], first: int) -> tuple[int, s
     if width < 24 or not head.startswith(("M", "b3BlbnNzaC1rZXktdjE")):
         return None
     if head[0] == "M":
-        data = _decoded(head[: width // 4 * 4])
+        size = _der_size(_decoded(head[: width // 4 * 4]) or b"")
     else:
-        stop = first + 1
-        while stop < len(lines) and lines[stop - 1][1] - lines[stop - 1][0] == width >= lines[stop][1] - lines[stop][0]:
-            stop += 1
-        chars = "".join(text[a:b] for a, b in lines[first:stop]).rstrip("=")
-        data = _decoded(chars[: len(chars) - (len(chars) % 4 == 1)])
-    size = _stated_size(data) if data else None
+
+        def begin(count: int) -> bytes:
+            chars, stop = -(-count // 3) * 4, first
+            some: list[str] = []
+            while stop < len(lines) and len(some) * width < chars:
+                a, b = lines[stop]
+                some.append(text[a:b])
+                stop += 1
+                if b - a != width:
+                    break
+            joined = "".join(some)[:chars].rstrip("=")
+            return _decoded(joined[: len(joined) - (len(joined) % 4 == 1)]) or b""
+
+        size = _ssh_size(begin)
     if size is None:
         return None
     left, at, parts = -(-size * 4 // 3), first, []
