@@ -175,23 +175,38 @@ class Scanner:
         return sorted(span for number, found in matches.items() for span in self._chains(number, found))
 
     def _chains(self, number: int, found: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Chain matches that follow each other in text and template, with bounded gaps between."""
-        size, out, found = self._sizes[number], [], sorted(found)
-        while found:
-            first, at, length = found[0]
-            end, place, covered, rest = first + length, at + length, length, []
-            for match in found[1:]:
-                start, other, more = match
+        """Chain matches that follow each other in text and template, with bounded gaps between.
+
+        A match goes to the first chain that it fits; one that fits none and lies inside a chain is
+        dropped, any other begins a chain. Chains that ended a template's length ago are done, so each match meets few.
+        """
+        size, out = self._sizes[number], []
+        chains: list[list[int]] = []  # first word, end, place in the template, covered words
+
+        def done(chain: list[int]) -> None:
+            if chain[3] >= self._least_cover * size:
+                out.append((self._labels[number], chain[0], chain[1], min(1.0, chain[3] / size)))
+
+        for start, other, more in sorted(found):
+            still = []
+            for chain in chains:
+                if start - chain[1] <= size:
+                    still.append(chain)
+                else:
+                    done(chain)
+            chains = still
+            for chain in chains:
+                _, end, place, covered = chain
                 cut = max(0, end - start, place - other)
-                if start - end <= size and start >= first and cut < more and other + cut >= place and (
-                    abs((start + cut - end) - (other + cut - place)) <= size // 4
-                ):
-                    end, place, covered = start + more, other + more, covered + more - cut
-                elif start + more > end:
-                    rest.append(match)
-            if covered >= self._least_cover * size:
-                out.append((self._labels[number], first, end, min(1.0, covered / size)))
-            found = rest
+                if cut < more and other + cut >= place and abs((start + cut - end) - (other + cut - place)) <= size // 4:
+                    chain[1:] = [start + more, other + more, covered + more - cut]
+                    break
+                if start + more <= end:
+                    break
+            else:
+                chains.append([start, start + more, other + more, more])
+        for chain in chains:
+            done(chain)
         return out
 
 
