@@ -86,20 +86,14 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     found = F.transform(F.array(_words(text)), counts)[0]
     doubled = F.transform(F.array(lines), lambda all_: F.size(all_) - F.size(F.array_distinct(all_)))[0]
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in MEASURES])
-    return (
-        kept.withColumn("_found", found)
-        .withColumns(
-            {
-                "n_words": F.col("_found.n_words"),
-                "word_chars": F.col("_found.word_chars"),
-                "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"),
-                "n_dup_lines": doubled.cast("long"),
-                "n_repeat_words": F.col("_found.n_repeat_words"),
-            }
-        )
-        .drop("_found")
-    )
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in MEASURES]
+    # Input columns stay in a struct, so their names meet none of those used here.
+    return docs.select(
+        F.struct(*kept).alias("_row"),
+        found.alias("_found"),
+        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        doubled.cast("long").alias("n_dup_lines"),
+    ).select("_row.*", "_found.n_words", "_found.word_chars", "n_symbols", "n_dup_lines", "_found.n_repeat_words")
 
 
 def base_failed(rules: Rules) -> Column:
@@ -163,15 +157,14 @@ def judge(measured: DataFrame, host_col: str = "source", rules: Rules = Rules())
         F.col("host").alias("_host"), F.col("rate").alias("_rate"), F.col("host_bad").alias("_bad")
     )
     own = ("base_failed", "host_rate", "kept")
-    rows = measured.select(*[F.col(f"`{c}`") for c in measured.columns if c not in own])
-    joined = rows.join(verdicts, F.col(host_col) == F.col("_host"), "left")
-    return joined.withColumns(
-        {
-            "base_failed": base_failed(rules),
-            "host_rate": F.col("_rate"),
-            "kept": ~base_failed(rules) & ~F.coalesce(F.col("_bad"), F.lit(False)),
-        }
-    ).drop("_host", "_rate", "_bad")
+    kept = [F.col(f"`{c}`") for c in measured.columns if c not in own]
+    rows = measured.select(F.struct(*kept).alias("_row"), F.col(host_col).alias("_source"), base_failed(rules).alias("_base"))
+    return rows.join(verdicts, F.col("_source") == F.col("_host"), "left").select(
+        "_row.*",
+        F.col("_base").alias("base_failed"),
+        F.col("_rate").alias("host_rate"),
+        (~F.col("_base") & ~F.coalesce(F.col("_bad"), F.lit(False))).alias("kept"),
+    )
 
 
 def judge_documents(
