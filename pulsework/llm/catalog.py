@@ -30,7 +30,7 @@ from pulsework.session import new_work_dir
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 ORDER_KEY = 20240101
 
 
@@ -163,9 +163,10 @@ def list_entries(pages: DataFrame) -> DataFrame:
 WITH p AS (SELECT page_id, url, timestamp '2024-01-01' + INTERVAL (page_id % 365) DAY AS fetched_at,
   lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''))
     AS host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) AS rest FROM pages),
-l AS (SELECT *, string_split(host, '.') AS ls FROM p WHERE host <> ''),
+l AS (SELECT *, string_split(host, '.') AS ls, CASE WHEN regexp_matches(host, '^([0-9]+(\.[0-9]+){3}|\[.*\])$') THEN 1
+  ELSE greatest(1, len(string_split(host, '.')) - 1) END AS most FROM p WHERE host <> ''),
 k AS (SELECT *, list_concat([host || regexp_replace(rest, '/$', '')],
-  [array_to_string(ls[i:], '.') FOR i IN range(1, greatest(1, len(ls) - 1) + 1)]) AS all_keys FROM l),
+  [array_to_string(ls[i:], '.') FOR i IN range(1, most + 1)]) AS all_keys FROM l),
 u AS (SELECT page_id, url, fetched_at, host,
   list_filter(all_keys, lambda x, i: list_position(all_keys, x) = i) AS keys FROM k),
 e AS (SELECT CASE WHEN page_id % 5 = 0 THEN 'allow' ELSE 'block' END AS list,
@@ -245,7 +246,7 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token of all documents in sequences of at most 1,024, with the place of each piece."""
     docs = _table(spark, sf_dir, "documents")
     examples = docs.select("doc_id", packing.document_parts(F.col("text")).alias("parts"))
-    packed = packing.pack(examples, public_tokenizers.path("byte_bpe_50k.json"))
+    packed = packing.pack(examples, VOCABULARY)
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to"
     )

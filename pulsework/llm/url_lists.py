@@ -6,7 +6,8 @@ parent domains and the URL itself, without scheme, fragment and trailing slash.
 
 Defined results: a null URL or fetch time matches nothing and is not blocked; of entries for one
 key and list at one time, ``add`` wins; repeated entries count once; repeated captures are kept.
-An allowed key outranks a blocked one of equal or lesser length.
+An allowed key outranks a blocked one of equal or lesser length. An IP address stands for itself alone. Columns of the
+input that have the name of a result are not kept; all others may have any name. No captures or no entries: no matches.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ def page_of(url: Column) -> Column:
 
 
 def keys_of(url: Column) -> Column:
-    """The page, the host and its parent domains of two labels or more."""
-    labels = F.split(host_of(url), r"\.")
+    """The page, the host and its parent domains of two labels or more; an IP address has no parents."""
+    host = host_of(url)
+    labels = F.split(host, r"\.")
+    is_address = F.regexp_like(host, F.lit(r"^([0-9]+(\.[0-9]+){3}|\[.*\])$"))
     domains = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(labels) - 1)),
+        F.sequence(F.lit(1), F.when(is_address, 1).otherwise(F.greatest(F.lit(1), F.size(labels) - 1))),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     return F.array_distinct(F.concat(F.array(page_of(url)), domains))
@@ -72,11 +75,12 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", time
     an often changed key with all its captures; so both sides are dealt by key and month, and the interval decides within
     the month. Intervals are spread only over months in which there are captures.
     """
-    rows = captures.select(*[F.col(f"`{c}`") for c in captures.columns if c not in RESULTS])
-    asked = rows.select(F.col(url_col).alias("_url"), F.col(time_col).cast("timestamp").alias("_at")).filter(
-        F.col("_url").isNotNull() & F.col("_at").isNotNull()
+    kept = [F.col(f"`{c}`") for c in captures.columns if c not in RESULTS]
+    # Input columns stay in a struct, so their names meet none of those used here.
+    rows = captures.select(
+        F.struct(*kept).alias("_row"), F.col(url_col).alias("_asked"), F.col(time_col).cast("timestamp").alias("_when")
     )
-    asked = asked.distinct()
+    asked = rows.select(F.col("_asked").alias("_url"), F.col("_when").alias("_at")).dropna().distinct()
     keyed = asked.select("_url", "_at", F.explode(keys_of(F.col("_url"))).alias("key")).withColumn(
         "_month", F.trunc("_at", "month")
     )
@@ -101,16 +105,13 @@ def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", time
     )
     rank = F.struct(F.length("key").alias("size"), (F.col("list") == "allow").alias("allow"), F.col("key"))
     judged = hit.groupBy("_url", "_at").agg(F.count(F.lit(1)).alias("n_active"), F.max(rank).alias("_best"))
-    joined = rows.join(
-        judged, (F.col(url_col) == F.col("_url")) & (F.col(time_col).cast("timestamp") == F.col("_at")), "left"
-    )
+    joined = rows.join(judged, (F.col("_asked") == F.col("_url")) & (F.col("_when") == F.col("_at")), "left")
     verdict = F.when(F.col("_best").isNull(), "none").when(F.col("_best.allow"), "allow").otherwise("block")
-    return joined.withColumns(
-        {
-            "host": host_of(F.col(url_col)),
-            "n_active": F.coalesce(F.col("n_active"), F.lit(0).cast("long")),
-            "matched_key": F.col("_best.key"),
-            "verdict": verdict,
-            "blocked": verdict == "block",
-        }
-    ).drop("_url", "_at", "_best")
+    return joined.select(
+        "_row.*",
+        host_of(F.col("_asked")).alias("host"),
+        F.coalesce(F.col("n_active"), F.lit(0).cast("long")).alias("n_active"),
+        F.col("_best.key").alias("matched_key"),
+        verdict.alias("verdict"),
+        (verdict == "block").alias("blocked"),
+    )
