@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsework import sinks
-from pulsework.operators import merge, numbering, planning, quality, touches
+from pulsework import changes, sinks
+from pulsework.operators import changelog, merge, numbering, planning, quality, touches
 from pulsework.operators.latest import latest_by_key
 from pulsework.plans import derive
 from pulsework.plans.catalog.registry import EVENTS, query, unique_name, with_text_times
@@ -91,6 +91,33 @@ def upsert_published(spark, sf_dir):
     return with_text_times(spark.table(name), fraction=True)
 
 
+def _change_table(spark, sf_dir, update_cols, newer_by, fold):
+    """The target, the source and the source again as three loads; ``fold`` says after which of them the log is folded."""
+    target, source, keys = _two_loads(spark, sf_dir)
+    rule = changelog.UpsertRule(tuple(keys), update_cols, newer_by)
+    name, root = unique_name("changes"), new_work_dir(spark, "changes")
+    for i, rows in enumerate((target, source, source)):
+        changes.append_changes(rows, name, rule, root)
+        if i in fold:
+            changes.fold_changes(spark, name, root)
+    return with_text_times(spark.table(name), fraction=True)
+
+
+@query("k3_merge_on_read", _UPSERT)
+def merge_on_read(spark, sf_dir):
+    return _change_table(spark, sf_dir, ("cents",), None, ())
+
+
+@query("k4_a4_merge_on_read_if_newer", _UPSERT_IF_NEWER)
+def merge_on_read_if_newer(spark, sf_dir):
+    return _change_table(spark, sf_dir, ("cents",), "seen_at", ())
+
+
+@query("k4_a4_merge_on_read_folded", _UPSERT_IF_NEWER)
+def merge_on_read_folded(spark, sf_dir):
+    return _change_table(spark, sf_dir, ("cents",), "seen_at", (0, 1, 2))
+
+
 _DAY_UPSERT = f"""WITH {EVENTS}
     SELECT event_id, user_id, CASE WHEN day(ts) > 20 AND event_type = 'purchase' THEN cents + 1 ELSE cents END AS cents,
       CASE WHEN day(ts) > 20 AND event_type IN ('purchase', 'signup') THEN 2 ELSE 1 END AS load, day AS event_day

@@ -46,13 +46,20 @@ def stream_new_files(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def stream_latest_upsert(spark, sf_dir):
-    """The events arrive as several files, one micro-batch each; every batch upserts the newest rows."""
+    """The events arrive as several files, one micro-batch each. The job is stopped after the first and started again for the others.
+
+    Folding after every second batch, so that merged state and later changes are read together.
+    """
     root = new_work_dir(spark, "stream")
     rows = derive.events(spark, sf_dir).select("user_id", "event_type", "event_id", "ts")
-    parts = F.pmod(F.xxhash64("event_id"), F.lit(3))
-    rows.withColumn("part", parts).write.partitionBy("part").parquet(f"{root}/arriving")
-    stream = stream_files(spark, f"{root}/arriving/*", rows.schema, files_per_batch=1).drop("file_name", "inserted_at")
-    upsert_latest(stream, f"{root}/state", f"{root}/checkpoint", ["user_id", "event_type"], ["ts"], "ts")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(3)))
+    for arriving in (F.col("part") == 0, F.col("part") > 0):
+        rows.filter(arriving).write.mode("append").partitionBy("part").parquet(f"{root}/arriving")
+        stream = stream_files(spark, f"{root}/arriving/*", rows.drop("part").schema, files_per_batch=1)
+        upsert_latest(
+            stream.drop("file_name", "inserted_at"), f"{root}/state", f"{root}/checkpoint", ["user_id", "event_type"], ["ts"], "ts",
+            fold_after=2,
+        )
     return with_text_times(read_state(spark, f"{root}/state"), fraction=True)
 
 

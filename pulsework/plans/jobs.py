@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsework import schemas, sinks
+from pulsework import changes, schemas, sinks
 from pulsework.operators import details, events, landing_rows, metering, series, touches, users
+from pulsework.operators.changelog import UpsertRule
 from pulsework.operators.latest import dedupe, latest
 from pulsework.functions import parse_iso
 from pulsework.operators.numbering import sync_registry
@@ -282,10 +283,18 @@ def _write_job(job: Job, source: DataFrame, namespace: str | None, root: str | N
         dated = unique.withColumn(DAY, F.to_date(job.time))
         sinks.upsert_days_table(dated, target, DAY, job.keys, job.update_cols, job.newer_by)
     else:
-        sinks.upsert_published(unique, target, job.keys, job.update_cols, job.newer_by, root=root)
+        _append_changes(unique, target, job.keys, job.update_cols, job.newer_by, root)
     return target
 
 
+def _append_changes(
+    rows: DataFrame, target: str, keys: list[str], update_cols: list[str] | None, newer_by: str | None, root: str | None, **more
+) -> None:
+    """A run writes only its own rows: tables whose keys fix no day are merged when they are read."""
+    rule = UpsertRule(tuple(keys), tuple(update_cols) if update_cols is not None else None, newer_by, more.pop("null_safe", False))
+    changes.append_changes(rows, target, rule, root, fold_after=changes.FOLD_AFTER, **more)
+
+
 def run_people(
     spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None, root: str | None = None
 ) -> str | None:
@@ -294,7 +303,7 @@ def run_people(
         return None
     target = qualified(namespace, "transformed_customerio_people_details")
     rows = details.cio_people(source, first_day, last_day)
-    sinks.upsert_published(rows, target, ["internal_customer_id"], newer_by="updated_at", root=root)
+    _append_changes(rows, target, ["internal_customer_id"], None, "updated_at", root)
     return target
 
 
@@ -310,13 +319,13 @@ def run_channel_touches(
     if metrics is None or deliveries is None:
         return None
     target = qualified(namespace, "customerio_channel_touches")
-    sinks.upsert_published(
+    _append_changes(
         touches.channel_touches(metrics, deliveries, first_day, last_day),
         target,
         ["metric", "internal_customer_id", "playbook_id"],
         ["type", "channel", "channel_name"],
         "created_at",
-        root=root,
+        root,
         partition_by=["metric"],
         null_safe=True,
     )
@@ -541,6 +550,8 @@ def run_retention(
             sinks.expire_rows_table(spark, name, day, time, as_of, days)
         elif day:
             sinks.expire_days_table(spark, name, day, as_of, days)
+        elif changes.log_of(spark, name):
+            changes.expire_changes(spark, name, time, as_of, days, root)
         else:
             sinks.expire_published(spark, name, time, as_of, days, root)
         done.append(name)

@@ -68,15 +68,25 @@ def publish(
     that of a copy count as copies, and the new one is never dropped.
     """
     spark = df.sparkSession
+    copy = write_copy(df, name, root, partition_by)
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {copy}")
+    drop_old_copies(spark, name, copy, keep)
+    return copy
+
+
+def write_copy(df: DataFrame, name: str, root: str | None = None, partition_by: list[str] | None = None) -> str:
+    """A new copy of a published table, which no view reads yet; returns its name."""
     copy = f"{name}__{datetime.now(UTC):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
     writer = _writer(df, f"{root.rstrip('/')}/{copy}" if root else None)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(copy)
-    columns = ", ".join(f"`{c}`" for c in df.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {copy}")
+    return copy
+
+
+def drop_old_copies(spark: SparkSession, name: str, new: str, keep: int) -> None:
     for old in _copies(spark, name)[: -max(1, keep)]:
-        if old != copy:
+        if old != new:
             _drop_copy(spark, old)
-    return copy
 
 
 def _copies(spark: SparkSession, name: str) -> list[str]:

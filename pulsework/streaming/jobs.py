@@ -6,8 +6,12 @@ new and stops (``availableNow``); started again it goes on where it ended.
 
 from __future__ import annotations
 
+import json
 import threading
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import asdict
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from pulsework.operators.latest import latest_by_key
-from pulsework.operators.merge import upsert
+from pulsework.operators.changelog import LOAD, UpsertRule, merged
+from pulsework.operators.columns import comparable
 from pulsework.session import discard
 from pulsework.sinks import upsert_days_table
 
@@ -81,38 +85,64 @@ def append_new_files(stream: DataFrame, path: str, checkpoint: str) -> int:
     return run_available(stream.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
 
 
-# Copies of a state that are kept: the one being written, the one it is made from, and one more.
-_SLOTS = 3
+# Fixed value: the state store that keeps keys on disk, not on the heap.
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _slot(root: str, batch: int) -> str:
-    return f"{root.rstrip('/')}/slot={batch % _SLOTS}"
+@contextmanager
+def _keyed_state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state in RocksDB; a checkpoint remembers it."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """What a job has left below its root, as of its last batch."""
-    slots = spark.read.parquet(root)
-    last = slots.agg(F.max("_batch")).scalar()
-    return slots.filter(F.col("_batch") == last).drop("_batch", "slot")
+def _folders(spark: SparkSession, root: str, kind: str) -> list[int]:
+    """The numbers of the finished folders ``<kind>=<number>`` below the root."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path(root)):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(path(root))]
+    numbers = [name.split("=", 1)[1] for name in names if name.startswith(f"{kind}=")]
+    return sorted(int(n) for n in numbers if files.exists(path(f"{root}/{kind}={n}/_SUCCESS")))
 
 
-def _next_state(root: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
-    """Each batch reads the state before it and writes its own, so a repeated batch changes nothing.
+def _log(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The last folded state and the changes since, each with the number of its batch."""
+    folded = [n for n in _folders(spark, root, "upto") if before is None or n < before][-1:]
+    batches = [n for n in _folders(spark, root, "batch") if (not folded or n > folded[0]) and (before is None or n < before)]
+    return spark.read.parquet(*[f"{root}/upto={n}" for n in folded], *[f"{root}/batch={n}" for n in batches])
 
-    The first batch of a checkpoint begins anew: what a lost checkpoint has left in the other slots goes.
-    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        before = None
-        if not batch_id:
-            for other in range(1, _SLOTS):
-                discard(batch.sparkSession, _slot(root, other))
-        else:
-            before = batch.sparkSession.read.parquet(_slot(root, batch_id - 1)).drop("_batch")
-        state = merge(before, batch).withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        state.write.mode("overwrite").parquet(_slot(root, batch_id))
+def _rule(spark: SparkSession, root: str) -> UpsertRule:
+    found = json.loads(spark.read.text(f"{root}/rule").first()[0])
+    return UpsertRule(**{k: tuple(v) if isinstance(v, list) else v for k, v in found.items()})
 
-    return write
+
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """What a job has left below its root: its changed keys, merged."""
+    root = root.rstrip("/")
+    return merged(_log(spark, root), _rule(spark, root))
+
+
+def _fold(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Merges the changes before a batch. What the fold before has replaced goes; readers may still hold the rest."""
+    older = _folders(spark, root, "upto")[-1:]
+    state = merged(_log(spark, root, batch_id), _rule(spark, root)).withColumn(LOAD, F.lit(batch_id - 1).cast("bigint"))
+    state.write.mode("overwrite").parquet(f"{root}/upto={batch_id - 1}")
+    for last in older:
+        for kind, most in (("batch", last), ("upto", last - 1)):
+            for number in _folders(spark, root, kind):
+                if number <= most:
+                    discard(spark, f"{root}/{kind}={number}")
 
 
 def upsert_latest(
@@ -123,18 +153,38 @@ def upsert_latest(
     newest_by: list[str],
     newer_by: str,
     update_cols: list[str] | None = None,
+    fold_after: int = 16,
 ) -> None:
-    """Keeps the newest row per key across batches: the latest of each batch, then a guarded upsert.
+    """Keeps the newest row per key across batches, as a guarded upsert of each batch's newest rows would.
 
-    Keys here need not fix a day, so every batch rewrites the state; batches should be large.
+    The newest row of every key is keyed state, and a batch emits only keys that it brings. They are written as the batch's own folder,
+    which a repeated batch overwrites; ``read_state`` merges them. So what a batch writes grows with the batch and not with the
+    state. Every ``fold_after`` batches the folders are merged into one. ``newer_by`` must be the first of ``newest_by``. Rows
+    lacking a part of their key are all kept.
     """
+    if newest_by[:1] != [newer_by]:
+        raise ValueError("newer_by must be the first column of newest_by")
+    spark, root = stream.sparkSession, root.rstrip("/")
+    rule = UpsertRule(tuple(keys), tuple(update_cols) if update_cols is not None else None, newer_by)
+    rest = [c for c in stream.columns if c not in keys]
+    ties = [c for c in comparable(stream) if c not in keys and c not in newest_by]
+    lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    alone = F.when(lacking, F.xxhash64(*comparable(stream))).otherwise(F.lit(0)).alias("_alone")
+    newest = stream.groupBy(*keys, alone).agg(F.max_by(F.struct(*rest), F.struct(*newest_by, *ties)).alias("_row"))
+    rows = newest.select(*keys, "_row.*").select(*stream.columns)
 
-    def merge(before: DataFrame | None, batch: DataFrame) -> DataFrame:
-        incoming = latest_by_key(batch, keys, newest_by)
-        return incoming if before is None else upsert(before, incoming, keys, update_cols, newer_by)
-
-    writer = stream.writeStream.foreachBatch(_next_state(root, merge)).outputMode("append")
-    run_available(writer, checkpoint)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if not batch_id:
+            # A new checkpoint begins anew: what a lost one has left goes.
+            discard(session, root)
+            session.range(1).select(F.lit(json.dumps(asdict(rule)))).coalesce(1).write.mode("overwrite").text(f"{root}/rule")
+        elif batch_id - max(_folders(session, root, "upto"), default=-1) > fold_after:
+            _fold(session, root, batch_id)
+        batch.withColumn(LOAD, F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+    with _keyed_state_on_disk(spark):
+        run_available(rows.writeStream.foreachBatch(write).outputMode("update"), checkpoint)
 
 
 def dedupe_events(stream: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
