@@ -29,6 +29,43 @@ def monthly_active_users(
     return events.filter(window).agg(users.alias("monthly_active_users"))
 
 
+def daily_user_sets(events: DataFrame, index: DataFrame, user: str, day: Column) -> DataFrame:
+    """The users of each day as sets that can be united: ``day``, ``bucket``, ``users`` (a bitmap) and ``sketch`` (HLL).
+
+    ``index`` numbers the users (``user``, ``index``; see ``numbering.grow_index``). A bucket holds 32,768 numbers in 4 KB, so a
+    day has as many rows as it has buckets in use. Users are first reduced to one row per day. The sketches of a day's buckets
+    unite to the day's.
+    """
+    seen = events.select(day.alias("day"), F.col(user)).filter(F.col(user).isNotNull() & F.col("day").isNotNull()).distinct()
+    # Numbers count from 0, bitmap positions from 1.
+    numbered = seen.join(index.select(F.col(user), (F.col("index") + 1).alias("_number")), user)
+    return numbered.groupBy("day", F.bitmap_bucket_number("_number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("users"), F.hll_sketch_agg(user).alias("sketch")
+    )
+
+
+def users_of_windows(sets: DataFrame, as_of: list[str]) -> DataFrame:
+    """``as_of``, ``monthly_active_users`` (exact) and ``approximate_users`` for each date, from one pass over the days' sets.
+
+    The window is that of ``monthly_active_users``: from 32 days before the date up to, not including, 2 days before it. A day is
+    united into all windows that it lies in; windows without users have no row.
+    """
+    first, last = min(as_of), max(as_of)
+    dates = F.array(*[F.lit(d).cast("date") for d in as_of])
+    inside = F.filter(dates, lambda d: (F.col("day") >= F.date_sub(d, 32)) & (F.col("day") < F.date_sub(d, 2)))
+    needed = sets.filter(
+        (F.col("day") >= F.lit((date.fromisoformat(first) - timedelta(days=32)).isoformat()).cast("date"))
+        & (F.col("day") < F.lit((date.fromisoformat(last) - timedelta(days=2)).isoformat()).cast("date"))
+    )
+    united = needed.select(F.explode(inside).alias("as_of"), "bucket", "users", "sketch").groupBy("as_of", "bucket").agg(
+        F.bitmap_or_agg("users").alias("users"), F.hll_union_agg("sketch").alias("sketch")
+    )
+    return united.groupBy("as_of").agg(
+        F.sum(F.bitmap_count("users")).alias("monthly_active_users"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approximate_users"),
+    )
+
+
 def high_water_marks(df: DataFrame, marks: dict[str, str], kind: str | None = None) -> DataFrame:
     """Largest value per cursor column and the row count, per kind if given."""
     groups = [kind] if kind else []

@@ -25,6 +25,13 @@ def dense_index(ids: DataFrame, column: str, name: str = "index", digits: int =
     return numbered.join(offsets, "_range").select(*ids.columns, (F.col("_offset") + F.col("_place")).alias(name))
 
 
+def grow_index(known: DataFrame, ids: DataFrame, column: str, name: str = "index") -> DataFrame:
+    """Ids that ``known`` (``column`` and ``name``) lacks, numbered on from its largest number; numbers once given stay."""
+    fresh = ids.select(column).filter(F.col(column).isNotNull()).distinct().join(known.select(column), column, "left_anti")
+    first = F.coalesce(known.agg(F.max(name)).scalar(), F.lit(-1).cast("bigint")) + 1
+    return dense_index(fresh, column, "_fresh").select(column, (first + F.col("_fresh")).alias(name))
+
+
 def batch_ids(ids: DataFrame, column: str, size: int = 50) -> DataFrame:
     """Distinct ids in arrays of ``size``; only the last may be shorter."""
     distinct = ids.select(column).filter(F.col(column).isNotNull()).distinct()

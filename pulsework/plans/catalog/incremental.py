@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsework import changes, sinks
+from pulsework import changes, sinks, totals
 from pulsework.operators import changelog, merge, numbering, planning, quality, touches
 from pulsework.operators.latest import latest_by_key
 from pulsework.plans import derive
@@ -210,6 +210,53 @@ def expire_day_table(spark, sf_dir):
 # ---- tables and views ------------------------------------------------------------------------------------
 
 
+@query(
+    "a5_totals_by_deltas",
+    f"""WITH {EVENTS}, final AS (
+      SELECT day, CASE WHEN event_id % 5 = 0 THEN 'moved' ELSE event_type END AS kind,
+        CASE WHEN event_id % 3 = 0 THEN cents + 7 ELSE cents END AS cents FROM ev)
+    SELECT day, kind, count(*) AS rows, cast(sum(cents) AS bigint) AS cents FROM final GROUP BY day, kind""",
+)
+def totals_by_deltas(spark, sf_dir):
+    """Daily totals after three redeliveries: new values, stale ones, and rows that move to another group; then folded."""
+    rows = derive.events(spark, sf_dir)
+
+    def load(kind, cents, seen):
+        return rows.select("event_id", kind.alias("kind"), cents.alias("cents"), F.lit(seen).alias("seen"), F.to_date("ts").alias("event_day"))
+
+    kind, cents = F.col("event_type"), F.col("cents")
+    value = F.when(mod("event_id", 3) == 0, cents + 7).otherwise(cents)
+    loads = [
+        load(kind, cents, 1),
+        load(kind, cents + 7, 2).filter(mod("event_id", 3) == 0),
+        load(F.lit("stale"), cents - 1, 0),
+        load(F.lit("moved"), value, 3).filter(mod("event_id", 5) == 0),
+    ]
+    table = unique_name("kinds")
+    for i, source in enumerate(loads):
+        totals.upsert_days_with_totals(
+            source, table, "event_day", ["event_id"], ["event_day", "kind"], ["cents"], f"run-{i}", newer_by="seen"
+        )
+        if i == 1:
+            totals.fold_totals(spark, table, ["event_day", "kind"], ["cents"])
+    found = spark.table(totals.totals_view(table))
+    return found.select(F.col("event_day").cast("string").alias("day"), "kind", "rows", "cents")
+
+
+@query(
+    "w1_k8_latest_of_bucketed_table",
+    """SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
+    FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def latest_of_bucketed_table(spark, sf_dir):
+    """Two loads into a table bucketed by the keys: the latest rows are found within its buckets."""
+    rows = derive.events(spark, sf_dir).select("user_id", "event_type", "event_id", "ts")
+    table, keys, path = unique_name("bucketed"), ["user_id", "event_type"], new_work_dir(spark, "bucketed")
+    for part in (0, 1):
+        sinks.append(rows.filter(mod("event_id", 2) == part), table, location=path, bucket_by=keys, buckets=4)
+    return with_text_times(latest_by_key(spark.table(table), keys, ["ts"]), fraction=True)
+
+
 @query(
     "k1_k8_append_and_latest_view",
     """SELECT user_id, event_type, event_id AS created_at FROM events

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from pulsework import functions as fn
 from pulsework import schemas
 from pulsework.operators import events as tracked
-from pulsework.operators import filters, metering, projections, touches
+from pulsework.operators import filters, metering, numbering, projections, touches
 from pulsework.operators.joins import active_connectors
 from pulsework.operators.latest import (
     dedupe,
@@ -404,6 +406,27 @@ def monthly_active_users(spark, sf_dir):
     return metering.monthly_active_users(derive.table(spark, sf_dir, "events"), "user_id", "ts", "2024-01-20")
 
 
+@query(
+    "a3_r1_windows_from_daily_sets",
+    """WITH w AS (SELECT unnest(generate_series(DATE '2024-01-10', DATE '2024-02-08', INTERVAL 1 DAY))::date AS as_of),
+    u AS (SELECT as_of, count(DISTINCT user_id) AS monthly_active_users FROM w
+      JOIN events ON ts >= as_of - INTERVAL 32 DAY AND ts < as_of - INTERVAL 2 DAY GROUP BY as_of)
+    SELECT strftime(as_of, '%Y-%m-%d') AS as_of, monthly_active_users, true AS close FROM u""",
+)
+def windows_from_daily_sets(spark, sf_dir):
+    """Thirty sliding windows in one pass over the days' user sets; users are numbered as they appear, in two turns."""
+    events = derive.events(spark, sf_dir).select("user_id", "ts")
+    early = numbering.grow_index(
+        spark.createDataFrame([], "user_id long, index long"), events.filter("ts < '2024-01-15'"), "user_id"
+    )
+    index = early.unionByName(numbering.grow_index(early, events, "user_id"))
+    sets = metering.daily_user_sets(events, index, "user_id", F.to_date("ts"))
+    as_of = [(date(2024, 1, 10) + timedelta(days=i)).isoformat() for i in range(30)]
+    found, exact = metering.users_of_windows(sets, as_of), F.col("monthly_active_users")
+    close = F.abs(F.col("approximate_users") - exact) <= F.greatest(exact * 0.06, F.lit(1.0))
+    return found.select(F.col("as_of").cast("string").alias("as_of"), exact, close.alias("close"))
+
+
 @query(
     "a4_channel_touches",
     f"""WITH {DELIVERIES}, rows AS (

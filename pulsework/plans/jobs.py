@@ -6,19 +6,20 @@ import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsework import changes, schemas, sinks
 from pulsework.operators import details, events, landing_rows, metering, series, touches, users
 from pulsework.operators.changelog import UpsertRule
-from pulsework.operators.latest import dedupe, latest
+from pulsework.operators.latest import PRESETS, dedupe, latest
 from pulsework.functions import parse_iso
 from pulsework.operators.numbering import sync_registry
 from pulsework.operators.quality import check_not_null
 from pulsework.session import discard, new_work_dir
 from pulsework.sources.files import FILES_AT_ONCE
+from pulsework.sources.landing import BAD_LINE
 from pulsework.sources import (
     accepted,
     discover_new_files,
@@ -218,23 +219,34 @@ def ingest(spark: SparkSession, kind: str, path: str, namespace: str | None = No
     """Land one endpoint's JSONL and refresh its latest-row view; returns the view's name.
 
     Lines that do not parse go to ``<table>_quarantine`` with their file and the path of the run. ``run`` names
-    the raw table's partition, by default after the path.
+    the raw table's partitions, by default after the path: landing a run again replaces what it has landed before.
     """
     spec = LANDINGS[kind]
     table = qualified(namespace, spec.table)
-    parsed = read_jsonl(spark, path, spec.line, spec.keep_line)
+    bad = Observation("bad lines")
+    parsed = read_jsonl(spark, path, spec.line, spec.keep_line).observe(bad, F.count_if(F.col(BAD_LINE).isNotNull()).alias("lines"))
     rows = spec.rows(accepted(parsed))
     if spec.full_refresh:
         sinks.overwrite(rows, table)
     else:
-        parts = [RUN]
+        parts, name = [RUN], run or run_of(path)
         if spec.start:
             rows, parts = rows.withColumn(DAY, F.to_date(parse_iso(F.col(spec.start)))), [DAY, RUN]
-        sinks.append(rows.withColumn(RUN, F.lit(run or run_of(path))), table, partition_by=parts)
-    sinks.append(quarantined(parsed).select("line", F.input_file_name().alias("file"), F.lit(path).alias("run")), f"{table}_quarantine")
+        sinks.replace_parts(rows.withColumn(RUN, F.lit(name)), table, parts, F.col(RUN) == name)
+    _set_aside(spark, spec, path, f"{table}_quarantine", bad.get["lines"])
     return sinks.latest_view(spark, table, spec.preset)
 
 
+def _set_aside(spark: SparkSession, spec: Landing, path: str, table: str, count: int) -> None:
+    """Malformed lines, once each however often a path is loaded. Files are only read again if there are any."""
+    if not spark.catalog.tableExists(table):
+        sinks.append(spark.createDataFrame([], "line string, file string, run string"), table)
+    if count:
+        lines = quarantined(read_jsonl(spark, path, spec.line, spec.keep_line)).select("line", F.input_file_name().alias("file"))
+        known = spark.table(table).filter(F.col("run") == path).select("line", "file").distinct()
+        sinks.append(lines.join(known, ["line", "file"], "left_anti").withColumn("run", F.lit(path)), table)
+
+
 def run_job(spark: SparkSession, name: str, namespace: str | None = None, root: str | None = None) -> str | None:
     """Transform and write one result table; None when its source does not exist."""
     job = JOBS[name]
@@ -314,7 +326,7 @@ def run_channel_touches(
 
     Touches without a playbook are one group per customer, which a rerun replaces like any other.
     """
-    metrics = table_or_none(spark, qualified(namespace, "customerio_channel_metrics_view"))
+    metrics = _latest_on_days(spark, "metrics", first_day, last_day, namespace)
     deliveries = table_or_none(spark, qualified(namespace, "customerio_channel_deliveries_view"))
     if metrics is None or deliveries is None:
         return None
@@ -332,12 +344,28 @@ def run_channel_touches(
     return target
 
 
+def _latest_on_days(
+    spark: SparkSession, kind: str, first_day: str, last_day: str, namespace: str | None
+) -> DataFrame | None:
+    """The latest rows of an export whose rows never change their day, from the raw partitions of these days alone.
+
+    A filter above the latest-row view would not reach the scan, as a window lies between. A table landed without days
+    is read through the view.
+    """
+    spec = FILE_LANDINGS[kind]
+    raw = table_or_none(spark, qualified(namespace, spec.table))
+    if raw is None or DAY not in raw.columns:
+        return table_or_none(spark, qualified(namespace, f"{spec.table}_view"))
+    return latest(raw.filter(F.col(DAY).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))), spec.preset)
+
+
 @dataclass(frozen=True)
 class FileLanding:
     """How a Parquet export becomes a raw table.
 
     ``bounds`` are the times that a file's span is taken from, ``times`` those that decide
-    whether a row belongs to a run's days.
+    whether a row belongs to a run's days. With one such time the raw table is partitioned by its day, and landing
+    days again replaces them; a row that belongs to several days is appended, and the latest-row view hides the older copy.
     """
 
     columns: T.StructType
@@ -368,6 +396,8 @@ FILE_LANDINGS = {
     ),
 }
 FILE_REGISTRY = "customerio_processed_files"
+#: The chunk of the file list that a row came with, the second partition column of day tables.
+CHUNK = "chunk"
 
 
 def register_files(
@@ -397,21 +427,34 @@ def register_files(
 
 def ingest_files(
     spark: SparkSession, kind: str, folder: str, first_day: str, last_day: str, namespace: str | None = None,
-    at_once: int = FILES_AT_ONCE,
+    at_once: int = FILES_AT_ONCE, buckets: int = 16,
 ) -> str | None:
-    """Append the days' rows of an export to its raw table and refresh the view.
+    """Land the days' rows of an export in its raw table and refresh the view.
 
-    Only files whose registered span touches the days are read. Loading days again appends
-    rows that the latest-row view hides. None when no file is needed.
+    Only files whose registered span touches the days are read. Tables are bucketed by the keys of their latest
+    rows, so that the view needs no shuffle; ``buckets`` counts for a new table, one bucket of all days being the work of a task. None when
+    no file is needed.
     """
     spec = FILE_LANDINGS[kind]
     register_files(spark, kind, folder, namespace, at_once)
     registry = spark.table(qualified(namespace, f"{FILE_REGISTRY}_view"))
-    table, any_file = qualified(namespace, spec.table), False
+    table, chunks = qualified(namespace, spec.table), 0
+    keys, count = PRESETS[spec.preset].keys, buckets
+    by_day = len(spec.times) == 1
+    if spark.catalog.tableExists(table):
+        (keys, count), by_day = sinks.bucket_layout(spark, table), DAY in spark.table(table).columns
+    span = F.col(DAY).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
     for rows in read_pruned_chunks(spark, registry, kind, first_day, last_day, spec.columns, spec.times, at_once):
-        sinks.append(rows.select(*spec.columns.fieldNames(), "inserted_at"), table)
-        any_file = True
-    return sinks.latest_view(spark, table, spec.preset) if any_file else None
+        rows = rows.select(*spec.columns.fieldNames(), "inserted_at")
+        if by_day:
+            placed = rows.withColumns({DAY: F.to_date(spec.times[0]), CHUNK: F.lit(chunks)})
+            sinks.replace_parts(placed, table, [DAY, CHUNK], span & (F.col(CHUNK) == chunks), keys, count)
+        else:
+            sinks.append(rows, table, bucket_by=keys, buckets=count)
+        chunks += 1
+    if by_day and chunks:
+        sinks.drop_parts(spark, table, [DAY, CHUNK], span & (F.col(CHUNK) >= chunks))
+    return sinks.latest_view(spark, table, spec.preset) if chunks else None
 
 
 def run_journey_metrics(spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None) -> bool:

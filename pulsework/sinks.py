@@ -32,10 +32,69 @@ def _writer(df: DataFrame, location: str | None) -> DataFrameWriter:
     return df.write.option("path", location) if location else df.write
 
 
-def append(df: DataFrame, table: str, location: str | None = None, partition_by: list[str] | None = None) -> None:
-    """Columns are matched by name, as they are in all tables Spark appends to."""
+def append(
+    df: DataFrame,
+    table: str,
+    location: str | None = None,
+    partition_by: list[str] | None = None,
+    bucket_by: list[str] | None = None,
+    buckets: int = 16,
+) -> None:
+    """Columns are matched by name, as they are in all tables Spark appends to. A load is one sorted file per bucket."""
+    if bucket_by:
+        df = df.repartition(buckets, *bucket_by)
     writer = _writer(df, location).mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    (writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by) if bucket_by else writer).saveAsTable(table)
+
+
+def replace_parts(
+    df: DataFrame, table: str, parts: list[str], within: Column, bucket_by: list[str] | None = None, buckets: int = 16
+) -> None:
+    """Make the partitions that ``within`` selects equal to ``df``, so that a load can run again without doubling rows.
+
+    ``within`` is a condition on the partition columns ``parts``. Partitions that get rows are overwritten, then those
+    without rows any more are dropped: a run that fails has deleted nothing. Which get rows is observed by the write itself. With
+    ``bucket_by`` each partition is written as one sorted file per bucket, and work by these keys needs no shuffle.
+    """
+    spark, seen = df.sparkSession, Observation("parts")
+    if bucket_by:
+        df = df.repartition(buckets, *bucket_by)
+    texts = F.struct(*[F.col(c).cast("string").alias(c) for c in parts])
+    observed = df.observe(seen, F.collect_set(texts).alias("parts"))
+    if not spark.catalog.tableExists(table):
+        writer = observed.write.partitionBy(*parts)
+        (writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by) if bucket_by else writer).saveAsTable(table)
+        return
+    with _dynamic_overwrite(spark):
+        observed.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    drop_parts(spark, table, parts, within, {tuple(row) for row in seen.get["parts"]})
+
+
+def drop_parts(spark: SparkSession, table: str, parts: list[str], within: Column, but: set[tuple] = frozenset()) -> None:
+    """Drop the partitions that ``within`` selects, ``but`` those given by their values as text."""
+    kinds = dict(spark.table(table).dtypes)
+    held = spark.createDataFrame([(row[0],) for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()], "spec string")
+    values = F.split("spec", "/")
+    named = held.select(*[_partition_value(values[i], kinds[c]).alias(c) for i, c in enumerate(parts)])
+    for row in named.filter(within).select(*[F.col(c).cast("string") for c in parts]).collect():
+        if tuple(row) not in but:
+            spec = ", ".join(f"{c} = NULL" if v is None else f"{c} = '{v}'" for c, v in zip(parts, row))
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _partition_value(spec: Column, kind: str) -> Column:
+    """The value in ``name=value`` of a partition's path, in which some characters are written as ``%`` and their code."""
+    value = F.regexp_replace(spec, "^[^=]*=", "")
+    plain = F.when(value != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
+    return plain.cast(kind)
+
+
+def bucket_layout(spark: SparkSession, table: str) -> tuple[list[str], int]:
+    """Columns and number of the buckets of a stored table; none if it has no buckets."""
+    told = {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    columns = [c.strip(" `") for c in told.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
+    return columns, int(told.get("Num Buckets", 0))
 
 
 def overwrite(df: DataFrame, table: str, location: str | None = None) -> None:
