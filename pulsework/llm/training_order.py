@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pulsework.llm import bpe
 from pulsework.llm.shared_files import open_path, write_new
 from pulsework.llm.text import by_bytes, mix
+from pulsework.llm.token_ids import TokenIds, token_ids
 
 # Record head: document id, its part, tokens in use, 1 if the id is null.
 _HEAD = np.dtype([("doc", "<i8"), ("part", "<i4"), ("used", "<u4"), ("null", "<u4"), ("pad", "<u4")])
@@ -53,11 +54,10 @@ def permute(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _ids(values: pa.Array, encoder: bpe.Encoder | None) -> Iterator[np.ndarray]:
+def _ids(values: pa.Array, coder: TokenIds | None) -> Iterator[np.ndarray]:
     """The ids of each text or list."""
-    if encoder:
-        ids, offsets = encoder.encode(values.to_pylist())
-        yield from (ids[a:b] for a, b in zip(offsets, offsets[1:]))
+    if coder:
+        yield from map(coder.of, values.to_pylist())
         return
     for value in values:
         value = value.as_py()
@@ -65,11 +65,11 @@ def _ids(values: pa.Array, encoder: bpe.Encoder | None) -> Iterator[np.ndarray]:
 
 
 def _cut(
-    batch: pa.RecordBatch, length: int, dtype: np.dtype, end: int, encoder: bpe.Encoder | None
+    batch: pa.RecordBatch, length: int, dtype: np.dtype, end: int, coder: TokenIds | None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Heads and tokens of the sequences of a batch; the end id follows each document and fills its last sequence."""
     heads, rows = [], []
-    for doc, tokens in zip(batch.column(0).to_pylist(), _ids(batch.column(1), encoder)):
+    for doc, tokens in zip(batch.column(0).to_pylist(), _ids(batch.column(1), coder)):
         if len(tokens) and not 0 <= tokens.min() <= tokens.max() <= np.iinfo(dtype).max:
             raise ValueError(f"an id does not fit {dtype}")
         count = len(tokens) // length + 1
@@ -116,8 +116,7 @@ def materialise(
     def count_encoded(batches) -> Iterator[pa.RecordBatch]:
         found = 0
         for batch in by_bytes(batches, "value"):
-            _, offsets = bpe.encoder(words.value).encode(batch.column(0).to_pylist())
-            found += int((np.diff(offsets) // length + 1).sum())
+            found += sum(len(ids) // length + 1 for ids in _ids(batch.column(0), token_ids(words.value)))
         yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([found], pa.int64())], ["p", "n"])
 
     if words:
@@ -143,7 +142,7 @@ def materialise(
         for batch in by_bytes(batches, "value") if texts else batches:
             if not batch.num_rows:
                 continue
-            heads, tokens = _cut(batch, length, kind, end, bpe.encoder(words.value) if words else None)
+            heads, tokens = _cut(batch, length, kind, end, token_ids(words.value) if words else None)
             left -= len(heads)
             if left < 0:
                 break
