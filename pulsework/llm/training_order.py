@@ -26,6 +26,7 @@ from pulsework.llm import bpe
 from pulsework.llm.shared_files import open_path, write_new
 from pulsework.llm.text import by_bytes, mix
 from pulsework.llm.token_ids import TokenIds, token_ids
+from pulsework.session import discard
 
 # Record head: document id, its part, tokens in use, 1 if the id is null.
 _HEAD = np.dtype([("doc", "<i8"), ("part", "<i4"), ("used", "<u4"), ("null", "<u4"), ("pad", "<u4")])
@@ -99,9 +100,9 @@ def materialise(
     """Write all sequences of ``docs`` as shards below ``folder``; returns the path of the manifest.
 
     ``value_col`` holds texts, whose ids are their UTF-8 bytes or, with a ``vocabulary`` file, their tokens, or
-    arrays of token ids. The job fails if an id does not fit ``dtype``. Texts are encoded in both scans, so no
-    table of ids is written.
-    ``docs`` must be a scan of files (or of a written table): it is read once for the sizes of its
+    arrays of token ids. The job fails if an id does not fit ``dtype``. With a vocabulary texts are encoded once,
+    into compressed blocks of whole sequences below ``folder``, which are dealt and then deleted.
+    Else ``docs`` must be a scan of files (or of a written table): it is read once for the sizes of its
     partitions and once for their content, and the job fails should they differ. What the driver
     holds is one number per partition.
     """
@@ -113,14 +114,26 @@ def materialise(
         raise ValueError("a vocabulary is for texts")
     words = bpe.share_vocabulary(spark, vocabulary) if vocabulary else None
 
-    def count_encoded(batches) -> Iterator[pa.RecordBatch]:
-        found = 0
-        for batch in by_bytes(batches, "value"):
-            found += sum(len(ids) // length + 1 for ids in _ids(batch.column(0), token_ids(words.value)))
-        yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([found], pa.int64())], ["p", "n"])
+    def joined(heads: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        raw = np.empty((len(heads), record), np.uint8)
+        raw[:, : _HEAD.itemsize] = heads.view(np.uint8).reshape(len(heads), -1)
+        raw[:, _HEAD.itemsize :] = tokens.view(np.uint8).reshape(len(heads), -1)
+        return raw
+
+    def encode(batches) -> Iterator[pa.RecordBatch]:
+        partition, at, codec = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=3)
+        for batch in by_bytes(batches, "value", _BLOCK):
+            if batch.num_rows:
+                raw = joined(*_cut(batch, length, kind, end, token_ids(words.value)))
+                block = codec.compress(raw.tobytes())
+                yield pa.RecordBatch.from_pylist([{"p": partition, "at": at, "n": len(raw), "block": block}], schema=_BLOCKS)
+                at += len(raw)
 
     if words:
-        sizes = dict(rows.select("value").mapInArrow(count_encoded, "p long, n long").filter("n > 0").collect())
+        blocks = f"{folder}/blocks"
+        encoded = rows.mapInArrow(encode, "p int, at long, n long, block binary")
+        encoded.write.option("compression", "uncompressed").parquet(blocks)
+        sizes = dict(spark.read.parquet(blocks).groupBy("p").agg(F.sum("n").alias("n")).collect())
     else:
         size = F.octet_length("value") if texts else F.size("value")
         sequences = F.floor(F.coalesce(F.greatest(size, F.lit(0)), F.lit(0)) / length) + 1
@@ -136,33 +149,40 @@ def materialise(
         return f"{folder}/manifest"
     shared = spark.sparkContext.broadcast(places)
 
+    def by_shard(raw: np.ndarray, at: int, codec: zstandard.ZstdCompressor) -> pa.RecordBatch:
+        slots = permute(np.arange(at, at + len(raw)), total, key)
+        shard = slots // per_shard
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.diff(shard[order], prepend=-1)).tolist() + [len(order)]
+        parts = [order[a:b] for a, b in zip(cuts, cuts[1:])]
+        return pa.record_batch(
+            [
+                pa.array([int(shard[p[0]]) for p in parts], pa.int64()),
+                pa.array([slots[p].tobytes() for p in parts], pa.binary()),
+                pa.array([codec.compress(raw[p].tobytes()) for p in parts], pa.binary()),
+            ],
+            ["shard", "slots", "records"],
+        )
+
+    def deal_blocks(batches) -> Iterator[pa.RecordBatch]:
+        codec, reader = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        for batch in batches:
+            for partition, at, block in zip(*(batch.column(i) for i in range(3))):
+                raw = np.frombuffer(reader.decompress(block.as_py()), np.uint8).reshape(-1, record)
+                yield by_shard(raw, shared.value[partition.as_py()][0] + at.as_py(), codec)
+
     def deal(batches) -> Iterator[pa.RecordBatch]:
         at, left = shared.value.get(TaskContext.get().partitionId(), (0, 0))
         codec = zstandard.ZstdCompressor(level=3)
         for batch in by_bytes(batches, "value") if texts else batches:
             if not batch.num_rows:
                 continue
-            heads, tokens = _cut(batch, length, kind, end, token_ids(words.value) if words else None)
-            left -= len(heads)
+            raw = joined(*_cut(batch, length, kind, end, None))
+            left -= len(raw)
             if left < 0:
                 break
-            slots = permute(np.arange(at, at + len(heads)), total, key)
-            at += len(heads)
-            raw = np.empty((len(heads), record), np.uint8)
-            raw[:, : _HEAD.itemsize] = heads.view(np.uint8).reshape(len(heads), -1)
-            raw[:, _HEAD.itemsize :] = tokens.view(np.uint8).reshape(len(heads), -1)
-            shard = slots // per_shard
-            order = np.argsort(shard, kind="stable")
-            cuts = np.flatnonzero(np.diff(shard[order], prepend=-1)).tolist() + [len(order)]
-            parts = [order[a:b] for a, b in zip(cuts, cuts[1:])]
-            yield pa.record_batch(
-                [
-                    pa.array([int(shard[p[0]]) for p in parts], pa.int64()),
-                    pa.array([slots[p].tobytes() for p in parts], pa.binary()),
-                    pa.array([codec.compress(raw[p].tobytes()) for p in parts], pa.binary()),
-                ],
-                ["shard", "slots", "records"],
-            )
+            yield by_shard(raw, at, codec)
+            at += len(raw)
         if left:
             raise ValueError("the partitions differ between two scans; write the input to a table first")
 
@@ -185,11 +205,18 @@ def materialise(
         values = [number[0].as_py(), uri, first, count, length, dtype]
         yield pa.RecordBatch.from_pylist([dict(zip(names, values))], schema=pa.schema(list(zip(names, _KINDS))))
 
+    if words:
+        rows, deal = spark.read.parquet(blocks).select("p", "at", "block"), deal_blocks
     dealt = rows.mapInArrow(deal, "shard long, slots binary, records binary")
     dealt.groupBy("shard").applyInArrow(write, _MANIFEST).write.parquet(f"{folder}/manifest")
+    if words:
+        discard(spark, blocks)
     return f"{folder}/manifest"
 
 
+# Bytes of text in a block of encoded sequences.
+_BLOCK = 4 << 20
+_BLOCKS = pa.schema([("p", pa.int32()), ("at", pa.int64()), ("n", pa.int64()), ("block", pa.binary())])
 _MANIFEST = "shard long, path string, first_slot long, n_slots long, length long, dtype string"
 _KINDS = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
