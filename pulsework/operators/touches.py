@@ -20,7 +20,7 @@ def delivery_metrics(
     The join is plain, and adaptive execution splits a rare hot delivery; ``hot_rows`` slices keys above that many rows.
     """
     on_days = metrics.filter(in_days(F.col("created_at"), first_day, last_day))
-    facts, sides = on_days.select("event_id", "delivery_id", "metric", "created_at"), _delivery_sides(deliveries)
+    facts, sides = on_days.select("event_id", "delivery_id", "metric", "created_at"), delivery_sides(deliveries)
     if hot_rows is None:
         rows = facts.join(sides, "delivery_id")
     else:
@@ -30,7 +30,7 @@ def delivery_metrics(
     )
 
 
-def _delivery_sides(deliveries: DataFrame) -> DataFrame:
+def delivery_sides(deliveries: DataFrame) -> DataFrame:
     return deliveries.select(
         "delivery_id",
         "internal_customer_id",
@@ -58,7 +58,7 @@ def channel_touches(
     wanted = F.col("metric").isin(DELIVERY_METRICS if kinds is None else kinds)
     events = metrics.filter(wanted & in_days(F.col("created_at"), first_day, last_day))
     newest = events.groupBy("delivery_id", "metric").agg(F.max("created_at").alias("created_at"))
-    rows = newest.join(_delivery_sides(deliveries), "delivery_id").select(
+    rows = newest.join(delivery_sides(deliveries), "delivery_id").select(
         "metric", "internal_customer_id", "playbook_id", "type", "channel", "channel_name", "created_at"
     )
     return latest_by_key(rows, ["metric", *keys], ["created_at"])

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsework import changes, sinks, totals
+from pulsework import changes, late, sinks, totals
 from pulsework.operators import changelog, merge, numbering, planning, quality, touches
 from pulsework.operators.latest import latest_by_key
 from pulsework.plans import derive
-from pulsework.plans.catalog.registry import EVENTS, query, unique_name, with_text_times
+from pulsework.plans.catalog.registry import DELIVERIES, EVENTS, query, unique_name, with_text_times
 from pulsework.plans.catalog.relational import _JOURNEYS, _TYPE_IDS
 from pulsework.session import new_work_dir
 
@@ -150,6 +150,54 @@ def upsert_day_table(spark, sf_dir):
     return with_text_times(spark.table(table))
 
 
+@query(
+    "j1_late_sides",
+    f"""WITH {DELIVERIES}, copies AS (
+      SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS event_id, l_orderkey AS key,
+        cast(l_quantity AS int) % 10 AS reason, CASE l_returnflag WHEN 'A' THEN 'opened' WHEN 'R' THEN 'clicked' ELSE 'sent' END AS metric
+      FROM lineitem
+    ), events AS (
+      SELECT *, CASE WHEN l.key % 4 = 0 THEN 1 ELSE 0 END AS version FROM copies l
+      QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY reason DESC, metric DESC) = 1)
+    SELECT event_id, version, reason, e.metric, CASE WHEN key % 5 = 0 THEN 'moved' ELSE internal_customer_id END AS internal_customer_id,
+      CASE WHEN type IS NOT NULL THEN playbook END AS playbook_id, type, channel, channel_name
+    FROM events e JOIN deliveries ON delivery_id = cast(key AS varchar) WHERE key % 17 > 0""",
+)
+def late_sides(spark, sf_dir):
+    """Three runs: deliveries and events fall into any of them, a fourth of the events come twice, a fifth of the deliveries change.
+
+    A seventeenth of the deliveries never comes; their events wait.
+    """
+    key, twice, flag = F.col("l_orderkey"), mod("l_orderkey", 4) == 0, F.col("l_returnflag")
+    copies = derive.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("event_id"),
+        key.cast("string").alias("delivery_id"),
+        F.pmod(F.col("l_quantity").cast("int"), F.lit(10)).alias("reason"),
+        F.when(flag == "A", "opened").when(flag == "R", "clicked").otherwise("sent").alias("metric"),
+        F.date_add(F.lit("2024-01-01").cast("date"), mod("l_orderkey", 30).cast("int")).alias("event_day"),
+        F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("version"),
+        "l_orderkey",
+    )
+    # Where the key is divisible by 8 the newer copy comes first.
+    second = (F.col("version") + (mod("l_orderkey", 8) == 0).cast("int")) % 2
+    copies = copies.withColumn("run", F.when(twice, second).otherwise(mod("l_orderkey", 3)))
+    number = F.col("delivery_id").cast("long")
+    sides = touches.delivery_sides(derive.deliveries(derive.table(spark, sf_dir, "orders"))).filter(number % 17 > 0)
+    customer = F.when(number % 5 == 0, "moved").otherwise(F.col("internal_customer_id"))
+    # The runs that bring a delivery: one in seven classes of keys, and the last if it changes.
+    came = (number % 7 + 1) % 3
+    rule = late.LateJoin("event_id", "delivery_id", "event_day", "version")
+    table, root = unique_name("late"), new_work_dir(spark, "late")
+    for run in range(3):
+        known = sides.filter(came <= run)
+        if run == 2:
+            known = known.withColumn("internal_customer_id", customer)
+        arrived = known.filter((came == run) | ((number % 5 == 0) & F.lit(run == 2)))
+        facts = copies.filter(F.col("run") == run).drop("run", "l_orderkey")
+        late.join_late(facts, known, arrived, table, rule, root)
+    return spark.table(table).drop("event_day", "delivery_id")
+
+
 # ---- window replacement and retention ------------------------------------------------------------------
 
 

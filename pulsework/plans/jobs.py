@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsework import changes, schemas, sinks
+from pulsework import changes, late, schemas, sinks
 from pulsework.operators import details, events, landing_rows, metering, series, touches, users
 from pulsework.operators.changelog import UpsertRule
-from pulsework.operators.latest import PRESETS, dedupe, latest
-from pulsework.functions import parse_iso
+from pulsework.operators.latest import PRESETS, dedupe, latest, latest_by_key
+from pulsework.functions import in_days, parse_iso
 from pulsework.operators.numbering import sync_registry
 from pulsework.operators.quality import check_not_null
 from pulsework.session import discard, new_work_dir
@@ -330,9 +330,14 @@ def run_channel_touches(
     deliveries = table_or_none(spark, qualified(namespace, "customerio_channel_deliveries_view"))
     if metrics is None or deliveries is None:
         return None
+    rows = touches.channel_touches(metrics, deliveries, first_day, last_day)
+    return _append_touches(rows, namespace, root)
+
+
+def _append_touches(rows: DataFrame, namespace: str | None, root: str | None) -> str:
     target = qualified(namespace, "customerio_channel_touches")
     _append_changes(
-        touches.channel_touches(metrics, deliveries, first_day, last_day),
+        rows,
         target,
         ["metric", "internal_customer_id", "playbook_id"],
         ["type", "channel", "channel_name"],
@@ -344,6 +349,32 @@ def run_channel_touches(
     return target
 
 
+def run_late_touches(
+    spark: SparkSession, first_day: str, last_day: str, namespace: str | None = None, root: str | None = None
+) -> str | None:
+    """Metric events with their delivery, served by day, and the touches of those that this run could join.
+
+    Events of a delivery that has not landed wait for it, so no touch is lost if deliveries land after their events, as in
+    ``run_channel_touches``. A delivery is made before its events: one that lands again changes served events from ``first_day`` on.
+    Touches of a customer from whom a delivery is taken away stay.
+    """
+    metrics = _latest_on_days(spark, "metrics", first_day, last_day, namespace)
+    arrived = _latest_on_days(spark, "deliveries", first_day, last_day, namespace)
+    deliveries = table_or_none(spark, qualified(namespace, "customerio_channel_deliveries_view"))
+    if metrics is None or arrived is None or deliveries is None:
+        return None
+    within = in_days(F.col("created_at"), first_day, last_day)
+    facts = metrics.filter(within).select("event_id", "delivery_id", "metric", "created_at", "inserted_at")
+    rule = late.LateJoin("event_id", "delivery_id", "event_day", "inserted_at")
+    fresh = late.join_late(
+        facts.withColumn("event_day", F.to_date("created_at")), touches.delivery_sides(deliveries), arrived.filter(within),
+        qualified(namespace, "customerio_delivery_metrics"), rule, root, first_day,
+    )
+    keys = ["metric", "internal_customer_id", "playbook_id"]
+    rows = fresh.filter(F.col("metric").isin(schemas.DELIVERY_METRICS)).select(*keys, "type", "channel", "channel_name", "created_at")
+    return _append_touches(latest_by_key(rows, keys, ["created_at"]), namespace, root)
+
+
 def _latest_on_days(
     spark: SparkSession, kind: str, first_day: str, last_day: str, namespace: str | None
 ) -> DataFrame | None:
@@ -575,6 +606,8 @@ RETENTION = {
     "transformed_user_playbook_data": (None, "last_received"),
     "transformed_user_playbook_steps_data": (None, "last_received"),
     "customerio_channel_touches": (None, "created_at"),
+    "customerio_delivery_metrics": ("event_day", None),
+    "customerio_delivery_metrics_pending": (None, "created_at"),
     "transformed_customerio_journey_metrics": ("created_day", None),
     "served_amplitude_events": ("event_day", "server_upload_time"),
 }

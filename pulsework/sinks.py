@@ -218,7 +218,7 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(mode, before)
 
 
-def _into_days(df: DataFrame, table: str, day: str, location: str | None = None) -> None:
+def into_days(df: DataFrame, table: str, day: str, location: str | None = None) -> None:
     """Overwrite exactly the days that ``df`` holds."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -229,7 +229,7 @@ def _into_days(df: DataFrame, table: str, day: str, location: str | None = None)
         rows.write.insertInto(table, overwrite=True)
 
 
-def _drop_days(spark: SparkSession, table: str, day: str, days: list[str]) -> None:
+def drop_days(spark: SparkSession, table: str, day: str, days: list[str]) -> None:
     if days:
         parts = ", ".join(f"PARTITION ({day} = DATE'{d}')" for d in days)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
@@ -247,11 +247,11 @@ def replace_days_table(
     seen = Observation("days")
     within = _day_last(df, day).filter(F.col(day).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
     observed = within.observe(seen, F.collect_set(F.col(day).cast("string")).alias("days"))
-    _into_days(observed, table, day, location)
+    into_days(observed, table, day, location)
     written = set(seen.get["days"])
     first, count = date.fromisoformat(first_day), (date.fromisoformat(last_day) - date.fromisoformat(first_day)).days
     window = [(first + timedelta(days=i)).isoformat() for i in range(count + 1)]
-    _drop_days(spark, table, day, [d for d in window if d not in written])
+    drop_days(spark, table, day, [d for d in window if d not in written])
 
 
 def days_of(df: DataFrame, day: str) -> list[date | None]:
@@ -289,7 +289,7 @@ def upsert_days_table(
     _day_last(source, day).write.parquet(batch_path)
     batch = spark.read.parquet(batch_path)
     if not spark.catalog.tableExists(table):
-        _into_days(batch, table, day, location)
+        into_days(batch, table, day, location)
         discard(spark, batch_path)
         return
     keys = keys if day in keys else [*keys, day]
@@ -300,7 +300,7 @@ def upsert_days_table(
     if days:
         touched = spark.table(table).filter(on_days(day, days))
         upsert(touched, batch, keys, update_cols, newer_by).write.parquet(merged_path)
-        _into_days(spark.read.parquet(merged_path), table, day)
+        into_days(spark.read.parquet(merged_path), table, day)
         discard(spark, merged_path)
     discard(spark, batch_path)
 
@@ -309,7 +309,7 @@ def expire_days_table(spark: SparkSession, table: str, day: str, as_of: str, day
     """Drop the partitions before ``as_of`` minus ``days``; rows without a day stay."""
     cutoff = (date.fromisoformat(as_of) - timedelta(days=days)).isoformat()
     names = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()]
-    _drop_days(spark, table, day, [d for d in names if d[:1].isdigit() and d < cutoff])
+    drop_days(spark, table, day, [d for d in names if d[:1].isdigit() and d < cutoff])
 
 
 def expire_rows_table(
@@ -325,8 +325,8 @@ def expire_rows_table(
     expire(rows.filter(on_days(day, hit)), time, as_of, days).write.parquet(kept_path)
     kept = spark.read.parquet(kept_path)
     left = {row[0] for row in kept.select(day).distinct().collect()}
-    _into_days(kept, table, day)
-    _drop_days(spark, table, day, [d.isoformat() for d in hit if d is not None and d not in left])
+    into_days(kept, table, day)
+    drop_days(spark, table, day, [d.isoformat() for d in hit if d is not None and d not in left])
     if None in hit and None not in left:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day} = NULL)")
     discard(spark, kept_path)
