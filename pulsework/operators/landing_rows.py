@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsework.functions import int_or_zero, json_path
-from pulsework.sources.landing import LINE
+from pulsework.schemas import METADATA
+from pulsework.sources.landing import LINE, VALUE
 
 
 def _param(name: str) -> Column:
@@ -46,6 +47,39 @@ def canvas_series(lines: DataFrame) -> DataFrame:
     )
 
 
+def campaign_series_variants(lines: DataFrame) -> DataFrame:
+    """:func:`campaign_series` of :func:`pulsework.sources.parse_variants`: ``data`` is a VARIANT, which later jobs do not parse again.
+
+    Where a payload has a value of another type than a job reads, that value alone is NULL; in text the whole field around it is.
+    """
+    return _variant_days(lines, "campaign_id", [], "data")
+
+
+def canvas_series_variants(lines: DataFrame) -> DataFrame:
+    """:func:`canvas_series` likewise, with ``stats`` as a VARIANT."""
+    return _variant_days(lines, "canvas_id", ["name"], "stats")
+
+
+#: Tells payloads apart that cannot be ordered themselves, so that ties between equally new rows are broken alike in every run.
+PAYLOAD_CODE = "payload_code"
+
+
+def _variant_days(lines: DataFrame, entity: str, plain: list[str], payload: str) -> DataFrame:
+    def field(path: str, kind: str = "string") -> Column:
+        return F.try_variant_get(VALUE, f"$.{path}", kind)
+
+    days = lines.select(
+        field(f"metadata.params.{entity}").alias(entity),
+        *[field(name).alias(name) for name in plain],
+        F.explode(field(payload, "array<variant>")).alias(payload),
+        F.to_json(field("metadata", METADATA.dataType.simpleString())).alias("metadata"),
+        field("metadata.timestamp", "double").alias("created_at"),
+    )
+    start = F.try_variant_get(payload, "$.time", "string").alias("start_date")
+    code = F.xxhash64(F.to_json(payload)).alias(PAYLOAD_CODE)
+    return days.select(entity, *plain, start, payload, "metadata", "created_at", code)
+
+
 def campaign_details(lines: DataFrame) -> DataFrame:
     return lines.select(_param("campaign_id").alias("campaign_id"), "data", *_stamp())
 

@@ -1,7 +1,7 @@
 """Daily campaign and canvas payloads to variants, steps and channels.
 
-Each input row is one entity and day, with the day's payload as JSON text. The payload is
-parsed once against a schema holding only the fields that are used; variant, step and
+Each input row is one entity and day, with the day's payload as JSON text or VARIANT. Text is
+parsed once against a schema holding only the fields that are used, a VARIANT is only looked into; variant, step and
 channel ids are map keys there, so ``explode`` gives one row for each without a shuffle.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsework.functions import (
     CHANNEL_METRICS,
@@ -24,6 +25,13 @@ from pulsework.functions.channels import Metrics
 from pulsework.schemas import CANVAS_STEPS, CHANNELS_CAMPAIGN, CHANNELS_CANVAS, VARIANTS, cast_to
 
 
+def _fields(series: DataFrame, payload: str, fields: str) -> Column:
+    """The day's ``fields``, given as ``name TYPE, ...``; what is missing or of another type is NULL."""
+    if isinstance(series.schema[payload].dataType, T.VariantType):
+        return F.try_variant_get(payload, "$", f"STRUCT<{fields}>")
+    return F.from_json(payload, fields)
+
+
 def _messages_type(fields: list[str]) -> str:
     inner = ", ".join(f"{name}: STRING" for name in fields)
     return f"MAP<STRING, ARRAY<STRUCT<{inner}>>>"
@@ -50,7 +58,7 @@ def campaign_variants(series: DataFrame, metrics: Metrics = CHANNEL_METRICS) ->
     """One row per campaign, day and message variation. Unmapped channels count 0 entries."""
     extra = ["variation_name", "variation_api_id", "revenue", "unique_recipients", "conversions"]
     fields = sorted({by["sends"] for by in metrics.values() if by.get("sends")}) + extra
-    day = F.from_json("data", f"time STRING, messages {_messages_type(fields)}")
+    day = _fields(series, "data", f"time STRING, messages {_messages_type(fields)}")
     channels = series.select("campaign_id", day.alias("d")).select(
         "campaign_id", "d.time", F.explode("d.messages").alias("channel", "messages")
     )
@@ -76,7 +84,7 @@ def campaign_variants(series: DataFrame, metrics: Metrics = CHANNEL_METRICS) ->
 def canvas_variants(series: DataFrame) -> DataFrame:
     """One row per canvas, day and variant. Canvases do not report unique recipients: always 0."""
     stat = "STRUCT<name: STRING, entries: STRING, revenue: STRING, conversions: STRING>"
-    day = F.from_json("stats", f"time STRING, variant_stats MAP<STRING, {stat}>")
+    day = _fields(series, "stats", f"time STRING, variant_stats MAP<STRING, {stat}>")
     rows = series.select("canvas_id", day.alias("d")).select(
         "canvas_id", "d.time", F.explode("d.variant_stats").alias("variant_id", "v")
     )
@@ -98,7 +106,7 @@ def canvas_variants(series: DataFrame) -> DataFrame:
 
 
 def _canvas_step_days(series: DataFrame, step_type: str) -> DataFrame:
-    day = F.from_json("stats", f"time STRING, step_stats MAP<STRING, {step_type}>")
+    day = _fields(series, "stats", f"time STRING, step_stats MAP<STRING, {step_type}>")
     return series.select("canvas_id", day.alias("d")).select(
         "canvas_id", "d.time", F.explode("d.step_stats").alias("step_id", "s")
     )
@@ -141,7 +149,7 @@ def canvas_steps(series: DataFrame, metrics: Metrics = CHANNEL_METRICS) -> DataF
 def campaign_channels(series: DataFrame, metrics: Metrics = CHANNEL_METRICS) -> DataFrame:
     """One row per campaign, day and channel. A channel that is not mapped keeps a row of zeros."""
     fields = sorted({*message_fields(metrics), "conversions", "revenue"})
-    day = F.from_json("data", f"time STRING, messages {_messages_type(fields)}")
+    day = _fields(series, "data", f"time STRING, messages {_messages_type(fields)}")
     rows = series.select("campaign_id", day.alias("d")).select(
         "campaign_id", "d.time", F.explode("d.messages").alias("channel_name", "messages")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsework import changes, late, sinks, totals
+from pulsework import audit, changes, late, sinks, totals
 from pulsework.operators import changelog, merge, numbering, planning, quality, touches
 from pulsework.operators.latest import latest_by_key
 from pulsework.plans import derive
@@ -510,6 +510,32 @@ def incomplete_windows(spark, sf_dir):
     return planning.incomplete_windows(planned, landed, ["user_id", "day"])
 
 
+@query(
+    "r7_r4_uncovered_windows",
+    """WITH asked AS (SELECT c_custkey AS id, unnest(range(c_custkey % 400, 365)) AS d FROM customer),
+    held AS (
+      SELECT o_custkey AS id, unnest(range(o_orderkey % 366 - o_orderkey % 45, o_orderkey % 366)) AS d FROM orders
+      UNION SELECT c_custkey, unnest(range(0, 365)) FROM customer WHERE c_custkey % 5 = 0),
+    open AS (SELECT * FROM asked EXCEPT SELECT * FROM held),
+    islands AS (SELECT *, d - row_number() OVER (PARTITION BY id ORDER BY d) AS island FROM open),
+    spans AS (SELECT id, max(d) + 1 AS after, count(*) AS days FROM islands GROUP BY id, island),
+    steps AS (SELECT *, unnest(range(0, cast(ceil(days / 14.0) AS bigint))) AS step FROM spans)
+    SELECT id, strftime(DATE '2024-01-01' + cast(after - step * 14 AS int), '%Y-%m-%d') AS ending_at,
+      cast(least(14, days - step * 14) AS int) AS length FROM steps""",
+)
+def uncovered_windows(spark, sf_dir):
+    """Each order is a request that has landed; of every fifth entity the whole plan has, in its own windows."""
+    plan = planning.plan_backfill(_entities(spark, sf_dir), "id", "2024-12-31", planning.CAMPAIGN_WINDOW_DAYS)
+    key = F.col("o_orderkey")
+    requests = derive.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (key % 366).cast("int")).alias("ending_at"),
+        (key % 45).cast("int").alias("length"),
+    )
+    landed = requests.unionByName(plan.filter(mod("id", 5) == 0))
+    return with_text_times(planning.uncovered_windows(plan, landed, "id", planning.CANVAS_WINDOW_DAYS))
+
+
 @query(
     "r9_skip_if_absent",
     "SELECT false AS ran, count(*) AS orders FROM orders",
@@ -548,3 +574,39 @@ def check_not_null(spark, sf_dir):
         "at", F.when(mod("o_orderkey", 50) > 0, F.col("o_orderdate"))
     )
     return quality.check_not_null(orders, ["o_orderkey", "at"])
+
+
+_ALLOWED = ["F", "O"]
+_ORDER_RULES = audit.Rules(("o_orderkey",), ("o_orderkey", "o_custkey"), {"o_orderstatus": _ALLOWED})
+
+
+def _bad_load(spark, sf_dir):
+    """A sound load, then one in which keys repeat, customers lack and a status is unknown; returns the table and what is wrong."""
+    orders = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    name, root = unique_name("checked"), new_work_dir(spark, "checked")
+    sound = orders.filter(F.col("o_orderstatus").isin(_ALLOWED))
+    assert audit.publish_checked(sound, name, _ORDER_RULES, root) is None
+    customer = F.when(mod("o_orderkey", 50) != 7, F.col("o_custkey")).alias("o_custkey")
+    bad = orders.select("o_orderkey", customer, "o_orderstatus").unionByName(orders.filter(mod("o_orderkey", 100) == 3))
+    return name, audit.publish_checked(bad, name, _ORDER_RULES, root)
+
+
+@query(
+    "d3_k7_violations_of_a_load",
+    """WITH bad AS (
+      SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 7 THEN o_custkey END AS o_custkey, o_orderstatus FROM orders
+      UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 100 = 3)
+    SELECT 'required' AS "check", 'o_custkey' AS "column", NULL AS value, count(*) AS rows FROM bad WHERE o_custkey IS NULL
+    UNION ALL SELECT 'domain', 'o_orderstatus', o_orderstatus, count(*) FROM bad WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 3
+    UNION ALL SELECT 'key', 'o_orderkey', '{"o_orderkey":' || o_orderkey || '}', count(*) FROM bad GROUP BY o_orderkey HAVING count(*) > 1""",
+)
+def violations_of_a_load(spark, sf_dir):
+    return _bad_load(spark, sf_dir)[1]
+
+
+@query(
+    "d3_k7_served_after_a_bad_load",
+    "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')",
+)
+def served_after_a_bad_load(spark, sf_dir):
+    return spark.table(_bad_load(spark, sf_dir)[0])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulsework import schemas, sources
-from pulsework.operators import landing_rows
+from pulsework.operators import landing_rows, planning
 from pulsework.plans import derive
 from pulsework.plans.catalog.registry import EVENTS, query, with_text_times
 from pulsework.session import new_work_dir
@@ -181,3 +181,37 @@ def read_pruned_files(spark, sf_dir):
     file_schema = schemas.schema("event_id BIGINT, user_id BIGINT, ts TIMESTAMP")
     needed = sources.read_pruned_files(spark, registry, "metrics", "2024-01-10", "2024-01-13", file_schema, ["ts"])
     return needed.select("event_id")
+
+
+@query(
+    "r2_f6_files_of_all_windows",
+    """WITH spans AS (
+      SELECT c_custkey AS id, date_diff('day', DATE '1992-01-01' + cast(c_custkey % 2400 AS int), DATE '1998-12-31') AS days FROM customer),
+    steps AS (SELECT id, days, unnest(range(0, cast(ceil(days / 100.0) AS bigint))) AS step FROM spans WHERE days > 0),
+    windows AS (
+      SELECT id, DATE '1998-12-31' - cast(step * 100 AS int) AS after, cast(least(100, days - step * 100) AS int) AS length FROM steps),
+    files AS (
+      SELECT strftime(o_orderdate, '%Y-%m') || '/' || (o_custkey % 7) AS file_name, cast(min(o_orderdate) AS date) AS lo,
+        cast(max(o_orderdate) AS date) AS hi FROM orders GROUP BY 1)
+    SELECT id, strftime(after, '%Y-%m-%d') AS ending_at, length, count(*) AS files, min(file_name) AS first_file, max(file_name) AS last_file
+    FROM windows JOIN files ON lo < after AND hi >= after - length GROUP BY ALL""",
+)
+def files_of_all_windows(spark, sf_dir):
+    """Each backfill window of each customer with the files of orders that it needs, in one pass."""
+    orders = derive.table(spark, sf_dir, "orders").select(
+        F.concat_ws("/", F.date_format("o_orderdate", "yyyy-MM"), mod("o_custkey", 7)).alias("file_name"), F.col("o_orderdate").alias("at")
+    )
+    registry = orders.groupBy("file_name").agg(
+        F.lit("orders").alias("type"), F.min("at").alias("min_timestamp"), F.max("at").alias("max_timestamp")
+    )
+    customers = derive.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.date_add(F.lit("1992-01-01").cast("date"), mod("c_custkey", 2400).cast("int")).alias("created_at")
+    )
+    windows = planning.plan_backfill(customers, "id", "1998-12-31", planning.CAMPAIGN_WINDOW_DAYS)
+    first, last = F.expr("date_sub(ending_at, length)"), F.date_sub("ending_at", 1)
+    pairs = sources.files_of_windows(registry, windows, "orders", first, last)
+    return with_text_times(
+        pairs.groupBy("id", "ending_at", "length").agg(
+            F.count(F.lit(1)).alias("files"), F.min("file_name").alias("first_file"), F.max("file_name").alias("last_file")
+        )
+    )

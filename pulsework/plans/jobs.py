@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsework import changes, late, schemas, sinks
+from pulsework import audit, changes, late, schemas, sinks
+from pulsework.audit import Rejected, Rules
 from pulsework.operators import details, events, landing_rows, metering, series, touches, users
 from pulsework.operators.changelog import UpsertRule
+from pulsework.operators.landing_rows import PAYLOAD_CODE
 from pulsework.operators.latest import PRESETS, dedupe, latest, latest_by_key
 from pulsework.functions import in_days, parse_iso
 from pulsework.operators.numbering import sync_registry
@@ -31,6 +33,7 @@ from pulsework.sources import (
     read_jsonl,
     read_parquet_files,
     read_pruned_chunks,
+    read_variants,
     table_or_none,
     with_lineage,
 )
@@ -45,7 +48,8 @@ class Landing:
     """How a JSONL endpoint becomes a raw table.
 
     Tables that are not loaded anew each time are partitioned by run, and by the data's day where ``start``
-    names the column that it comes from. So a job reads one run's rows, or all runs' rows of its days.
+    names the column that it comes from. So a job reads one run's rows, or all runs' rows of its days. ``variants`` makes
+    the rows if the table keeps its payloads as VARIANT, where the line has its rows in the array ``listed``.
     """
 
     line: T.StructType
@@ -55,6 +59,8 @@ class Landing:
     full_refresh: bool = False
     keep_line: bool = False
     start: str | None = None
+    variants: Callable[[DataFrame], DataFrame] | None = None
+    listed: str | None = None
 
 
 # Raw tables and how their latest rows are told.
@@ -71,11 +77,11 @@ LANDINGS = {
     ),
     "campaign_series": Landing(
         schemas.CAMPAIGN_SERIES_LINE, landing_rows.campaign_series, "braze_campaigns_data_series", "campaign_series",
-        start="start_date",
+        start="start_date", variants=landing_rows.campaign_series_variants, listed="data",
     ),
     "canvas_series": Landing(
         schemas.CANVAS_SERIES_LINE, landing_rows.canvas_series, "braze_canvas_data_series", "canvas_series",
-        start="start_date",
+        start="start_date", variants=landing_rows.canvas_series_variants, listed="stats",
     ),
     "user_export": Landing(
         schemas.USER_EXPORT_LINE, landing_rows.user_export, "braze_user_workflow_data", "user_export"
@@ -84,6 +90,10 @@ LANDINGS = {
 }
 
 
+# The kinds of entities that results tell apart.
+KINDS = ["campaign", "canvas"]
+
+
 @dataclass(frozen=True)
 class Job:
     """A result table: its source, its transformation and its upsert.
@@ -101,6 +111,11 @@ class Job:
     full_refresh: bool = False
     time: str | None = None
 
+    @property
+    def rules(self) -> Rules:
+        """What a sound load keeps: whole keys, each once, and a known kind."""
+        return Rules(tuple(self.keys), tuple(self.keys), {"type": KINDS} if "type" in self.keys else {})
+
 
 _PLAYBOOK_UPDATES = ["last_received", "in_control", "converted", "conversion_events_performed", "message_status"]
 
@@ -215,17 +230,25 @@ def run_of(path: str) -> str:
     return hashlib.md5(path.encode()).hexdigest()
 
 
-def ingest(spark: SparkSession, kind: str, path: str, namespace: str | None = None, run: str | None = None) -> str:
+def ingest(
+    spark: SparkSession, kind: str, path: str, namespace: str | None = None, run: str | None = None, variant: bool = False
+) -> str:
     """Land one endpoint's JSONL and refresh its latest-row view; returns the view's name.
 
     Lines that do not parse go to ``<table>_quarantine`` with their file and the path of the run. ``run`` names
     the raw table's partitions, by default after the path: landing a run again replaces what it has landed before.
+    With ``variant`` a series table keeps its payloads as VARIANT, so that lines are parsed here and never again; its
+    jobs are the same. A table keeps either text or variants.
     """
     spec = LANDINGS[kind]
     table = qualified(namespace, spec.table)
+    if variant and not spec.variants:
+        raise ValueError(f"{kind} has no rows of variants")
+    if spec.variants and spark.catalog.tableExists(table) and variant != (PAYLOAD_CODE in spark.table(table).columns):
+        raise ValueError(f"{table} keeps its payloads as {'text' if variant else 'variants'}")
     bad = Observation("bad lines")
-    parsed = read_jsonl(spark, path, spec.line, spec.keep_line).observe(bad, F.count_if(F.col(BAD_LINE).isNotNull()).alias("lines"))
-    rows = spec.rows(accepted(parsed))
+    parsed = _parsed(spark, spec, path, variant).observe(bad, F.count_if(F.col(BAD_LINE).isNotNull()).alias("lines"))
+    rows = (spec.variants if variant else spec.rows)(accepted(parsed))
     if spec.full_refresh:
         sinks.overwrite(rows, table)
     else:
@@ -233,35 +256,45 @@ def ingest(spark: SparkSession, kind: str, path: str, namespace: str | None = No
         if spec.start:
             rows, parts = rows.withColumn(DAY, F.to_date(parse_iso(F.col(spec.start)))), [DAY, RUN]
         sinks.replace_parts(rows.withColumn(RUN, F.lit(name)), table, parts, F.col(RUN) == name)
-    _set_aside(spark, spec, path, f"{table}_quarantine", bad.get["lines"])
+    _set_aside(spark, lambda: _parsed(spark, spec, path, variant), path, f"{table}_quarantine", bad.get["lines"])
     return sinks.latest_view(spark, table, spec.preset)
 
 
-def _set_aside(spark: SparkSession, spec: Landing, path: str, table: str, count: int) -> None:
+def _parsed(spark: SparkSession, spec: Landing, path: str, variant: bool) -> DataFrame:
+    return read_variants(spark, path, [spec.listed]) if variant else read_jsonl(spark, path, spec.line, spec.keep_line)
+
+
+def _set_aside(spark: SparkSession, read: Callable[[], DataFrame], path: str, table: str, count: int) -> None:
     """Malformed lines, once each however often a path is loaded. Files are only read again if there are any."""
     if not spark.catalog.tableExists(table):
         sinks.append(spark.createDataFrame([], "line string, file string, run string"), table)
     if count:
-        lines = quarantined(read_jsonl(spark, path, spec.line, spec.keep_line)).select("line", F.input_file_name().alias("file"))
+        lines = quarantined(read()).select("line", F.input_file_name().alias("file"))
         known = spark.table(table).filter(F.col("run") == path).select("line", "file").distinct()
         sinks.append(lines.join(known, ["line", "file"], "left_anti").withColumn("run", F.lit(path)), table)
 
 
-def run_job(spark: SparkSession, name: str, namespace: str | None = None, root: str | None = None) -> str | None:
-    """Transform and write one result table; None when its source does not exist."""
+def run_job(
+    spark: SparkSession, name: str, namespace: str | None = None, root: str | None = None, checked: bool = False
+) -> str | None:
+    """Transform and write one result table; None when its source does not exist.
+
+    With ``checked`` rows that break the job's rules are not loaded: ``Rejected`` is raised, and what was served stays.
+    """
     job = JOBS[name]
     source = table_or_none(spark, qualified(namespace, job.source))
-    return None if source is None else _write_job(job, source, namespace, root)
+    return None if source is None else _write_job(job, source, namespace, root, checked)
 
 
 def run_landed(
-    spark: SparkSession, kind: str, run: str, namespace: str | None = None, root: str | None = None
+    spark: SparkSession, kind: str, run: str, namespace: str | None = None, root: str | None = None, checked: bool = False
 ) -> list[str]:
     """All jobs of an endpoint for what one run has landed; returns the result tables.
 
     Series take all raw rows of the days that the run brings, whichever run they came with, and no others. Other
     endpoints take the run's own rows, so their runs are to be worked through in order. The latest rows
-    are found once and written to the shared folder for all the jobs.
+    are found once and written to the shared folder for all the jobs. With ``checked`` the first job whose rows break its rules
+    raises ``Rejected``; jobs before it have been written.
     """
     spec = LANDINGS[kind]
     raw = table_or_none(spark, qualified(namespace, spec.table))
@@ -273,9 +306,10 @@ def run_landed(
     path = new_work_dir(spark, "latest")
     latest(rows, spec.preset).write.parquet(path)
     newest = spark.read.schema(raw.schema).parquet(path)
-    done = [_write_job(j, newest, namespace, root) for j in JOBS.values() if j.source == f"{spec.table}_view"]
-    discard(spark, path)
-    return done
+    try:
+        return [_write_job(j, newest, namespace, root, checked) for j in JOBS.values() if j.source == f"{spec.table}_view"]
+    finally:
+        discard(spark, path)
 
 
 def missing_keys(spark: SparkSession, name: str, namespace: str | None = None) -> DataFrame:
@@ -284,21 +318,36 @@ def missing_keys(spark: SparkSession, name: str, namespace: str | None = None) -
     return check_not_null(spark.table(qualified(namespace, job.table)), job.keys)
 
 
-def _write_job(job: Job, source: DataFrame, namespace: str | None, root: str | None) -> str:
+def _write_job(job: Job, source: DataFrame, namespace: str | None, root: str | None, checked: bool = False) -> str:
     target = qualified(namespace, job.table)
     rows = job.transform(source)
     if job.full_refresh:
-        sinks.publish(rows, target, root)
+        if not checked:
+            sinks.publish(rows, target, root)
+        else:
+            _raise_if(target, audit.publish_checked(rows, target, job.rules, root))
         return target
     unique = dedupe(rows, job.keys)
-    if job.time:
-        dated = unique.withColumn(DAY, F.to_date(job.time))
-        sinks.upsert_days_table(dated, target, DAY, job.keys, job.update_cols, job.newer_by)
+
+    def load(batch: DataFrame) -> None:
+        if job.time:
+            dated = batch.withColumn(DAY, F.to_date(job.time))
+            sinks.upsert_days_table(dated, target, DAY, job.keys, job.update_cols, job.newer_by)
+        else:
+            _append_changes(batch, target, job.keys, job.update_cols, job.newer_by, root)
+
+    if checked:
+        _raise_if(target, audit.load_checked(unique, job.rules, load))
     else:
-        _append_changes(unique, target, job.keys, job.update_cols, job.newer_by, root)
+        load(unique)
     return target
 
 
+def _raise_if(target: str, violations: DataFrame | None) -> None:
+    if violations is not None:
+        raise Rejected(target, violations)
+
+
 def _append_changes(
     rows: DataFrame, target: str, keys: list[str], update_cols: list[str] | None, newer_by: str | None, root: str | None, **more
 ) -> None:

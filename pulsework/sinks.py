@@ -126,14 +126,18 @@ def publish(
     time they were made, which is the order they are dropped in. Only tables whose whole name is
     that of a copy count as copies, and the new one is never dropped.
     """
-    spark = df.sparkSession
     copy = write_copy(df, name, root, partition_by)
-    columns = ", ".join(f"`{c}`" for c in df.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {copy}")
-    drop_old_copies(spark, name, copy, keep)
+    show_copy(df.sparkSession, name, copy, df.columns, keep)
     return copy
 
 
+def show_copy(spark: SparkSession, name: str, copy: str, columns: list[str], keep: int = 2) -> None:
+    """Move the view to a finished copy and drop those before the last ``keep``."""
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {copy}")
+    drop_old_copies(spark, name, copy, keep)
+
+
 def write_copy(df: DataFrame, name: str, root: str | None = None, partition_by: list[str] | None = None) -> str:
     """A new copy of a published table, which no view reads yet; returns its name."""
     copy = f"{name}__{datetime.now(UTC):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
@@ -145,7 +149,7 @@ def write_copy(df: DataFrame, name: str, root: str | None = None, partition_by:
 def drop_old_copies(spark: SparkSession, name: str, new: str, keep: int) -> None:
     for old in _copies(spark, name)[: -max(1, keep)]:
         if old != new:
-            _drop_copy(spark, old)
+            drop_copy(spark, old)
 
 
 def _copies(spark: SparkSession, name: str) -> list[str]:
@@ -157,7 +161,7 @@ def _copies(spark: SparkSession, name: str) -> list[str]:
     return [f"{database}.{n}" if database else n for n in sorted(row[0] for row in found) if exact.fullmatch(n)]
 
 
-def _drop_copy(spark: SparkSession, copy: str) -> None:
+def drop_copy(spark: SparkSession, copy: str) -> None:
     """Dropping an external table leaves its files, so they are deleted after it."""
     told = {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {copy}").collect()}
     spark.sql(f"DROP TABLE {copy}")

@@ -1,13 +1,14 @@
 from pulsework.sources.files import (
     discover_new_files,
     file_time_bounds,
+    files_of_windows,
     list_files,
     file_chunks,
     prune_files,
     read_pruned_chunks,
     read_pruned_files,
 )
-from pulsework.sources.landing import accepted, line_counts, parse_lines, quarantined, read_jsonl
+from pulsework.sources.landing import accepted, line_counts, parse_lines, parse_variants, quarantined, read_jsonl, read_variants
 from pulsework.sources.tables import (
     read_csv_dim,
     read_jdbc_query,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsework.functions import greatest_time, in_days, least_time
+from pulsework.operators.intervals import overlap_join
 from pulsework.sources.tables import read_parquet_files, with_lineage
 
 
@@ -62,6 +63,20 @@ def prune_files(registry: DataFrame, file_type: str, first_day: str, last_day: s
     return registry.filter((F.col("type") == file_type) & in_time)
 
 
+def files_of_windows(
+    registry: DataFrame, windows: DataFrame, file_type: str, first_day: Column, last_day: Column, on: list[str] | None = None
+) -> DataFrame:
+    """The registered files that each of many windows needs: :func:`prune_files` for all of them at once.
+
+    One row per window and file, with the window's columns, ``file_name`` and the file's bounds. ``first_day`` and ``last_day`` are the
+    window's days, both inclusive. A window that needs no file has no row.
+    """
+    files = registry.filter(F.col("type") == file_type).select(*on or [], "file_name", "min_timestamp", "max_timestamp")
+    days = (F.unix_date(first_day), F.unix_date(last_day))
+    spans = (F.unix_date(F.to_date("min_timestamp")), F.unix_date(F.to_date("max_timestamp")))
+    return overlap_join(windows, files, days, spans, on)
+
+
 def read_pruned_files(
     spark: SparkSession,
     registry: DataFrame,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 BAD_LINE = "_bad_line"
 LINE = "_line"
+VALUE = "_value"
 
 
 def parse_lines(lines: DataFrame, record: T.StructType, keep_line: bool = False, text: str = "value") -> DataFrame:
@@ -27,10 +28,34 @@ def parse_lines(lines: DataFrame, record: T.StructType, keep_line: bool = False,
 
 def read_jsonl(spark: SparkSession, path: str, record: T.StructType, keep_line: bool = False) -> DataFrame:
     """All ``*.jsonl`` files below a run's folder, or one file or glob."""
+    return parse_lines(_text_lines(spark, path), record, keep_line)
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read
     if "*" not in path and not path.endswith(".jsonl"):
         reader = reader.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true")
-    return parse_lines(reader.text(path), record, keep_line)
+    return reader.text(path)
+
+
+def parse_variants(lines: DataFrame, lists: list[str], text: str = "value") -> DataFrame:
+    """Parse a text column into one VARIANT, ``_value``, plus ``_bad_line``: the only parse that the line ever gets.
+
+    A line is bad if it is not one JSON object, names a key of an object twice, is larger than a VARIANT may be, or has something else than an
+    array or null in one of ``lists``.
+    """
+    parsed = lines.select(F.col(text).alias(LINE), F.explode(F.array(F.try_parse_json(text))).alias(VALUE))
+    sound = F.col(VALUE).isNotNull() & F.col(LINE).rlike(r"^[ \t\r\n]*\{")
+    for name in lists:
+        item = F.try_variant_get(VALUE, f"$.{name}", "variant")
+        array = F.try_variant_get(VALUE, f"$.{name}", "array<variant>").isNotNull()
+        sound = sound & (array | item.isNull() | F.is_variant_null(item))
+    return parsed.select(VALUE, F.when(~sound, F.coalesce(LINE, F.lit(""))).alias(BAD_LINE))
+
+
+def read_variants(spark: SparkSession, path: str, lists: list[str]) -> DataFrame:
+    """The files of :func:`read_jsonl` as variants."""
+    return parse_variants(_text_lines(spark, path), lists)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
