@@ -57,7 +57,7 @@ def overlap_join(
 
     A span is the pair of its first and last number, both inclusive (days: ``unix_date``). Rows whose span is empty or has an unknown end meet
     nothing. ``on`` names columns that must be equal besides. Rows are repeated ``levels + 1`` times where they are looked up by
-    their beginning, so select the columns that are needed first.
+    their beginning, so select the columns that are needed first. Neither side is ever broadcast.
     """
     equal = on or []
     clash = (set(left.columns) & set(right.columns)) - set(equal)
@@ -71,7 +71,8 @@ def overlap_join(
     def met(points: DataFrame, at: str, spans: DataFrame, first: str, last: str) -> DataFrame:
         one = points.withColumn("_block", F.explode(dyadic_path(F.col(at), levels)))
         other = spans.withColumn("_block", F.explode(dyadic_cover(F.col(first), F.col(last), levels)))
-        return one.join(other, keys)
+        # Spark's estimates leave out what explode adds, so it would take repeated rows for few and collect them on the driver.
+        return one.join(other.hint("merge"), keys)
 
     later_left = met(left, "_first", right, "_from", "_to").select(*columns)
     later_right = met(right, "_from", left, "_first", "_last").filter("_from > _first").select(*columns)

@@ -208,10 +208,15 @@ def files_of_all_windows(spark, sf_dir):
         F.col("c_custkey").alias("id"), F.date_add(F.lit("1992-01-01").cast("date"), mod("c_custkey", 2400).cast("int")).alias("created_at")
     )
     windows = planning.plan_backfill(customers, "id", "1998-12-31", planning.CAMPAIGN_WINDOW_DAYS)
+    # Windows of equal days need the same files, so files are sought once for each pair of days, of which there are few.
+    days = ["ending_at", "length"]
     first, last = F.expr("date_sub(ending_at, length)"), F.date_sub("ending_at", 1)
-    pairs = sources.files_of_windows(registry, windows, "orders", first, last)
+    pairs = sources.files_of_windows(registry, windows.select(*days).distinct(), "orders", first, last)
+    needed = pairs.groupBy(*days).agg(
+        F.count(F.lit(1)).alias("files"), F.min("file_name").alias("first_file"), F.max("file_name").alias("last_file")
+    )
     return with_text_times(
-        pairs.groupBy("id", "ending_at", "length").agg(
-            F.count(F.lit(1)).alias("files"), F.min("file_name").alias("first_file"), F.max("file_name").alias("last_file")
+        windows.join(F.broadcast(needed), days).groupBy("id", *days).agg(
+            F.sum("files").alias("files"), F.min("first_file").alias("first_file"), F.max("last_file").alias("last_file")
         )
     )
