@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsework.operators.columns import comparable
 from pulsework.operators.latest import latest_by_key
-from pulsework.session import discard, new_work_dir
+from pulsework.session import new_work_dir
 from pulsework.sinks import days_of, drop_days, into_days, on_days, publish
 
 
@@ -68,26 +68,23 @@ def join_late(
     waiting = pending_table(table)
     if spark.catalog.tableExists(waiting):
         facts = facts.unionByName(spark.table(waiting))
-    newest = written(latest_by_key(facts, [rule.fact], [rule.newer_by]), "newest")
-    # Rows of the view are in the folder now, so that the copy it reads may go.
-    asked = written(_unserved(newest, served, rule, names), "asked")
-
-    hits = written(asked.join(sides, rule.side).select(*columns, "_served"), "hits")
-    missed = asked.join(hits.select(F.col(rule.fact).alias("_hit"), F.lit(True).alias("_found")), _same(rule.fact, "_hit"), "left")
-    missed = written(missed.filter("_found is null").drop("_hit", "_found"), "missed")
-    fresh = hits.select(*columns)
-    if served is not None:
-        current = sides.join(arrived.select(rule.side).distinct(), rule.side, "left_semi")
-        fresh = fresh.unionByName(_refreshed(served, current, asked, rule, names, values, from_day))
-    fresh = written(fresh, "fresh")
+    asked = _unserved(facts, served, rule, names)
+    # Found or not is told by the one join; facts without a side key are spread, as all of them would go to one task.
+    spread = F.when(F.col(rule.side).isNull(), F.xxhash64(rule.fact, rule.newer_by)).otherwise(F.lit(0).cast("bigint"))
+    known = sides.withColumns({"_spread": F.lit(0).cast("bigint"), "_found": F.lit(True)})
+    joined = asked.withColumn("_spread", spread).join(known, [rule.side, "_spread"], "left")
+    # Rows of the pending view are in the folder now, so that the copy it reads may go.
+    joined = written(joined.select(*columns, "_served", "_found"), "joined")
+    fresh, replaced, missed = joined.filter("_found").select(*columns), joined.filter("_served"), joined.filter("_found is null")
     if served is None:
         into_days(fresh, table, rule.day)
     else:
-        gone = missed.filter("_served")
-        _replace(served, fresh, gone.select(rule.fact, rule.day), table, rule, columns, f"{work}/merged")
+        current = sides.join(arrived.select(rule.side).distinct(), rule.side, "left_semi")
+        refreshed = written(_refreshed(served, current, replaced, rule, names, values, from_day), "refreshed")
+        fresh = fresh.unionByName(refreshed)
+        out = replaced.select(rule.fact).unionByName(refreshed.select(rule.fact))
+        _replace(served, fresh, out, missed.filter("_served"), table, rule, columns)
     publish(missed.select(*names, rule.day), waiting, root)
-    for name in ("newest", "asked", "hits", "missed", "merged"):
-        discard(spark, f"{work}/{name}")
     return fresh
 
 
@@ -101,46 +98,52 @@ def _version(df: DataFrame, rule: LateJoin, names: list[str]) -> Column:
     return F.struct(rule.newer_by, *rest)
 
 
-def _unserved(newest: DataFrame, served: DataFrame | None, rule: LateJoin, names: list[str]) -> DataFrame:
-    """Facts of which no copy is served, or an older one (``_served``)."""
+def _unserved(facts: DataFrame, served: DataFrame | None, rule: LateJoin, names: list[str]) -> DataFrame:
+    """The newest copies of facts of which no copy is served, or an older one (``_served``).
+
+    Keys in a struct are equal where both are NULL, so one shuffle by it serves the newest copies and the join.
+    """
+    shaped = facts.select(F.struct(rule.fact).alias("_id"), *[c for c in facts.columns if c != rule.fact])
+    newest = latest_by_key(shaped, ["_id"], [rule.newer_by]).withColumn(rule.fact, F.col("_id").getField(rule.fact))
     if served is None:
-        return newest.withColumn("_served", F.lit(False))
-    held = served.filter(on_days(rule.day, days_of(newest, rule.day))).select(
-        F.col(rule.fact).alias("_key"), _version(served, rule, names).alias("_held")
+        return newest.drop("_id").withColumn("_served", F.lit(False))
+    held = served.filter(on_days(rule.day, days_of(facts, rule.day))).select(
+        F.struct(rule.fact).alias("_id"), _version(served, rule, names).alias("_held")
     )
     # A version is never null, so a null here means that no copy is served.
-    met = newest.withColumn("_version", _version(newest, rule, names)).join(held, _same(rule.fact, "_key"), "left")
+    met = newest.withColumn("_version", _version(newest.drop("_id"), rule, names)).join(held, "_id", "left")
     kept = met.filter(F.col("_held").isNull() | (F.col("_version") > F.col("_held")))
-    return kept.withColumn("_served", F.col("_held").isNotNull()).drop("_key", "_held", "_version")
+    return kept.withColumn("_served", F.col("_held").isNotNull()).drop("_id", "_held", "_version")
 
 
 def _refreshed(
-    served: DataFrame, current: DataFrame, asked: DataFrame, rule: LateJoin, names: list[str], values: list[str], from_day: str | None
+    served: DataFrame, current: DataFrame, replaced: DataFrame, rule: LateJoin, names: list[str], values: list[str], from_day: str | None
 ) -> DataFrame:
-    """Served facts whose side has other values by now, but for those that are joined anyway."""
+    """Served facts whose side has other values by now, but for those of which a newer copy has come."""
     rows = served if from_day is None else served.filter(F.col(rule.day) >= F.lit(from_day).cast("date"))
     sides = current.select(rule.side, F.struct(*values).alias("_now"))
     changed = rows.join(sides, rule.side).filter(~F.struct(*values).eqNullSafe(F.col("_now")))
-    changed = changed.join(asked.select(F.col(rule.fact).alias("_asked")), _same(rule.fact, "_asked"), "left_anti")
+    changed = changed.join(replaced.select(F.col(rule.fact).alias("_asked")), _same(rule.fact, "_asked"), "left_anti")
     return changed.select(*names, *[F.col(f"_now.{c}").alias(c) for c in values], rule.day)
 
 
 def _replace(
-    served: DataFrame, fresh: DataFrame, gone: DataFrame, table: str, rule: LateJoin, columns: list[str], path: str
+    served: DataFrame, fresh: DataFrame, out: DataFrame, gone: DataFrame, table: str, rule: LateJoin, columns: list[str]
 ) -> None:
-    """Put ``fresh`` in the place of its facts and take ``gone`` out, in the days of either."""
+    """Take the facts ``out`` of the table and put ``fresh`` in, in the days of ``fresh`` and of ``gone``, which are out for good.
+
+    The table is read while it is written: new partitions are staged and moved in place only when all tasks have ended, so
+    a lost executor still finds the old ones.
+    """
     spark: SparkSession = served.sparkSession
-    keys = fresh.select(rule.fact, rule.day).unionByName(gone)
-    days = days_of(keys, rule.day)
+    days = days_of(fresh.select(rule.day).unionByName(gone.select(rule.day)), rule.day)
     if not days:
         return
-    out = keys.select(F.col(rule.fact).alias("_out"))
-    kept = served.filter(on_days(rule.day, days)).join(out, _same(rule.fact, "_out"), "left_anti")
+    kept = served.filter(on_days(rule.day, days)).join(out.select(F.col(rule.fact).alias("_out")), _same(rule.fact, "_out"), "left_anti")
     seen = Observation("days")
     merged = kept.select(*columns).unionByName(fresh).observe(seen, F.collect_set(F.col(rule.day).cast("string")).alias("days"),
                                                               F.count_if(F.col(rule.day).isNull()).alias("dayless"))
-    merged.write.parquet(path)
-    into_days(spark.read.schema(merged.schema).parquet(path), table, rule.day)
+    into_days(merged, table, rule.day)
     left = set(seen.get["days"])
     drop_days(spark, table, rule.day, [d.isoformat() for d in days if d is not None and d.isoformat() not in left])
     if None in days and not seen.get["dayless"]:

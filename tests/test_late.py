@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from pulsework import late
 from pulsework.late import LateJoin, join_late, pending_table
 from pulsework.plans import jobs
 
@@ -139,3 +140,27 @@ def test_touches_of_deliveries_that_land_after_their_events(spark, unique, folde
     assert [(r.metric, r.playbook_id, str(r.created_at)) for r in spark.table(touched).collect()] == [("opened", 7, "2024-01-03 10:00:00")]
     served = {r.event_id for r in spark.table(f"{name}.customerio_delivery_metrics").collect()}
     assert served == {"e1", "e2", "e3"} and spark.table(f"{name}.customerio_delivery_metrics_pending").isEmpty()
+
+
+def test_a_run_shuffles_each_fact_once_per_key(spark, unique):
+    """The newest copies meet the served ones where they are, and found and missing sides are told by one join."""
+    facts = spark.createDataFrame([("f", "a", "x", 1, day(1))], FACTS)
+    table = unique("late")
+    run(spark, table, [("f", "a", "x", 0, day(1))], [("a", "n", 1)], ["a"])
+    asked = late._unserved(facts, spark.table(table), RULE, [c for c in facts.columns if c != "day"])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = asked._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 2  # one of the facts, one of the served table
+
+
+def test_a_run_writes_each_fact_once_besides_the_tables(spark, unique, monkeypatch, folder):
+    table = unique("late")
+    monkeypatch.setattr(late, "new_work_dir", lambda spark, label: f"{folder}/work")
+    fresh = run(spark, table, [("f", "a", "x", 1, day(1)), ("g", "b", "x", 1, day(1)), ("h", None, "x", 1, None)], [("a", "n", 1)], ["a"])
+    assert [r.id for r in fresh.collect()] == ["f"]
+    assert os.listdir(f"{folder}/work") == ["joined"]
