@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pulsework.plans import derive
 from pulsework.plans.catalog.registry import EVENTS, query, unique_name, with_text_times
 from pulsework.session import new_work_dir, use_utc
+from pulsework.sources import list_files
 from pulsework.streaming import (
     append_new_files,
     daily_sums,
@@ -46,16 +47,20 @@ def stream_new_files(spark, sf_dir):
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def stream_latest_upsert(spark, sf_dir):
-    """The events arrive as several files, one micro-batch each. The job is stopped after the first and started again for the others.
+    """The events arrive in three parts, one micro-batch each. The job is stopped after the first and started again for the others.
 
-    Folding after every second batch, so that merged state and later changes are read together.
+    A part has as many files as tasks wrote it; a batch takes as many as a part has, so that larger tables make larger batches and not more
+    of them. Folding after every second batch, so that merged state and later changes are read together.
     """
     root = new_work_dir(spark, "stream")
     rows = derive.events(spark, sf_dir).select("user_id", "event_type", "event_id", "ts")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(3)))
-    for arriving in (F.col("part") == 0, F.col("part") > 0):
+    known = 0
+    for arriving, batches in ((F.col("part") == 0, 1), (F.col("part") > 0, 2)):
         rows.filter(arriving).write.mode("append").partitionBy("part").parquet(f"{root}/arriving")
-        stream = stream_files(spark, f"{root}/arriving/*", rows.drop("part").schema, files_per_batch=1)
+        files = list_files(spark, f"{root}/arriving").count()
+        known, new = files, files - known
+        stream = stream_files(spark, f"{root}/arriving/*", rows.drop("part").schema, files_per_batch=max(1, -(-new // batches)))
         upsert_latest(
             stream.drop("file_name", "inserted_at"), f"{root}/state", f"{root}/checkpoint", ["user_id", "event_type"], ["ts"], "ts",
             fold_after=2,

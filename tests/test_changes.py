@@ -12,6 +12,7 @@ from pulsework import changes, sinks
 from pulsework.operators import merge
 from pulsework.operators.changelog import LOAD, UpsertRule, merged
 from pulsework.operators.latest import latest_by_key
+from pulsework.plans.catalog import streams
 from pulsework.streaming import read_state, upsert_latest
 
 KV = "k string, g int, v string, w string"
@@ -161,3 +162,17 @@ def test_stream_state_equals_upserts_of_the_batches(spark, folder):
     assert left == ["batch=3", "batch=4", "upto=2", "upto=3"]
     with pytest.raises(ValueError):
         upsert_latest(batches[0], folder, folder, ["k"], ["g"], "v")
+
+
+def test_query_takes_each_part_as_one_batch_however_many_files_it_has(spark, folder, monkeypatch):
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(streams, "new_work_dir", lambda spark, label: f"{folder}/{label}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(4).write.parquet(f"{folder}/events.parquet")
+    try:
+        streams.stream_latest_upsert(spark, folder)
+        parts = [len([f for f in os.listdir(f"{folder}/stream/arriving/part={n}") if f.endswith(".parquet")]) for n in range(3)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert min(parts) > 1
+    assert sorted(f for f in os.listdir(f"{folder}/stream/checkpoint/commits") if f.isdigit()) == ["0", "1", "2"]
