@@ -281,32 +281,35 @@ def upsert_days_table(
     """Upsert into a day table whose keys determine the day.
 
     The batch is first written to the shared work folder: it is then computed once, and the
-    days it touches (one value per day) prune the target's scan. The merged days are written
-    there too before they replace the old ones, so a lost executor cannot catch the
+    days it touches (one value per day) prune the target's scan. The merged days go straight into the table: new
+    partitions are staged and moved in place only when all tasks have ended, so a lost executor cannot catch the
     table between reading and overwriting.
 
     With ``newer_by`` only days in which some row is new or newer are rewritten: a load that
     brings nothing new changes no file.
     """
     spark = source.sparkSession
-    batch_path, merged_path = new_work_dir(spark, "batch"), new_work_dir(spark, "merged")
-    _day_last(source, day).write.parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
     if not spark.catalog.tableExists(table):
-        into_days(batch, table, day, location)
-        discard(spark, batch_path)
+        into_days(_day_last(source, day), table, day, location)
         return
+    passing: list[str] = []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        passing.append(new_work_dir(spark, name))
+        df.write.parquet(passing[-1])
+        return spark.read.schema(df.schema).parquet(passing[-1])
+
+    batch = written(_day_last(source, day), "batch")
     keys = keys if day in keys else [*keys, day]
     days = days_of(batch, day)
     if days and newer_by is not None:
-        batch = not_older(batch, spark.table(table).filter(on_days(day, days)), keys, newer_by)
+        batch = written(not_older(batch, spark.table(table).filter(on_days(day, days)), keys, newer_by), "newer")
         days = days_of(batch, day)
     if days:
         touched = spark.table(table).filter(on_days(day, days))
-        upsert(touched, batch, keys, update_cols, newer_by).write.parquet(merged_path)
-        into_days(spark.read.parquet(merged_path), table, day)
-        discard(spark, merged_path)
-    discard(spark, batch_path)
+        into_days(upsert(touched, batch, keys, update_cols, newer_by), table, day)
+    for path in passing:
+        discard(spark, path)
 
 
 def expire_days_table(spark: SparkSession, table: str, day: str, as_of: str, days: int = 90) -> None:

@@ -514,3 +514,19 @@ def test_landing_a_run_again_replaces_it(spark, folder, namespace):
     write_lines(spark, path, "not json")
     jobs.ingest(spark, "campaign_series", path, namespace, run=run)
     assert {r.run for r in spark.table(raw).collect()} == {"other"}
+
+
+def test_day_upsert_writes_only_what_it_brings_besides_the_table(spark, unique, monkeypatch):
+    """The first load goes straight into the table; later ones are compared with it once, and merged days are not written twice."""
+    from pulsework import sinks
+    from pulsework.session import new_work_dir
+
+    made, table = [], unique("days")
+    monkeypatch.setattr(sinks, "new_work_dir", lambda spark, label: made.append(label) or new_work_dir(spark, label))
+    old = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")], "k string, v int, day string")
+    new = spark.createDataFrame([("a", 2, "2024-01-01"), ("b", 0, "2024-01-02"), ("c", 1, "2024-01-01")], "k string, v int, day string")
+    sinks.upsert_days_table(old, table, "day", ["k"], newer_by="v")
+    assert made == []
+    sinks.upsert_days_table(new, table, "day", ["k"], newer_by="v")
+    assert made == ["batch", "newer"]
+    assert sorted((r.k, r.v, str(r.day)) for r in spark.table(table).collect()) == [("a", 2, "2024-01-01"), ("b", 1, "2024-01-02"), ("c", 1, "2024-01-01")]
