@@ -36,6 +36,8 @@ MAX_VOCABULARY_BYTES = 64 << 20
 _BYTES = 256
 # Words up to this many bytes are merged together in arrays, longer ones with a queue each.
 _SHORT = 48
+# Bytes of text encoded at once: as single words they take some fifteen times as much.
+_AT_ONCE = 1 << 20
 
 
 def _byte_chars() -> dict[str, int]:
@@ -48,7 +50,7 @@ def _byte_chars() -> dict[str, int]:
 class Encoder:
     """Tables of one vocabulary. Tokens are numbered inside by the step that makes them, bytes first."""
 
-    def __init__(self, raw: str, keep_words: int = 500_000) -> None:
+    def __init__(self, raw: str, keep_words: int = 200_000) -> None:
         spec = json.loads(raw)
         if spec.get("normalizer") or spec["model"]["type"] != "BPE":
             raise ValueError("only byte-level BPE without a normalizer is supported")
@@ -99,16 +101,19 @@ class Encoder:
         return self._special
 
     def _grow_trie(self, tokens: dict[bytes, int]) -> None:
-        """Tokens that merging can make, as a table from node and byte to the next node (0: none)."""
-        nodes, edges, ends = {b"": 0}, [], {}
+        """Tokens that merging can make, as sorted edges (node and byte) with the nodes they lead to.
+
+        A node has few edges, so a table of all bytes would be nearly empty, and a hundred times as large in each worker.
+        """
+        nodes, edges, ends = {b"": 0}, {}, {}
         for text, token in tokens.items():
             for i in range(1, len(text) + 1):
                 if text[:i] not in nodes:
                     nodes[text[:i]] = len(nodes)
-                    edges.append((nodes[text[: i - 1]] * _BYTES + text[i - 1], nodes[text[:i]]))
+                    edges[nodes[text[: i - 1]] * _BYTES + text[i - 1]] = nodes[text[:i]]
             ends[nodes[text]] = token
-        self._next = np.zeros(len(nodes) * _BYTES, np.int32)
-        self._next[[e for e, _ in edges]] = [n for _, n in edges]
+        self._edges = np.array(sorted(edges), np.int64)
+        self._below = np.array([edges[e] for e in self._edges.tolist()], np.int64)
         self._ends = np.full(len(nodes), -1, np.int32)
         self._ends[[*ends]] = [*ends.values()]
 
@@ -144,8 +149,10 @@ class Encoder:
         stop = np.repeat(ends, ends - starts)
         at, node, depth = np.arange(len(raw)), np.zeros(len(raw), np.int64), 0
         while len(at):
-            node = self._next[node * _BYTES + raw[at + depth]]
-            at, node = at[node > 0], node[node > 0].astype(np.int64)
+            key = node * _BYTES + raw[at + depth]
+            place = np.minimum(np.searchsorted(self._edges, key), len(self._edges) - 1)
+            goes = self._edges[place] == key
+            at, node = at[goes], self._below[place[goes]]
             depth += 1
             found = self._ends[node]
             size[at[found >= 0]], token[at[found >= 0]] = depth, found[found >= 0]
@@ -326,7 +333,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     names = [id_col, "n_tokens", "ids"]
-    return rows.mapInArrow(per_slice(work, text_col), f"`{id_col}` {_kind(rows, id_col)}, n_tokens long, ids array<int>")
+    return rows.mapInArrow(per_slice(work, text_col, _AT_ONCE), f"`{id_col}` {_kind(rows, id_col)}, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -374,6 +381,6 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     return rows.mapInArrow(
-        per_slice(work, text_col),
+        per_slice(work, text_col, _AT_ONCE),
         f"`{id_col}` {_kind(rows, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean",
     )

@@ -30,7 +30,7 @@ def plain_words(text: str | None) -> list[bytes]:
 class WordHashes:
     """64-bit hash per word, kept for frequent use up to a bounded number of words."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 100_000) -> None:
         self._limit = limit
         self._known: dict[bytes, int] = {}
 
@@ -67,7 +67,10 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
 def by_bytes(
     batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``limit`` bytes in ``column``; a longer value comes alone, whole."""
+    """Slices of at most ``limit`` bytes in ``column``; a longer value comes alone, whole.
+
+    What a batch has left in Arrow's pool goes back, as workers live on and add up beside the executor's heap.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -77,6 +80,8 @@ def by_bytes(
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             yield batch.slice(start, end - start)
+        del batch, values
+        pa.default_memory_pool().release_unused()
 
 
 def per_slice(

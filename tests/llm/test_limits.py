@@ -1,12 +1,15 @@
 """Inputs that once took too long, addresses as hosts, and columns with the names that operators use inside."""
 
 import time
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from pulsework.llm import host_rules, licence_scan, probminhash, secret_scan, url_lists
+from pulsework.llm import bpe, host_rules, licence_scan, probminhash, secret_scan, url_lists
+from pulsework.llm.catalog import VOCABULARY
 from pulsework.llm.shipping import ship
-from pulsework.llm.text import plain_words
+from pulsework.llm.text import WordHashes, plain_words
 
 TEXT = " ".join(f"w{i}" for i in range(80))
 
@@ -57,3 +60,19 @@ def test_one_id_for_two_texts_links_both(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_what_workers_keep_between_stages_is_small():
+    """Workers live on from stage to stage, so tables and known words of all of them lie beside the executor's heap."""
+    with open(VOCABULARY, encoding="utf-8") as file:
+        coder = bpe.Encoder(file.read())
+    assert sum(a.nbytes for a in vars(coder).values() if isinstance(a, np.ndarray)) < 16 << 20
+    tracemalloc.start()
+    hashes = WordHashes()
+    for i in range(0, 400_000, 1000):
+        hashes.of([b"word-%d" % j for j in range(i, i + 1000)])
+    assert tracemalloc.get_traced_memory()[1] < 32 << 20
+    for i in range(0, 400_000, 10_000):
+        coder.learn({f"w{j}" for j in range(i, i + 10_000)})
+    assert tracemalloc.get_traced_memory()[1] < 96 << 20
+    tracemalloc.stop()
